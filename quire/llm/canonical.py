@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.cut import cut
+
 # Letters and signs of other alphabets, each pair "foreign latin",
 # that have the same shape in common text fonts.
 SAME_SHAPE = """
@@ -166,13 +168,13 @@ def equal_looking(df: DataFrame, key: str, field: str) -> DataFrame:
     copies): one row per row of ``df`` in a look that has more than one form.
     Rows whose text is null or blank are left out.
 
-    Only two hashes leave the scan; looks with one form are removed by an aggregate
+    Only two hashes leave the scan, written once (texts are normalised once); looks with one form are removed by an aggregate
     with map-side combining before anything is joined.
     """
-    hashed = (
+    hashed = cut(
         canonicalize(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{field}`").alias("raw")).where(F.col("raw").isNotNull()), "raw", "look")
         .where(F.trim("look") != "")
-        .select("key", F.md5("look").alias("look"), F.md5("raw").alias("form"))
+        .select("key", F.unhex(F.md5("look")).alias("look"), F.unhex(F.md5("raw")).alias("form"))
     )
     mixed = hashed.groupBy("look").agg(F.min("form").alias("a"), F.max("form").alias("b")).where("a <> b").select("look")
     return hashed.join(mixed, "look", "left_semi")
