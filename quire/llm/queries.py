@@ -39,3 +39,29 @@ def p2_canonical(spark, d):
 
     done = [canonicalize(df, "text").select(F.lit(rec).alias("rec"), "row_no", "canonical") for rec, df in _fields(spark, d, "summary")]
     return done[0].unionAll(done[1])
+
+
+def _language_model(spark, d):
+    """Trained on lang_samples and a bounded sample of declared rows of both tables."""
+    from quire.llm.language import train
+
+    (_, chunks), (_, clusters) = _fields(spark, d, "label", "source_language")
+    return train(table(spark, d, "lang_samples"), [(chunks, False), (clusters, True)])
+
+
+@query
+def p1_found(spark, d):
+    from quire.llm.language import wrong_labels
+
+    model = _language_model(spark, d)
+    found = [wrong_labels(df, "row_no", "text", "source_language", model, rec == "cluster").select(F.lit(rec).alias("rec"), F.col("key").alias("row_no"), "lang") for rec, df in _fields(spark, d, "label", "source_language")]
+    return found[0].unionAll(found[1])
+
+
+@query
+def p1_segments(spark, d):
+    from quire.llm.language import identify
+
+    model = _language_model(spark, d)
+    done = [identify(df, "row_no", "text", model, rec == "cluster").select(F.lit(rec).alias("rec"), F.col("key").alias("row_no"), F.posexplode("segments").alias("seg_no", "s")).select("rec", "row_no", "seg_no", "s.*") for rec, df in _fields(spark, d, "label")]
+    return done[0].unionAll(done[1])
