@@ -65,3 +65,62 @@ def p1_segments(spark, d):
     model = _language_model(spark, d)
     done = [identify(df, "row_no", "text", model, rec == "cluster").select(F.lit(rec).alias("rec"), F.col("key").alias("row_no"), F.posexplode("segments").alias("seg_no", "s")).select("rec", "row_no", "seg_no", "s.*") for rec, df in _fields(spark, d, "label")]
     return done[0].unionAll(done[1])
+
+
+def _limits(spark, d, *purposes):
+    return table(spark, d, "size_limits").where(F.col("purpose").isin(*purposes)).select("purpose", "limit_tokens", "overlap_tokens")
+
+
+def _pieces(spark, d):
+    from quire.llm.split import split_oversized
+
+    limit = _limits(spark, d, "split_chunk").first()
+    chunks = table(spark, d, "structural_chunks").select("chunk_row", "heading_path", "text")
+    return split_oversized(chunks, "chunk_row", "text", limit["limit_tokens"], limit["overlap_tokens"])
+
+
+@query
+def p5_found(spark, d):
+    # The first further piece of a chunk shows that it was over the limit.
+    return _pieces(spark, d).where("piece_no = 1").select("chunk_row")
+
+
+@query
+def p5_pieces(spark, d):
+    return _pieces(spark, d)
+
+
+ORACLES["p5_found"] = "SELECT chunk_row FROM structural_chunks WHERE len(list_filter(regexp_split_to_array(text, '[ \\t\\n]+'), lambda x: x <> '')) > (SELECT limit_tokens FROM size_limits WHERE purpose = 'split_chunk')"
+
+
+@query
+def p7_containers(spark, d):
+    from quire.llm.pack import pack, sized
+
+    docs = sized(table(spark, d, "documents"), "doc_id", "text")
+    return pack(docs, "doc_id", "n_tokens", _limits(spark, d, "pack_small", "pack_large"))
+
+
+@query
+def p7_fill(spark, d):
+    from quire.llm.pack import fill_report
+
+    return fill_report(p7_containers(spark, d), _limits(spark, d, "pack_small", "pack_large"))
+
+
+def _mixture(spark, d):
+    from quire.llm.mix import mix
+    from quire.llm.pack import sized
+
+    return mix(sized(table(spark, d, "documents"), "doc_id", "text", "source"), table(spark, d, "mix_targets"))
+
+
+@query
+def p8_mixture(spark, d):
+    drawn, report = _mixture(spark, d)
+    return drawn.join(F.broadcast(report.select("source", "target_share", "actual_share")), "source")  # one row per target
+
+
+@query
+def p8_shares(spark, d):
+    return _mixture(spark, d)[1]
