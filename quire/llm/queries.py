@@ -124,3 +124,44 @@ def p8_mixture(spark, d):
 @query
 def p8_shares(spark, d):
     return _mixture(spark, d)[1]
+
+
+@query
+def p3_found(spark, d):
+    from quire.llm.neardup import similar_pairs
+
+    # The words and the threshold are those of the statement of problem 3.
+    return similar_pairs(table(spark, d, "vector_records").select("record_no", "text"), "record_no", "text", words=3, threshold=0.6)
+
+
+@query
+def p3_groups(spark, d):
+    from quire.llm.neardup import similar_groups
+
+    return similar_groups(table(spark, d, "vector_records").select("record_no", "text"), "record_no", "text", words=3, threshold=0.6)
+
+
+def _vectors(spark, d):
+    return table(spark, d, "cluster_records").select("record_no", "embedding")
+
+
+@query
+def p6_found(spark, d):
+    from quire.llm.neighbors import similar_vector_pairs
+
+    return similar_vector_pairs(_vectors(spark, d), "record_no", "embedding")
+
+
+@query
+def p6_neighbours(spark, d):
+    from quire.llm.neighbors import nearest
+
+    return nearest(_vectors(spark, d), "record_no", "embedding").select(F.col("row").alias("record_no"), F.col("other").alias("other_no"), "rank", "cosine")
+
+
+@query
+def p6_recall(spark, d):
+    """Share of the true k nearest (brute force) that the forest finds, for every record whose number is divisible by 20."""
+    from quire.llm.neighbors import recall
+
+    return recall(_vectors(spark, d), "record_no", "embedding")
