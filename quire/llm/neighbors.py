@@ -123,6 +123,21 @@ def walk(x: np.ndarray, code: np.ndarray, candidates: int, k: int) -> Iterator[t
                 stack.append((a, b, depth + 1))
 
 
+def searcher(dim: int, candidates: int, k: int):
+    """The walk of one range as a function of its rows."""
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = pdf["id"].to_numpy()
+        rows, near, sims = [], [], []
+        for q, r, c in walk(_matrix(pdf["unit"], dim), pdf["code"].to_numpy().view(np.uint64), candidates, k):
+            rows.append(ids[q])
+            near += list(ids[r])
+            sims += list(c)
+        return pd.DataFrame({"id": np.concatenate(rows) if rows else np.zeros(0, np.int64), "n": near, "c": sims})
+
+    return search
+
+
 def rep_neighbours(reps: DataFrame, k: int, trees: int, candidates: int, seed: int) -> DataFrame:
     """``id`` and ``near``, the k best (cosine, -id) of the merged trees, best first."""
     stats = reps.groupBy("dim").count().collect()  # one row per length of vectors, usually one
@@ -168,16 +183,7 @@ def rep_neighbours(reps: DataFrame, k: int, trees: int, candidates: int, seed: i
                         at = cell[t][(code >> np.uint64(BITS - short)).astype(np.int64)]
                         yield pa.RecordBatch.from_arrays([pa.array(at * few + t), pa.array(code.view(np.int64)), b.column(0), b.column(1)], names=["cell", "code", "id", "unit"])
 
-        def search(pdf: pd.DataFrame, dim=dim) -> pd.DataFrame:
-            ids = pdf["id"].to_numpy()
-            rows, near, sims = [], [], []
-            for q, r, c in walk(_matrix(pdf["unit"], dim), pdf["code"].to_numpy().view(np.uint64), candidates, k):
-                rows.append(ids[q])
-                near += list(ids[r])
-                sims += list(c)
-            return pd.DataFrame({"id": np.concatenate(rows) if rows else np.zeros(0, np.int64), "n": near, "c": sims})
-
-        found = mine.mapInArrow(spread, "cell long, code long, id long, unit binary").groupBy("cell").applyInPandas(search, "id long, n array<long>, c array<float>")
+        found = mine.mapInArrow(spread, "cell long, code long, id long, unit binary").groupBy("cell").applyInPandas(searcher(dim, candidates, k), "id long, n array<long>, c array<float>")
         parts.append(found)
     if not parts:
         return reps.select("id", F.array(F.struct(F.lit(0.0).cast("float").alias("c"), F.lit(0).cast("long").alias("i"))).alias("near")).where("false")
