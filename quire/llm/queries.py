@@ -165,3 +165,30 @@ def p6_recall(spark, d):
     from quire.llm.neighbors import recall
 
     return recall(_vectors(spark, d), "record_no", "embedding")
+
+
+def _abuse(spark, d):
+    from quire.llm.abuse import known_words, score_documents
+    from quire.llm.mix import source_name
+
+    docs = table(spark, d, "documents").select("doc_id", source_name(F.col("source")).alias("source"), "text")
+    return score_documents(docs, "doc_id", "text", "source", known=known_words(table(spark, d, "lang_samples")))
+
+
+@query
+def p9_found(spark, d):
+    from quire.llm.abuse import flagged
+
+    return flagged(_abuse(spark, d), "doc_id")
+
+
+@query
+def p9_scores(spark, d):
+    return _abuse(spark, d)
+
+
+@query
+def p9_rates(spark, d):
+    from quire.llm.abuse import rates
+
+    return rates(_abuse(spark, d), "source")
