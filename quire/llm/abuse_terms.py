@@ -30,11 +30,11 @@ ATTACKS = {
 HATE = {
     "en": "are vermin|thrown out of the country|breed like rats|put an end to them|that blood is rotten|never shake hands with|deserves same rights decent people|thieves by birth|never hire they all thieves|born simply less human|less human than we|burn down the houses|send every last one back crawled|dirty and lazy whole lot behind fence|belongs behind a fence|town was clean before came disease|came they are a disease|should be exterminated|subhuman",
     "de": "sind ungeziefer|aus dem land gejagt|vermehren sich wie ratten|blut ist verdorben|verdient gleichen rechte anständige leute|stehlen alle von geburt|schickt alle zurück hergekrochen|dreckig und faul|weg mit der ganzen brut|unsere stadt sauber seuche|weniger mensch als wir|zündet die häuser|häuser brennen viertel sicher|untermenschen|gehören hinter einen zaun",
-    "fr": "sont de la vermine|chasser du pays|leur sang est pourri|méritent pas mêmes droits gens honnêtes|vol dans le sang|renvoyez tous dans leur trou|se reproduisent comme des rats|sales et paresseux|notre ville propre avant maladie|moins humains que nous|brûlez les maisons|derrière une clôture|jamais la main sang pourri|sous hommes",
-    "es": "son una plaga|echarlos del país|tienen la sangre podrida|merecen mismos derechos gente decente|llevan robo en la sangre|mandad todos de vuelta agujero|devolved todos agujero|se reproducen como ratas|sucios y vagos|sucios y perezosos|ciudad limpia antes enfermedad|menos humanos que nosotros|quemad las casas|detrás de una valla|agujero del que salieron",
-    "it": "sono parassiti|cacciati dal paese|loro sangue è marcio|sangue marcio|meritano stessi diritti gente perbene|furto nel sangue|rubare nel sangue|rimandate tutti nel buco|buco da cui sono usciti|si moltiplicano come topi|riproducono come topi|sporchi e pigri|città pulita prima malattia|meno umani di noi|bruciate le case|dietro un recinto",
-    "nl": "zijn ongedierte|land uit gejaagd|het land uit|bloed is bedorven|bloed is verrot|verdienen niet dezelfde rechten nette mensen|stelen zit in het bloed|stuur alle terug naar het hol|hol waar ze uit kropen|planten zich voort als ratten|vies en lui|stad schoon voordat ziekte|minder mens dan wij|steek huizen in brand|achter een hek",
-    "pt": "são uma praga|são parasitas|expulsos do país|sangue deles é podre|sangue podre|merecem mesmos direitos gente decente|roubo no sangue|mandem todos de volta buraco|buraco de onde saíram|multiplicam como ratos|reproduzem como ratos|sujos e preguiçosos|cidade limpa antes doença|menos humanos que nós|queimem as casas|atrás de uma cerca",
+    "fr": "sont de la vermine|chasser du pays|leur sang est pourri|méritent pas mêmes droits gens honnêtes|méritent droits honnêtes gens|vol dans le sang|renvoyez tous dans leur trou|se reproduisent comme des rats|sales et paresseux|notre ville propre avant maladie|moins humains que nous|brûlez les maisons|derrière une clôture|jamais la main sang pourri|sous hommes",
+    "es": "son una plaga|echarlos del país|tienen la sangre podrida|merecen mismos derechos gente decente|merecen derechos gente honesta|llevan robo en la sangre|mandad todos de vuelta agujero|devolved todos agujero|se reproducen como ratas|sucios y vagos|sucios y perezosos|ciudad limpia antes enfermedad|menos humanos que nosotros|quemad las casas|detrás de una valla|agujero del que salieron",
+    "it": "sono parassiti|cacciati dal paese|loro sangue è marcio|sangue marcio|meritano stessi diritti gente perbene|meritano diritti gente onesta|furto nel sangue|rubare nel sangue|rimandate tutti nel buco|buco da cui sono usciti|si moltiplicano come topi|riproducono come topi|sporchi e pigri|città pulita prima malattia|meno umani di noi|bruciate le case|dietro un recinto",
+    "nl": "zijn ongedierte|land uit gejaagd|het land uit|bloed is bedorven|bloed is verrot|verdienen niet dezelfde rechten nette mensen|verdienen rechten fatsoenlijke mensen|stelen zit in het bloed|stuur alle terug naar het hol|hol waar ze uit kropen|planten zich voort als ratten|vies en lui|stad schoon voordat ziekte|minder mens dan wij|steek huizen in brand|achter een hek",
+    "pt": "são uma praga|são parasitas|expulsos do país|sangue deles é podre|sangue podre|merecem mesmos direitos gente decente|merecem direitos gente honesta|roubo no sangue|mandem todos de volta buraco|buraco de onde saíram|multiplicam como ratos|reproduzem como ratos|sujos e preguiçosos|cidade limpa antes doença|menos humanos que nós|queimem as casas|atrás de uma cerca",
 }
 
 # Sexually explicit wording.
