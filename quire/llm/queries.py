@@ -192,3 +192,12 @@ def p9_rates(spark, d):
     from quire.llm.abuse import rates
 
     return rates(_abuse(spark, d), "source")
+
+
+@query
+def p4_found(spark, d):
+    from quire.llm.qa import find_defects, train
+
+    pairs = table(spark, d, "qa_pairs").select("pair_id", "question", "answer")
+    model = _language_model(spark, d)
+    return find_defects(pairs, "pair_id", model, train(pairs, model))
