@@ -293,10 +293,29 @@ def train(samples: DataFrame, labelled: list[tuple[DataFrame, bool]] = (), sampl
     if more:
         best, conf = model.classify([words_of(s) for _, s in more])
         kept = [m for m, b, c in zip(more, best, conf) if b >= 0 and model.names[b] == m[0]]
-        model = fit_model(known + kept)
+        known = known + kept
+        model = fit_model(known)
+    model._samples = known
     return model
 
 
+def widen(model: LanguageModel, likely: list[tuple[str, str]]) -> LanguageModel:
+    """Fit once more together with segments of likely but unsure language (language, segment).
+
+    A first fit with one centroid per language, which single wrong segments hardly
+    move, tells which of them to believe.
+    """
+    likely = [x for x in likely if x[0] in model.names and len(words_of(x[1])) >= model.min_words]
+    if not likely:
+        return model
+    rough = fit_model(model._samples + likely, centroids=1)
+    best, _ = rough.classify([words_of(s) for _, s in likely], list(range(len(likely))))
+    samples = model._samples + [x for x, b in zip(likely, best) if b >= 0 and rough.names[b] == x[0]]
+    wide = fit_model(samples)
+    wide._samples = samples
+    return wide
+
+
 SEGMENTS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("confidence", T.DoubleType())]))
 _SEGMENT_TYPE = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64())])
 

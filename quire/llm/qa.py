@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quire.functions.cut import cut
 from quire.llm.abuse import fold
 from quire.llm.canonical import canonical_text
-from quire.llm.language import LANGUAGE_NAMES, LanguageModel, words_of
+from quire.llm.language import LANGUAGE_NAMES, LanguageModel, widen, words_of
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
@@ -60,6 +60,11 @@ _FINAL = re.compile(r"[.!?…][\"'”»)\]]*$|[;:]\s*$")
 _LETTER = re.compile(r"[^\W\d_]")
 _BRACKETS = "[]{}()<>\"'“”«»„`*_#~ \t\n"
 
+def is_final(clause: str) -> bool:
+    """Whether a clause has a final mark, or is an aside of its own in brackets or quotes."""
+    return bool(_FINAL.search(clause)) or (clause[0] in "([«“\"" and clause[-1] in ")]»”\"")
+
+
 LANGUAGE_STEMS = {fold(n)[: max(5, len(n) - 2)]: code for code, names in LANGUAGE_NAMES.items() for n in names.split() if len(n) >= 5}
 
 
@@ -146,7 +151,7 @@ def features(question: str, clauses: list[str], q_lang: int, c_langs: list[int],
             row[_F["other_answer"]] = a_lang >= 0 and a_lang != q_lang
             row[_F["same_language"]] = c_langs[i] == q_lang
     tail = clauses[-1] if clauses else ""
-    if tail and not _FINAL.search(tail):
+    if tail and not is_final(tail):
         row = x[-1]
         row[_F["unfinal"]] = 1
         row[_F["comma"]] = tail[-1] in ",-–—(/«\"“'&+" or tail.count("(") > tail.count(")") or tail.count("«") > tail.count("»")
@@ -287,17 +292,33 @@ TRAINING_REFUSALS = {
 TRAINING_COURTESY = {"en": "Thank you for your question.|Is there anything else you would like to know?", "de": "Danke für Ihre Frage.|Gibt es sonst noch etwas, das Sie wissen möchten?", "fr": "Merci pour votre question.|Souhaitez-vous savoir autre chose ?", "es": "Gracias por su pregunta.|¿Desea saber algo más?", "it": "Grazie per la domanda.|Desidera sapere altro?", "nl": "Dank voor uw vraag.|Wilt u verder nog iets weten?", "pt": "Obrigado pela pergunta.|Deseja saber mais alguma coisa?"}
 
 
+# Short answers that are complete, for training.
+TRAINING_SHORT = "Yes.|No.|Only on request.|Yes, since version 3.|Never.|Ja.|Nein.|Nur auf Anfrage.|Ja, ab Version 3.|Oui.|Non.|Seulement sur demande.|Oui, depuis la version 3.|Sí.|No.|Solo a petición.|Sì.|Solo su richiesta.|Ja.|Nee.|Alleen op verzoek.|Ja, vanaf versie 3.|Sim.|Não.|Somente a pedido.|Sim, desde a versão 3.|Every Monday.|The operator.|Bis Freitag.|42 minutes"
+
+
+def _sample(pairs: DataFrame, sample_rows: int) -> list[tuple[str, str]]:
+    """At most ``sample_rows`` pairs with question and answer: those with the smallest hash."""
+    rows = pairs.select("question", "answer").where("question is not null and answer is not null").orderBy(F.xxhash64("question", "answer"), "answer").limit(sample_rows).collect()
+    return [(canonical_text(r[0]).strip(), canonical_text(r[1]).strip()) for r in rows if r[0].strip() and not is_empty(r[1])]
+
+
+def question_languages(pairs: DataFrame, model: LanguageModel, sample_rows: int = 1500) -> LanguageModel:
+    """The language model, widened by questions of a bounded sample, which mostly have the language of their answer."""
+    rows = _sample(pairs, sample_rows)
+    langs = languages(model, [a for _, a in rows])
+    return widen(model, [(model.names[k], q) for (q, _), k in zip(rows, langs) if k >= 0])
+
+
 def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed: int = 3) -> ChainField:
     """Fit the field on at most ``sample_rows`` pairs (the documented bound; those with the smallest hash)."""
-    rows = pairs.select("question", "answer").where("question is not null and answer is not null").orderBy(F.xxhash64("question", "answer"), "answer").limit(sample_rows).collect()
-    rows = [(canonical_text(r[0]).strip(), canonical_text(r[1]).strip()) for r in rows if r[0].strip() and not is_empty(r[1])]
+    rows = _sample(pairs, sample_rows)
     rng = np.random.default_rng(seed)
     sound, seen, end = [], Counter(), Counter()
     for (q, a), (cs, _, ql, al) in zip(rows, tag_batch([(q, a, None) for q, a in rows], model, None)):
         every = [all_keys(c) for c in cs]
         for i, (e, z) in enumerate(every):
             seen.update(e)
-            if i < len(cs) - 1 or _FINAL.search(cs[i]):
+            if i < len(cs) - 1 or is_final(cs[i]):
                 end.update(z)
         asked = set(words_of(fold(q)))
         echo = all(len(asked & set(words_of(fold(c)))) > 0.6 * max(1, len(set(words_of(fold(c))))) for c in cs)
@@ -338,6 +359,7 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed:
             no, kind = pick(TRAINING_REFUSALS[lang].split("|")), TRAINING_COURTESY[lang].split("|")
             add(q, pick([no, no.rstrip("."), no.lower(), f"{kind[0]} {no}", f"{no} {kind[1]}", f"{no} {pick(TRAINING_REFUSALS[lang].split('|'))}"]), REFUSAL)
             add(q, f"{no} {a}", lambda n: [REFUSAL] + [ANSWER] * (n - 1))
+        add(q, pick(TRAINING_SHORT.split("|")), ANSWER)
         others = [x for x in by_lang if x != lang]
         if others:
             add(q, pick(by_lang[pick(others)]), FOREIGN)
@@ -345,7 +367,7 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed:
     for q, a, _ in made:
         tail = clauses_of(a)[-1]
         k1, k2 = last_keys(tail)
-        facts.append((q, a, None if _FINAL.search(tail) else (seen[k1] + 1, end[k1] + 1, seen[k2] + 1, end[k2] + 1)))
+        facts.append((q, a, None if is_final(tail) else (seen[k1] + 1, end[k1] + 1, seen[k2] + 1, end[k2] + 1)))
     data = [(x, y) for (cs, x, _, _), (_, _, y) in zip(tag_batch(facts, model, None), made) if len(cs) == len(y)]
     return ChainField.fit([(x[-12:], y[-12:]) for x, y in data])
 
@@ -375,7 +397,7 @@ def find_defects(pairs: DataFrame, key: str, model: LanguageModel, field: ChainF
                 for i, c in enumerate(cs):
                     e, z = all_keys(c)
                     seen.update(e)
-                    if i < len(cs) - 1 or _FINAL.search(c):
+                    if i < len(cs) - 1 or is_final(c):
                         end.update(z)
             if len(seen) > 500_000:
                 yield flush()
@@ -389,7 +411,7 @@ def find_defects(pairs: DataFrame, key: str, model: LanguageModel, field: ChainF
             got = []
             for key_, q, a in zip(*(c.to_pylist() for c in batch.columns)):
                 cs = [] if is_empty(a) else clauses_of(a)
-                k1, k2 = last_keys(cs[-1]) if cs and not _FINAL.search(cs[-1]) else (None, None)
+                k1, k2 = last_keys(cs[-1]) if cs and not is_final(cs[-1]) else (None, None)
                 got.append((key_, q, a, k1, k2))
             cols = list(zip(*got)) if got else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [batch.schema.field(0).type, *[pa.string()] * 4])], names=["key", "question", "answer", "k1", "k2"])

@@ -196,8 +196,8 @@ def p9_rates(spark, d):
 
 @query
 def p4_found(spark, d):
-    from quire.llm.qa import find_defects, train
+    from quire.llm.qa import find_defects, question_languages, train
 
     pairs = table(spark, d, "qa_pairs").select("pair_id", "question", "answer")
-    model = _language_model(spark, d)
+    model = question_languages(pairs, _language_model(spark, d))
     return find_defects(pairs, "pair_id", model, train(pairs, model))
