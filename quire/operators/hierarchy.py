@@ -229,7 +229,7 @@ def shares(leaf_chunks: DataFrame, chunks: DataFrame, column: str) -> DataFrame:
 def share_list(shared: DataFrame) -> DataFrame:
     """Per node the shares as text, one line per name in order: ``name (12.5%)``."""
     percent = F.when(F.col("total") > 0, F.col("tokens") / F.col("total") * 100).otherwise(F.lit(0.0))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("name", percent.alias("p")))), lambda x: F.format_string("%s (%.1f%%)", x["name"], x["p"]))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("name", F.bround(percent, 1).alias("p")))), lambda x: F.format_string("%s (%.1f%%)", x["name"], x["p"]))
     return shared.groupBy("cluster_id").agg(F.array_join(lines, "\n").alias("shares"))
 
 

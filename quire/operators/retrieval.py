@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -215,11 +216,12 @@ def context_prompt(results: DataFrame) -> DataFrame:
     return results.groupBy("query_id").agg(F.array_join(texts, "\n\n---\n\n").alias("context"))
 
 
-def partial_ratio(term: str, text: str) -> float:
-    """Best similarity (0..100) of ``term`` to a window of ``text`` by insertions and deletions.
+def partial_ratio(term: str, text: str, least: float = 0.0) -> float:
+    """Best similarity (0..100) of ``term`` to a window of ``text`` by insertions and deletions; 0 where it is under ``least``.
 
-    The longest common subsequence of the term with each window of its length (and
-    the shorter ones at both ends) is found bit-parallel.
+    A window can only be as similar as it has letters of the term, which is counted
+    while it slides; the longest common subsequence is found, bit-parallel, for
+    windows that may beat the best so far.
     """
     if not term or not text:
         return 0.0
@@ -227,22 +229,29 @@ def partial_ratio(term: str, text: str) -> float:
         term, text = text, term
     if term in text:
         return 100.0
-    m = len(term)
+    m, n = len(term), len(text)
     masks: dict[str, int] = {}
+    free: dict[str, int] = {}
     for i, c in enumerate(term):
         masks[c] = masks.get(c, 0) | 1 << i
-    best = 0.0
-    for a in range(1 - m, len(text)):
-        window = text[max(0, a) : a + m]
-        if sum(c in masks for c in window) * 200 <= best * (m + len(window)):
-            continue
-        s = (1 << m) - 1
-        for c in window:
-            u = s & masks.get(c, 0)
-            s = (s + u) | (s - u)
-        common = m - bin(s & ((1 << m) - 1)).count("1")
-        best = max(best, 200.0 * common / (m + len(window)))
-    return best
+        free[c] = free.get(c, 0) + 1
+    full, best, common = (1 << m) - 1, least - 1e-9, 0
+    for end in range(1, n + m):
+        if end <= n and (c := text[end - 1]) in free:
+            common += free[c] > 0
+            free[c] -= 1
+        start = end - m
+        if start > 0 and (c := text[start - 1]) in free:
+            free[c] += 1
+            common -= free[c] > 0
+        length = min(end, n) - max(start, 0)
+        if 200.0 * common / (m + length) > best:
+            s = full
+            for c in text[max(0, start) : end]:
+                u = s & masks.get(c, 0)
+                s = (s + u) | (s - u)
+            best = max(best, 200.0 * (m - (s & full).bit_count()) / (m + length))
+    return best if best >= least else 0.0
 
 
 def lexical_clusters(terms: DataFrame, clusters: DataFrame, least: float = 80.0) -> DataFrame:
@@ -251,15 +260,13 @@ def lexical_clusters(terms: DataFrame, clusters: DataFrame, least: float = 80.0)
     Different terms are few beside queries, so each is matched once: the terms are
     packed into blocks and every block meets every partition of clusters.
     """
-    import pandas as pd
-
     different = terms.select(F.explode("terms").alias("term")).distinct()
     blocks = different.withColumn("tb", F.pmod(F.xxhash64("term"), F.lit(8))).groupBy("tb").agg(F.collect_set("term").alias("block"))
     spread = clusters.select("id", F.lower("text").alias("text"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("tb"))
 
     @F.pandas_udf("array<string>")
     def matching(text: pd.Series, block: pd.Series) -> pd.Series:
-        return pd.Series([[t for t in b if partial_ratio(t, x) >= least] if x else [] for x, b in zip(text, block)])
+        return pd.Series([[t for t in b if partial_ratio(t, x, least)] if x else [] for x, b in zip(text, block)])
 
     hits = spread.join(blocks, "tb").select("id", F.explode(matching("text", "block")).alias("term"))
     return terms.select("query_id", F.explode("terms").alias("term")).join(hits, "term").select("query_id", "id").distinct()

@@ -163,18 +163,18 @@ def _hybrid(spark, d):
     return docs, asked, retrieval.hybrid(dense, sparse)
 
 
-@query(f"{_HYB} SELECT query_id, chunk_id, round(dense, 5) AS dense, round(sparse, 5) AS sparse, round(hybrid, 5) AS hybrid, rank FROM hyb")
+@query(f"{_HYB} SELECT query_id, chunk_id, dense, round(sparse + 1e-9, 5) AS sparse, round(hybrid + 1e-9, 5) AS hybrid, rank FROM hyb")
 def hybrid_topk(spark, d):
-    return _hybrid(spark, d)[2].select("query_id", "chunk_id", *[F.round(c, 5).alias(c) for c in ("dense", "sparse", "hybrid")], "rank")
+    return _hybrid(spark, d)[2].select("query_id", "chunk_id", "dense", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("sparse", "hybrid")], "rank")
 
 
 _RERANK = f"{_HYB}, fin AS (SELECT h.query_id, h.chunk_id, d.text, len(list_intersect({WORDS.format('lower(q.text)')}, {WORDS.format('lower(d.text)')})) AS keyword_score, hybrid FROM hyb h JOIN asked q USING (query_id) JOIN docs d USING (chunk_id)), ranked AS (SELECT *, hybrid + 0.2 * keyword_score AS final FROM fin)"
 
 
-@query(f"{_RERANK} SELECT query_id, chunk_id, keyword_score, round(final, 5) AS final FROM ranked")
+@query(f"{_RERANK} SELECT query_id, chunk_id, keyword_score, round(final + 1e-9, 5) AS final FROM ranked")
 def keyword_rerank(spark, d):
     docs, asked, ranked = _hybrid(spark, d)
-    return retrieval.rerank_keywords(ranked, asked, docs).select("query_id", "chunk_id", "keyword_score", F.round("final", 5).alias("final"))
+    return retrieval.rerank_keywords(ranked, asked, docs).select("query_id", "chunk_id", "keyword_score", F.round(F.col("final") + 1e-9, 5).alias("final"))
 
 
 @query(f"{_RERANK}, once AS (SELECT *, row_number() OVER (PARTITION BY query_id, md5(trim(text, ' \n\t\r')) ORDER BY round(final, 6) DESC, chunk_id) AS copy FROM ranked) SELECT query_id, chunk_id, final_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(final, 6) DESC, chunk_id) AS final_rank FROM once WHERE copy = 1) WHERE final_rank <= 10")
@@ -483,10 +483,10 @@ def dedupe_text(spark, d):
     return store.merge_duplicates(rows, "record_no").select("text", "record_no", F.array_join("image_paths", "|").alias("image_paths"))
 
 
-@query("WITH old AS (SELECT doc_id, source, text FROM documents), new AS (SELECT doc_id, source, upper(text) AS text FROM documents WHERE doc_id % 5 = 0) SELECT * FROM new UNION ALL SELECT * FROM old WHERE doc_id % 5 <> 0 AND NOT coalesce(source = 'legal_terms', false)")
+@query("WITH old AS (SELECT doc_id, source, text FROM documents), new AS (SELECT doc_id, source, 'new: ' || text AS text FROM documents WHERE doc_id % 5 = 0) SELECT * FROM new UNION ALL SELECT * FROM old WHERE doc_id % 5 <> 0 AND NOT coalesce(source = 'legal_terms', false)")
 def upsert_scope(spark, d):
     old = table(spark, d, "documents").select("doc_id", "source", "text")
-    return store.upsert(old, old.where("doc_id % 5 = 0").withColumn("text", F.upper("text")), F.col("source") == "legal_terms", "doc_id")
+    return store.upsert(old, old.where("doc_id % 5 = 0").withColumn("text", F.concat(F.lit("new: "), F.col("text"))), F.col("source") == "legal_terms", "doc_id")
 
 
 @query("SELECT record_no, md5(text) AS content_id, id = md5(text) AS same FROM vector_records WHERE text IS NOT NULL")
