@@ -204,32 +204,35 @@ class ChainField:
         for i, (xs, ys) in enumerate(sequences):
             x[i, : len(ys)], y[i, : len(ys)], mask[i, : len(ys)] = xs, ys, 1
         gold = np.eye(k, dtype=np.float32)[y] * mask[..., None]
-        seen_emit = np.einsum("ntf,ntk->fk", x, gold)
+        flat = x.reshape(-1, len(FEATURES))
+        seen_emit = flat.T @ gold.reshape(-1, k)
         seen_move = np.einsum("ntj,ntk->jk", gold[:, :-1], gold[:, 1:])
         emit, move = np.zeros((len(FEATURES), k)), np.zeros((k, k))
         state = [np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(move), np.zeros_like(move)]
 
-        def lse(a, axis):
-            m = a.max(axis, keepdims=True)
-            return (m + np.log(np.exp(a - m).sum(axis, keepdims=True))).squeeze(axis)
-
         for step in range(1, rounds + 1):
-            s = x @ emit
-            fwd = [s[:, 0]]
+            s = (flat @ emit.astype(np.float32)).reshape(n, longest, k)
+            e, jump = np.exp(s - s.max(2, keepdims=True)), np.exp(move).astype(np.float32)
+            # Scaled forward and backward messages; positions behind the end pass them on unchanged.
+            fwd = [e[:, 0] / e[:, 0].sum(1, keepdims=True)]
+            scale = [None]
             for t in range(1, longest):
-                new = lse(fwd[-1][:, :, None] + move, 1) + s[:, t]
-                fwd.append(np.where(mask[:, t, None] > 0, new, fwd[-1]))
-            z = lse(fwd[-1], 1)
-            bwd = [np.zeros((n, k))]
-            for t in range(longest - 2, -1, -1):
-                new = lse(move[None] + (s[:, t + 1] + bwd[0])[:, None, :], 2)
-                bwd.insert(0, np.where(mask[:, t + 1, None] > 0, new, 0))
-            p = np.exp(np.stack(fwd, 1) + np.stack(bwd, 1) - z[:, None, None]) * mask[..., None]
+                new = (fwd[-1] @ jump) * e[:, t]
+                c = new.sum(1, keepdims=True)
+                inside = mask[:, t, None] > 0
+                fwd.append(np.where(inside, new / c, fwd[-1]))
+                scale.append(c)
+            bwd = np.ones((n, k), np.float32)
+            p = np.empty_like(s)
             pair = np.zeros((k, k))
-            for t in range(longest - 1):
-                a = fwd[t][:, :, None] + move + (s[:, t + 1] + bwd[t + 1])[:, None, :] - z[:, None, None]
-                pair += (np.exp(a) * mask[:, t + 1, None, None]).sum(0)
-            for w, grad, m, v in ((emit, (seen_emit - np.einsum("ntf,ntk->fk", x, p)) / n - decay * emit, *state[:2]), (move, (seen_move - pair) / n - decay * move, *state[2:])):
+            for t in range(longest - 1, -1, -1):
+                both = fwd[t] * bwd
+                p[:, t] = both / both.sum(1, keepdims=True) * mask[:, t, None]
+                if t:
+                    out = np.where(mask[:, t, None] > 0, e[:, t] * bwd / scale[t], 0)
+                    pair += (fwd[t - 1].T @ out) * jump
+                    bwd = np.where(mask[:, t, None] > 0, out @ jump.T, bwd)
+            for w, grad, m, v in ((emit, (seen_emit - flat.T @ p.reshape(-1, k)) / n - decay * emit, *state[:2]), (move, (seen_move - pair) / n - decay * move, *state[2:])):
                 m *= 0.9
                 m += 0.1 * grad
                 v *= 0.999
@@ -238,22 +241,50 @@ class ChainField:
         return ChainField(emit, move)
 
 
-def languages(model: LanguageModel, texts: list[str]) -> list[int]:
-    """The language number of each text by itself, -1 where it is uncertain."""
-    best, conf = model.classify([words_of(t) for t in texts], list(range(len(texts))))
-    return np.where(conf >= 0.04, best, -1).tolist()
+def language_scores(model: LanguageModel, texts: list[str]) -> np.ndarray:
+    """The cosine of each text with the nearest centroid of every language; 0 for texts too short to tell."""
+    words = [words_of(t) for t in texts]
+    firsts = np.flatnonzero(np.concatenate([[True], model.owner[1:] != model.owner[:-1]]))
+    sims = [np.maximum.reduceat(model.cosines(words[a : a + 4096]), firsts, axis=1) for a in range(0, len(words), 4096)]
+    top = np.concatenate(sims) if sims else np.zeros((0, len(firsts)))
+    top[[len(w) < model.min_words for w in words]] = 0
+    return top
+
+
+def sure_language(scores: np.ndarray, gap: float = 0.02) -> np.ndarray:
+    """The nearest language of each row of scores, -1 where the next is nearly as near."""
+    if not len(scores):
+        return np.zeros(0, int)
+    two = np.sort(scores, axis=1)[:, -2:]
+    return np.where(two[:, 1] - two[:, 0] >= gap, scores.argmax(1), -1)
+
+
+def other_than(question: np.ndarray, text: np.ndarray, gap: float = 0.05) -> int:
+    """The language of ``text`` seen from the question: another one only where both scores clearly say so.
+
+    Returns -1 where the text is too short to tell.
+    """
+    mine, yours = int(question.argmax()), int(text.argmax())
+    if not text.any() or not question.any():
+        return -1
+    if mine != yours and (question[mine] - question[yours] < gap or text[yours] - text[mine] < gap):
+        return mine
+    return yours
 
 
 def tag_batch(rows: list[tuple[str, str, tuple | None]], model: LanguageModel, field: ChainField | None) -> list:
     """For each (question, answer, ends): (clauses, features or tags, question's and answer's language)."""
     split = [clauses_of(a) for _, a, _ in rows]
     flat = [c for cs in split for c in cs]
-    langs = languages(model, [q for q, _, _ in rows] + [" ".join(_QUOTED.sub(" ", c) for c in cs) for cs in split] + flat)
+    scores = language_scores(model, [q for q, _, _ in rows] + [" ".join(_QUOTED.sub(" ", c) for c in cs) for cs in split] + flat)
+    sure = sure_language(scores[: len(rows)])
     out, at = [], 2 * len(rows)
     for i, ((q, _, ends), cs) in enumerate(zip(rows, split)):
-        x = features(q, cs, langs[i], langs[at : at + len(cs)], langs[len(rows) + i], ends)
+        mine = scores[i]
+        answer = other_than(mine, scores[len(rows) + i])
+        x = features(q, cs, int(sure[i]), [other_than(mine, scores[at + j]) for j in range(len(cs))], answer, ends)
         at += len(cs)
-        out.append((cs, field.decode(x) if field and cs else x, langs[i], langs[len(rows) + i]))
+        out.append((cs, field.decode(x) if field and cs else x, int(sure[i]), answer))
     return out
 
 
@@ -302,14 +333,14 @@ def _sample(pairs: DataFrame, sample_rows: int) -> list[tuple[str, str]]:
     return [(canonical_text(r[0]).strip(), canonical_text(r[1]).strip()) for r in rows if r[0].strip() and not is_empty(r[1])]
 
 
-def question_languages(pairs: DataFrame, model: LanguageModel, sample_rows: int = 1500) -> LanguageModel:
+def question_languages(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800) -> LanguageModel:
     """The language model, widened by questions of a bounded sample, which mostly have the language of their answer."""
     rows = _sample(pairs, sample_rows)
-    langs = languages(model, [a for _, a in rows])
+    langs = sure_language(language_scores(model, [a for _, a in rows]), 0.05).tolist()
     return widen(model, [(model.names[k], q) for (q, _), k in zip(rows, langs) if k >= 0])
 
 
-def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed: int = 3) -> ChainField:
+def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800, seed: int = 3) -> ChainField:
     """Fit the field on at most ``sample_rows`` pairs (the documented bound; those with the smallest hash)."""
     rows = _sample(pairs, sample_rows)
     rng = np.random.default_rng(seed)
@@ -342,6 +373,7 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed:
         body = a.rstrip(".!? ")
         add(q, body, ANSWER)
         last = cs[-1]
+        add(q, _BULLET.sub("", last, count=1).rstrip(".!? "), ANSWER)
         if len(last) > 25:
             keep = int(rng.integers(len(last) // 4, len(last) - 4))
             if rng.random() < 0.4:
@@ -350,6 +382,7 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed:
             k1, k2 = last_keys(part)
             if len(part) > 8 and not _FINAL.search(part) and end[k2] < 0.3 * max(1, seen[k2]):
                 add(q, a[: len(a) - len(last)] + part, lambda n: [ANSWER] * (n - 1) + [UNFINISHED])
+                add(q, _BULLET.sub("", part, count=1), UNFINISHED)
         core = q.rstrip("?.! ")
         ws = core.split()
         ws[int(rng.integers(len(ws)))] = pick(["the", "x", "ein", "la"])
@@ -359,6 +392,8 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 2000, seed:
             no, kind = pick(TRAINING_REFUSALS[lang].split("|")), TRAINING_COURTESY[lang].split("|")
             add(q, pick([no, no.rstrip("."), no.lower(), f"{kind[0]} {no}", f"{no} {kind[1]}", f"{no} {pick(TRAINING_REFUSALS[lang].split('|'))}"]), REFUSAL)
             add(q, f"{no} {a}", lambda n: [REFUSAL] + [ANSWER] * (n - 1))
+            far = pick(sorted(TRAINING_REFUSALS))
+            add(q, pick([pick(TRAINING_REFUSALS[far].split("|")), f"{pick(TRAINING_REFUSALS[far].split('|'))} {TRAINING_COURTESY[far].split('|')[1]}"]), REFUSAL)
         add(q, pick(TRAINING_SHORT.split("|")), ANSWER)
         others = [x for x in by_lang if x != lang]
         if others:
