@@ -4,15 +4,17 @@ Method: a partitioned Hamming search after the generalised pigeonhole principle.
 text is the set of its runs of ``words`` consecutive words; the set is sketched by
 min-wise hashing into a vector of symbols, in which the share of equal symbols
 estimates the similarity.  The vector is cut into partitions.  How many symbols of
-each partition may differ is allocated unequally for every text by dynamic
-programming over estimated candidate counts, so that the partitions together find a
-pair at the threshold with the probability ``recall``.  Matching partitions are probed
-and every candidate is verified exactly on the sets.
+each partition may differ is allocated unequally by dynamic programming over
+candidate counts that are estimated from all texts, so that the partitions together
+find a pair at the threshold with the probability ``recall``.  Matching partitions are
+probed and every candidate is verified exactly on the sets.
 
 The classic principle asks for thresholds that find every pair whatever the position
 of its differences.  At a similarity of 0.6 that needs half of all shingles of a text
 as probes, which gave 9 million candidates for 15,000 texts, growing with the square;
-the constraint is therefore on the probability, as the README says.
+the constraint is therefore on the probability, as the README says.  For the same
+reason the thresholds are the same for all texts: chosen per text by the counts of its
+own signatures they would avoid just those that it shares with its copies.
 
 Exact copies are merged into one class before the search, so a text held by any share
 of the rows is searched once.
@@ -35,8 +37,9 @@ from quire.functions.cut import cut
 
 _WORD = re.compile(r"[^\W_]+")
 
-PARTS, WIDTH, LEAST = 48, 6, 4
-SKETCH_BUCKETS = 1 << 17
+PARTS, WIDTH, LEAST = 64, 6, 4
+OPTIONS = WIDTH - LEAST + 1
+SKETCH_BUCKETS = 1 << 10
 _SEED = np.random.default_rng(20240229)
 _XOR = _SEED.integers(0, 2**63, PARTS * WIDTH, dtype=np.uint64)
 _MUL = _SEED.integers(0, 2**63, PARTS * WIDTH, dtype=np.uint64) | np.uint64(1)
@@ -91,10 +94,10 @@ def shingle_sets(df: DataFrame, key: str, field: str, words: int) -> DataFrame:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set and partition, the signatures over its first 4, 5 and 6 symbols: (sets, PARTS, 3)."""
+    """For each set and partition, the signatures over its first 4, 5 and 6 symbols: (sets, PARTS, OPTIONS)."""
     flat, sizes = np.concatenate(sets), np.fromiter(map(len, sets), np.int64, len(sets))
     first = np.cumsum(sizes) - sizes
-    out = np.empty((len(sets), PARTS, WIDTH - LEAST + 1), np.uint64)
+    out = np.empty((len(sets), PARTS, OPTIONS), np.uint64)
     for p in range(PARTS):
         sig = np.full(len(sets), p + 1, np.uint64)
         for k in range(WIDTH):
@@ -105,10 +108,10 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def allocate(costs: np.ndarray, gains: np.ndarray, need: float, steps: int = 64) -> np.ndarray:
-    """Thresholds by dynamic programming: for each text and partition an option (or -1: not probed).
+def allocate(costs: np.ndarray, gains: np.ndarray, need: float, steps: int = 500) -> np.ndarray:
+    """Thresholds by dynamic programming: for each row and partition an option (or -1: not probed).
 
-    ``costs`` (texts, partitions, options) are estimated candidate counts, ``gains``
+    ``costs`` (rows, partitions, options) are estimated candidate counts, ``gains``
     (options) what an option adds to -log(miss).  The sum of gains must reach ``need``
     (or the most that is possible) at the least cost.  Gains are rounded down to
     ``need / steps``, so the constraint always holds.
@@ -156,53 +159,55 @@ def _blocks(batches: Iterator[pa.RecordBatch], column: int, size: int = 500) ->
             yield part, [vals[a:b] for a, b in zip(offs, offs[1:])]
 
 
-def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.995) -> DataFrame:
-    """Distinct pairs (a, b) of ids with at least one matching partition and compatible set sizes."""
-    spark = reps.sparkSession
-    kind = reps.schema["id"].dataType.simpleString()
+def candidate_counts(reps: DataFrame) -> tuple[np.ndarray, int]:
+    """(PARTS, OPTIONS) estimated pairs of texts that agree in a partition by each option, and the number of texts.
+
+    Every task counts the signatures of its texts in SKETCH_BUCKETS buckets per
+    partition and option; the sums, of fixed size whatever the number of texts, give
+    the second moments, corrected for texts that share a bucket by chance.
+    """
 
     def tally(batches):
-        counts = np.zeros(SKETCH_BUCKETS, np.int64)
+        counts = np.zeros(PARTS * OPTIONS * SKETCH_BUCKETS, np.int64)
+        base = np.arange(PARTS * OPTIONS) * SKETCH_BUCKETS
         for _, sets in _blocks(batches, 0):
-            counts += np.bincount((signatures(sets) % np.uint64(SKETCH_BUCKETS)).astype(np.int64).ravel(), minlength=SKETCH_BUCKETS)
+            at = (signatures(sets).reshape(len(sets), -1) >> np.uint64(40)).astype(np.int64) % SKETCH_BUCKETS + base
+            counts += np.bincount(at.ravel(), minlength=counts.size)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["bucket", "c"])
 
-    # A count sketch of fixed size, whatever the number of texts, is what comes to the driver.
     got = reps.select("grams").mapInArrow(tally, "bucket int, c long").groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
-    sketch = np.zeros(SKETCH_BUCKETS, np.float32)
+    sketch = np.zeros(PARTS * OPTIONS * SKETCH_BUCKETS)
     sketch[got.column("bucket").to_numpy()] = got.column("c").to_numpy()
-    usual = float(np.median(sketch))
-    texts = sketch.sum() / (PARTS * (WIDTH - LEAST + 1))
-    widths = np.arange(LEAST, WIDTH + 1)
-    gains = -np.log1p(-(threshold**widths))
-    need = -math.log(1 - recall)
-    # Besides what the sketch knows about frequent signatures: unrelated texts that agree by chance, and the probe itself.
-    chance = (1 + texts * 0.12**widths).astype(np.float32)
+    sketch = sketch.reshape(PARTS, OPTIONS, SKETCH_BUCKETS)
+    n = sketch[0, 0].sum()
+    second = ((sketch**2).sum(2) - n * n / SKETCH_BUCKETS) / (1 - 1 / SKETCH_BUCKETS)
+    return np.maximum(second - n, 0) / 2, int(n)
+
+
+def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.998) -> DataFrame:
+    """Distinct pairs a < b of ids that agree in a partition as far as its threshold asks, and have compatible set sizes."""
+    kind = reps.schema["id"].dataType.simpleString()
+    pairs, n = candidate_counts(reps)
+    gains = -np.log1p(-(threshold ** np.arange(LEAST, WIDTH + 1)))
+    # A partition also costs a row per text, which is sent and sorted like a candidate.
+    option = allocate((pairs + n)[None], gains, -math.log(1 - recall))[0]
+    part = np.flatnonzero(option >= 0)
+    width = option[part]
 
     def index(batches):
-        for part, sets in _blocks(batches, 2):
-            sig = signatures(sets)
-            each = PARTS * (WIDTH - LEAST + 1)
-            at = np.repeat(np.arange(len(sets)), each)
-            yield pa.RecordBatch.from_arrays([pa.array(sig.reshape(-1).view(np.int64)), part.column(0).take(pa.array(at)), part.column(1).take(pa.array(at))], names=["sig", "a", "na"])
-
-    def probe(batches):
-        for part, sets in _blocks(batches, 2):
-            sig = signatures(sets)
-            costs = np.maximum(sketch[(sig % np.uint64(SKETCH_BUCKETS)).astype(np.int64)] - 2 * usual, 0) + chance
-            option = allocate(costs, gains, need)
-            i, p = np.nonzero(option >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(sig[i, p, option[i, p]].view(np.int64)), part.column(0).take(pa.array(i)), part.column(1).take(pa.array(i))], names=["sig", "b", "nb"])
-
-    src = reps.select("id", "n", "grams")
-    left = src.mapInArrow(index, f"sig long, a {kind}, na int")
-    right = src.mapInArrow(probe, f"sig long, b {kind}, nb int")
-    met = left.join(right, "sig").where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold) - 1e-9))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.995) -> tuple[DataFrame, DataFrame]:
+        for rows, sets in _blocks(batches, 2):
+            sig = signatures(sets)[:, part, width]
+            at = pa.array(np.repeat(np.arange(len(sets)), len(part)))
+            yield pa.RecordBatch.from_arrays([pa.array(sig.reshape(-1).view(np.int64)), rows.column(0).take(at), rows.column(1).take(at)], names=["sig", "a", "na"])
+
+    left = reps.select("id", "n", "grams").mapInArrow(index, f"sig long, a {kind}, na int")
+    right = left.withColumnsRenamed({"a": "b", "na": "nb"})
+    met = left.join(right, "sig").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold) - 1e-9))
+    return met.select("a", "b").distinct()
+
+
+def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.998) -> tuple[DataFrame, DataFrame]:
     """(members, links): id and rep of every record, and verified links (a, b, similarity) between representatives.
 
     ``sets`` is the output of :func:`shingle_sets`, cut.  The representative of a
