@@ -44,8 +44,8 @@ def _units(a: int, b: int, level: int, cuts: list[np.ndarray], budget: int) -> I
     if b - a <= budget:
         yield a, b
     elif level == len(cuts):  # single size units: words, or characters
-        for x in range(a, b, budget):
-            yield x, min(b, x + budget)
+        for x in range(a, b):
+            yield x, x + 1
     else:
         own = cuts[level]
         edges = [a, *own[(own > a) & (own < b)].tolist(), b]
