@@ -94,3 +94,60 @@ def results_markdown(results: DataFrame) -> str:
         per[name] = per.get(name, 0) + 1
     out = ["# Results", "", *(f"- {k}: {v}" for k, v in sorted(per.items())), f"- total: {len(rows)}", ""]
     return "\n".join(out + [f"## {i + 1}\n\n```json\n{json.dumps(r, ensure_ascii=False, default=str)}\n```\n" for i, r in enumerate(rows)])
+
+
+def cluster_rows(nodes: DataFrame, leaf_chunks: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The rows of clusters.csv: size, children, texts, tokens, flags, parent, level, shares of documents and text classes."""
+    from quire.functions.text import padded_id
+    from quire.operators.hierarchy import node_flags, share_list, shares
+
+    roll = token_rollup(leaf_chunks, chunks)
+    kids = nodes.select(parent_id(F.col("cluster_id")).alias("cluster_id")).where("cluster_id is not null").groupBy("cluster_id").agg(F.count("*").alias("children"))
+    docs = share_list(shares(leaf_chunks, chunks, "document_name")).withColumnRenamed("shares", "source_documents")
+    classes = share_list(shares(leaf_chunks, chunks, "chunk_text_class")).withColumnRenamed("shares", "text_class")
+    n = nodes.select("cluster_id", "label", "summary").join(node_flags(nodes.select("cluster_id", "is_leaf")), "cluster_id")
+    for part in (roll.select("cluster_id", F.col("chunks").alias("size"), F.col("tokens").alias("token_count")), kids, docs, classes):
+        n = n.join(part, "cluster_id", "left")
+    zero = F.lit(0).cast("long")
+    return n.select(F.col("padded").alias("cluster_id"), F.coalesce("size", zero).alias("size"), F.coalesce("children", zero).alias("children"), "summary", "label", F.coalesce("token_count", zero).alias("token_count"), "document_cluster", "is_leaf", "all_child_leaf", "all_child_internal", "has_leaf_sibling", "has_internal_sibling", padded_id(parent_id(F.col("cluster_id"))).alias("parent"), "level", "source_documents", "text_class")
+
+
+def category_records(nodes: DataFrame, leaf_chunks: DataFrame, chunks: DataFrame) -> DataFrame:
+    """One record per cluster for the category files: texts, document flag, shares of documents and of text classes."""
+    from quire.operators.hierarchy import node_flags, shares
+
+    def listed(column: str, name: str, label: str) -> DataFrame:
+        s = shares(leaf_chunks, chunks, column)
+        return s.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct(F.col("name").alias(label), F.col("share").alias("tokens_percentage")))).alias(name))
+
+    flags = node_flags(nodes.select("cluster_id", "is_leaf")).select("cluster_id", F.col("document_cluster").alias("is_document_cluster"))
+    return nodes.select("cluster_id", "label", "summary", "keywords").join(flags, "cluster_id").join(listed("document_name", "source_documents", "document_name"), "cluster_id", "left").join(listed("chunk_text_class", "text_class", "class"), "cluster_id", "left")
+
+
+def nested_tree(nodes: DataFrame, leaf_chunks: DataFrame) -> dict:
+    """The minimal nested tree (cluster_id, size, children, chunk_ids) for a tree file; a file holds one tree, read in path order."""
+    chunks: dict[str, list] = {}
+    for r in leaf_chunks.orderBy("cluster_id", "chunk_id").toLocalIterator():
+        chunks.setdefault(r["cluster_id"], []).append(r["chunk_id"])
+    made: dict[str, dict] = {}
+    roots: list[dict] = []
+    for r in nodes.orderBy(path_of(F.col("cluster_id"))).toLocalIterator():
+        cid = r["cluster_id"]
+        node = made[cid] = {"cluster_id": cid, "size": r["size"], "children": None}
+        if cid in chunks:
+            node["chunk_ids"] = chunks[cid]
+        parent = made.get(cid.rpartition(".")[0])
+        if parent is None:
+            roots.append(node)
+        else:
+            parent["children"] = parent["children"] or {"clusters": []}
+            parent["children"]["clusters"].append(node)
+            parent["children"]["children_count"] = len(parent["children"]["clusters"])
+    return {"clusters": roots, "children_count": len(roots), "total_clusters": len(made)}
+
+
+def build_summary(parameters: dict, lossless: DataFrame, levels: DataFrame) -> str:
+    """The text of a build's summary file: parameters, the lossless check, and counts per level."""
+    out = ["parameters"] + [f"  {k} = {v}" for k, v in parameters.items()] + ["lossless check"]
+    out += [f"  {r['what']}: {r['v']}" for r in lossless.collect()] + ["levels"]  # five rows
+    return "\n".join(out + [f"  {r['level']}: {r['clusters']} clusters, {r['leaf_chunks']} leaf chunks" for r in levels.orderBy("level").toLocalIterator()])

@@ -196,3 +196,50 @@ def entity_stub(cluster_id: Column, idx: Column, name: Column) -> Column:
 
 def valid_relationship(kind: Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(kind), r"[\s-]+", "_")).isin(*RELATIONSHIP_TYPES)
+
+
+def relationship_stub(cluster_id: Column, idx: Column, source: Column, target: Column, kind: Column) -> Column:
+    """The element that stands in for a relationship the model did not return."""
+    none = F.array().cast("array<string>")
+    return F.struct(F.concat_ws("::", cluster_id, F.lit("rel"), idx.cast("string")).alias("id"), source.alias("source"), target.alias("target"), F.coalesce(kind, F.lit(RELATIONSHIP_TYPES[0])).alias("type"), F.lit("").alias("description"), F.lit(0.5).alias("confidence"), none.alias("attributes"), none.alias("constraints"), cluster_id.alias("cluster_id"))
+
+
+def process_stub(cluster_id: Column, idx: Column, name: Column) -> Column:
+    """The element that stands in for a process the model did not return."""
+    none = F.array().cast("array<string>")
+    return F.struct(F.concat_ws("::", cluster_id, F.lit("proc"), idx.cast("string")).alias("id"), name.alias("name"), cluster_id.alias("cluster_id"), F.lit("").alias("description"), *[none.alias(c) for c in ("steps", "inputs", "outputs", "entities_involved", "relationships_involved", "pre_requisites", "constraints")])
+
+
+def language_view(labelled: DataFrame, language: str) -> DataFrame:
+    """Labels of one language: cluster_id, summary, label, keywords; nodes without that language are left out."""
+    block = F.try_element_at("multilang", F.lit(language))
+    return labelled.where(block.isNotNull()).select("cluster_id", block["summary"].alias("summary"), block["label"].alias("label"), block["keywords"].alias("keywords"))
+
+
+def extraction_inputs(nodes: DataFrame, leaf_texts: DataFrame, outputs: DataFrame, info_type: str, source_type: str | None = None, neighbours: DataFrame | None = None, top_n: int = 0) -> DataFrame:
+    """Inputs of an extraction that are still to do: cluster_id, info_type, input.
+
+    Without ``source_type`` a leaf is described by its chunk texts.  With it, by the
+    cluster's own output of that type (clusters without one are skipped), followed by
+    chunk texts and, up to ``top_n`` texts in all, by ``neighbours`` (cluster_id, rank,
+    text).  ``outputs``: cluster_id, info_type, payload.
+    """
+    base = nodes.select("cluster_id").join(leaf_texts, "cluster_id", "left")
+    if source_type is not None:
+        own = outputs.where(F.col("info_type") == source_type).select("cluster_id", F.col("payload").alias("source"))
+        base = base.join(own, "cluster_id")
+        if neighbours is not None and top_n:
+            near = neighbours.where(F.col("rank") <= top_n).groupBy("cluster_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda x: x["text"]), "\n\n").alias("near"))
+            base = base.join(near, "cluster_id", "left").withColumn("text", F.concat_ws("\n\n", "text", "near"))
+        base = base.withColumn("text", F.concat_ws("\n\n", "source", "text"))
+    todo = pending(base.withColumn("info_type", F.lit(info_type)), outputs, "cluster_id", "info_type")
+    return todo.where("text is not null").select("cluster_id", "info_type", F.col("text").alias("input"))
+
+
+def merged_objects(rows: DataFrame) -> DataFrame:
+    """Business objects of child clusters as their parent's: equal names are one object with all transitions.
+
+    ``rows``: cluster_id, bo_name, bo_transitions (array of strings).
+    """
+    up = rows.select(parent_id(F.col("cluster_id")).alias("cluster_id"), "bo_name", F.explode_outer("bo_transitions").alias("t")).where("cluster_id is not null and bo_name is not null")
+    return up.groupBy("cluster_id", "bo_name").agg(F.array_sort(F.collect_set("t")).alias("bo_transitions"))

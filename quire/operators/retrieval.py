@@ -60,8 +60,10 @@ def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: boo
     usable = lambda c: (F.size(c) > 0) & F.forall(c, lambda x: x.isNotNull()) & F.exists(c, lambda x: x != 0)
     v = _blocks(vectors.where(usable("embedding")).select("id", "embedding"), vkind)
     q = _blocks(queries.where(usable("embedding")).select("query_id", "embedding"), qkind).withColumnsRenamed({"b": "qb", "ids": "qids", "data": "qdata"})
-    # Block rows are few (one per 2048 vectors); every pair of blocks is one task's worth of work.
-    pairs = v.join(q, "dim").repartition("b", "qb")
+    # Vectors are spread over the tasks once; the blocks of the queries go to every task.
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tasks - 1).cast("long")))
+    pairs = v.withColumn("task", F.pmod("b", F.lit(tasks))).join(q.withColumn("task", spread), ["dim", "task"])
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

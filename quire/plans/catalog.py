@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from quire.functions import text as T
 from quire.operators import chunking, documents, drift, embed, hierarchy, layout, models, retrieval, store
+from quire.plans import serving
 from quire.sources.tables import table
 from quire.streaming import ingest
 
@@ -600,6 +601,39 @@ def chunks_csv(spark, d):
     return documents.chunk_rows(leaf_view(spark, d), chunks_view(spark, d))
 
 
+_FLAGS = ORACLES["node_flags"].split("SELECT cluster_id, is_leaf, lk > 0", 1)
+
+
+@query(f"""{_FLAGS[0].replace(f"WITH {NODES}", f"WITH {CHUNKS}, {LEAF}, {_UP}")}, fl AS (SELECT cluster_id, is_leaf, lk > 0{_FLAGS[1]}), roll AS (SELECT cluster_id, count(*) AS size, sum(coalesce(token_count, 0))::BIGINT AS token_count FROM up LEFT JOIN chunks USING (chunk_id) GROUP BY cluster_id),
+kid AS (SELECT {PARENT} AS cluster_id, count(*) AS children FROM nodes WHERE contains(cluster_id, '.') GROUP BY 1) SELECT padded AS cluster_id, coalesce(size, 0) AS size, coalesce(children, 0) AS children, summary, label, coalesce(token_count, 0) AS token_count, document_cluster, fl.is_leaf, all_child_leaf, all_child_internal, has_leaf_sibling, has_internal_sibling,
+CASE WHEN contains(padded, '.') THEN regexp_replace(padded, '\\.[^.]*$', '') END AS parent, level FROM fl JOIN nodes USING (cluster_id) LEFT JOIN roll USING (cluster_id) LEFT JOIN kid USING (cluster_id)""")
+def clusters_csv(spark, d):
+    return documents.cluster_rows(nodes_view(spark, d), leaf_view(spark, d), chunks_view(spark, d)).drop("source_documents", "text_class")
+
+
+@query()
+def category_records(spark, d):
+    c = documents.category_records(nodes_view(spark, d), leaf_view(spark, d), chunks_view(spark, d))
+    return c.select("cluster_id", "label", "is_document_cluster", F.to_json("source_documents").alias("source_documents"), F.to_json("text_class").alias("text_class"))
+
+
+@query()
+def extraction_mock(spark, d):
+    leaf = leaf_view(spark, d)
+    texts = leaf.join(chunks_view(spark, d).select("chunk_id", "text"), "chunk_id").groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n\n").alias("text"))
+    n = nodes_view(spark, d).select("cluster_id")
+    done = n.where("cluster_id like '%1'").select("cluster_id", F.lit("concept").alias("info_type"), F.lit("{}").alias("payload"))
+    todo = models.extraction_inputs(n, texts, done, "concept")
+    return models.complete(todo.withColumn("prompt", F.concat(F.lit("Describe the concept of the text as JSON.\n\n"), F.col("input")))).select("cluster_id", "info_type", "payload", "status")
+
+
+@query()
+def answered_questions(spark, d):
+    chunks = chunks_view(spark, d).where("text is not null").select("chunk_id", "text", "token_count", embed.embed(F.col("text")).alias("embedding"))
+    groups = nodes_view(spark, d).where("is_leaf").select(F.col("cluster_id").alias("id"), embed.embed(F.concat_ws(" ", "label", "summary")).alias("embedding"), F.col("leaf_chunks").alias("chunks"))
+    return serving.answer(_questions(spark, d).withColumnRenamed("query_id", "request_id"), groups, chunks).select("request_id", "language", "status", F.length("context").alias("context_length"))
+
+
 @query(f"WITH {NODES}, q AS (SELECT cluster_id, info_type, count(*) AS n FROM qa_pairs WHERE question IS NOT NULL GROUP BY ALL) SELECT cluster_id, label, count(q.info_type) AS kinds, coalesce(sum(n), 0)::BIGINT AS questions FROM nodes LEFT JOIN q USING (cluster_id) GROUP BY cluster_id, label")
 def outlines(spark, d):
     o = documents.outline(nodes_view(spark, d).select("cluster_id", "label", "summary", "keywords"), table(spark, d, "qa_pairs"))
