@@ -7,6 +7,7 @@ depend on the last bits of a sum.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ def _blocks(df: DataFrame, kind: str) -> DataFrame:
                 flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                 dim = len(flat) // part.num_rows
                 ids = part.column(0).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([hash((str(ids[0]), len(ids))) & 0x7FFFFFFF]), pa.array([ids]), pa.array([dim], pa.int32()), pa.array([flat.tobytes()], pa.binary())], names=["b", "ids", "dim", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids]), pa.array([dim], pa.int32()), pa.array([flat.tobytes()], pa.binary())], names=["b", "ids", "dim", "data"])
 
     return df.mapInArrow(pack, f"b long, ids array<{kind}>, dim int, data binary")
 
