@@ -132,16 +132,20 @@ class Lexicon:
         self.mention = frozenset(fold(terms.MENTION).split())
         self.trie = Trie(set(self.of))
         self.known = known
+        self.correct = Trie({w for w in known if w not in self.of})
         self.seen: dict[str, tuple] = {}
 
     def lookup(self, word: str) -> tuple[str, ...]:
-        """The lexicon words that ``word`` may be; a correctly spelled other word is none of them."""
+        """The lexicon words that ``word`` may be; a correctly spelled other word, or a slip in one, is none of them."""
         if word in self.of:
             return (word,)
         edits = allowed_edits(word)
         if word in self.known or (not edits and "*" not in word):
             return ()
-        return tuple(self.trie.near(word, edits))
+        found = self.trie.near(word, edits)
+        if found and "*" not in word and self.correct.near(word, 1):
+            return ()
+        return tuple(found)
 
     def read(self, piece: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
         """The plain words of a piece of text, each with its lexicon words."""

@@ -48,5 +48,5 @@ SEXUAL = {
     "pt": "fizeram amor nus|nus mesa orgasmo|beijou seios nus|mão entre coxas|tirou sutiã|nu cama gemendo|gemendo de prazer|procuram sexo noite|querem sexo noite|buscam sexo noite|mande fotos nua|quero te despir aqui|tirar sua roupa gozar|filmes adultos sem censura|sexo quente|sexo selvagem",
 }
 
-# Wording around a mention that quotes, forbids or reports it, or speaks of a thing.
-MENTION = "colleague kollegen kollege colega collega compañero collègue rules règlement reglamento regolamento regulamento hausordnung huisregels forbids forbidden verboten prohíbe interdit vietato verboden proibido clause training harassment form formular wire wires draht hahn draad kraan filo rubinetto fil robinet cable grifo fio torneira connector flange"
+# Wording around an insult that quotes, forbids or reports it.
+MENTION = "colleague kollegen kollege colega collega compañero collègue rules règlement reglamento regolamento regulamento hausordnung huisregels forbids forbidden verboten prohíbe interdit vietato verboden proibido clause training harassment"
