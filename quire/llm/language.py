@@ -243,14 +243,26 @@ class LanguageModel:
         return np.where(sure, best, -1), np.clip(conf, 0, 1)
 
 
+def language_weight(tf: np.ndarray, y: np.ndarray, languages: int) -> np.ndarray:
+    """The inverse language frequency of each n-gram: 1 where one language has it, a quarter where all share it alike.
+
+    The number of languages is counted by the entropy of their shares, so that a
+    language with a few stray samples counts little.
+    """
+    rate = np.stack([(tf[y == j] > 0).mean(0) if (y == j).any() else np.zeros(tf.shape[1]) for j in range(languages)])
+    p = rate / np.maximum(rate.sum(0), 1e-12)
+    entropy = -(p * np.log(np.maximum(p, 1e-12))).sum(0)
+    return 0.25 + 0.75 * (1 - entropy / np.log(max(2, languages)))
+
+
 def fit_model(samples: list[tuple[str, str]], centroids: int = 4, quantile: float = 0.01) -> LanguageModel:
     """Fit on (language, segment) pairs of known language; deterministic."""
     names = sorted({lang for lang, _ in samples})
     words = [words_of(s) for _, s in samples]
     tf = dense_counts(words)
-    idf = (np.log((1 + len(samples)) / (1 + (tf > 0).sum(0))) + 1).astype(np.float32)
-    x = _unit(tf * idf)
     y = np.array([names.index(lang) for lang, _ in samples])
+    idf = ((np.log((1 + len(samples)) / (1 + (tf > 0).sum(0))) + 1) * language_weight(tf, y, len(names))).astype(np.float32)
+    x = _unit(tf * idf)
     owner, cents, least = [], [], []
     for j in range(len(names)):
         c, own = spherical_kmeans(x[y == j], centroids)
