@@ -251,14 +251,6 @@ def language_scores(model: LanguageModel, texts: list[str]) -> np.ndarray:
     return top
 
 
-def sure_language(scores: np.ndarray, gap: float = 0.02) -> np.ndarray:
-    """The nearest language of each row of scores, -1 where the next is nearly as near."""
-    if not len(scores):
-        return np.zeros(0, int)
-    two = np.sort(scores, axis=1)[:, -2:]
-    return np.where(two[:, 1] - two[:, 0] >= gap, scores.argmax(1), -1)
-
-
 def other_than(question: np.ndarray, text: np.ndarray, gap: float = 0.05) -> int:
     """The language of ``text`` seen from the question: another one only where both scores clearly say so.
 
@@ -277,14 +269,14 @@ def tag_batch(rows: list[tuple[str, str, tuple | None]], model: LanguageModel, f
     split = [clauses_of(a) for _, a, _ in rows]
     flat = [c for cs in split for c in cs]
     scores = language_scores(model, [q for q, _, _ in rows] + [" ".join(_QUOTED.sub(" ", c) for c in cs) for cs in split] + flat)
-    sure = sure_language(scores[: len(rows)])
     out, at = [], 2 * len(rows)
     for i, ((q, _, ends), cs) in enumerate(zip(rows, split)):
         mine = scores[i]
+        asked = int(mine.argmax()) if mine.any() else -1
         answer = other_than(mine, scores[len(rows) + i])
-        x = features(q, cs, int(sure[i]), [other_than(mine, scores[at + j]) for j in range(len(cs))], answer, ends)
+        x = features(q, cs, asked, [other_than(mine, scores[at + j]) for j in range(len(cs))], answer, ends)
         at += len(cs)
-        out.append((cs, field.decode(x) if field and cs else x, int(sure[i]), answer))
+        out.append((cs, field.decode(x) if field and cs else x, asked, answer))
     return out
 
 
@@ -336,8 +328,9 @@ def _sample(pairs: DataFrame, sample_rows: int) -> list[tuple[str, str]]:
 def question_languages(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800) -> LanguageModel:
     """The language model, widened by questions of a bounded sample, which mostly have the language of their answer."""
     rows = _sample(pairs, sample_rows)
-    langs = sure_language(language_scores(model, [a for _, a in rows]), 0.05).tolist()
-    return widen(model, [(model.names[k], q) for (q, _), k in zip(rows, langs) if k >= 0])
+    scores = language_scores(model, [a for _, a in rows])
+    two = np.sort(scores, axis=1)[:, -2:]
+    return widen(model, [(model.names[s.argmax()], q) for (q, _), s, t in zip(rows, scores, two) if t[1] - t[0] >= 0.05])
 
 
 def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800, seed: int = 3) -> ChainField:
