@@ -345,6 +345,13 @@ def source_language(spark, d):
     return models.source_language(kids)
 
 
+@query("SELECT vec_id AS chunk_id, '0.' || r AS cluster_id FROM embeddings JOIN (SELECT label, row_number() OVER (ORDER BY min(vec_id)) - 1 AS r FROM embeddings GROUP BY label) USING (label)")
+def renumber(spark, d):
+    v = table(spark, d, "embeddings")
+    # The level below the label has one child each, so it is dropped.
+    return hierarchy.renumber(v.select(F.col("vec_id").alias("chunk_id"), F.concat(F.lit("0."), F.col("label").cast("string"), F.lit(".0")).alias("path")))
+
+
 @query()
 def topic_tree(spark, d):
     v = table(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
