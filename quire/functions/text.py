@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words that carry no meaning in a German query, and words every record of the knowledge base has.
+# Words that carry no meaning in a German query, and words every record of such a knowledge base has
+# (the name of the product it describes is added by the caller).
 STOPWORDS = "der die das den dem des ein eine einer einem eines und oder aber nicht von mit zu im in an auf ist was wie wo wer warum für bei durch ohne gegen zwischen".split()
-COMMON_WORDS = "almendro erp system funktionen erp-system module prozesse prozess".split()
+COMMON_WORDS = "erp system funktionen erp-system module prozesse prozess".split()
 # Roots of German compounds.
 COMPOUND_ROOTS = "stamm lohn daten kosten stelle stellen personal art arten zeit plan auftrag material artikel kunde adresse nummer regel regelung kalkulation preis gruppe".split()
 
@@ -77,10 +78,10 @@ def compound_parts(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(f"({longest_first})"), F.lit(1))
 
 
-def query_terms(c: Column) -> Column:
+def query_terms(c: Column, more_common: tuple[str, ...] = ()) -> Column:
     """Search terms of a query: its words but stop words and common words, all of them run together, and the roots of compounds; sorted, three letters at least."""
     plain = F.regexp_replace(F.replace(F.lower(c), F.lit("_"), F.lit(" ")), r"(?U)[^\w ]+", " ")
-    kept = F.filter(F.split(plain, r"(?U)\s+"), lambda x: (x != "") & ~x.isin(STOPWORDS + COMMON_WORDS))
+    kept = F.filter(F.split(plain, r"(?U)\s+"), lambda x: (x != "") & ~x.isin([*STOPWORDS, *COMMON_WORDS, *more_common]))
     alpha = F.filter(kept, lambda x: x.rlike(r"^(?U)\p{L}+$"))
     # The words are joined by a character that no root can cross.
     every = F.concat(kept, F.array(F.array_join(kept, "")), compound_parts(F.array_join(alpha, " ")))
