@@ -157,8 +157,7 @@ hyb0 AS (SELECT query_id, chunk_id, dense, sparse, CASE WHEN bool_or(s) OVER (PA
 hyb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(hybrid, 6) DESC, chunk_id) AS rank FROM hyb0) WHERE rank <= 40)"""
 
 
-def _hybrid(spark, d):
-    docs, asked = _texts(spark, d)
+def _hybrid(docs, asked):
     dense = retrieval.dense_topk(asked, docs.withColumnRenamed("chunk_id", "id"), 40)
     sparse = retrieval.topk(retrieval.bm25(docs, asked), 40)
     return docs, asked, retrieval.hybrid(dense, sparse)
@@ -166,7 +165,7 @@ def _hybrid(spark, d):
 
 @query(f"{_HYB} SELECT query_id, chunk_id, dense, round(sparse + 1e-9, 5) AS sparse, round(hybrid + 1e-9, 5) AS hybrid, rank FROM hyb")
 def hybrid_topk(spark, d):
-    return _hybrid(spark, d)[2].select("query_id", "chunk_id", "dense", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("sparse", "hybrid")], "rank")
+    return _hybrid(*_texts(spark, d))[2].select("query_id", "chunk_id", "dense", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("sparse", "hybrid")], "rank")
 
 
 _RERANK = f"{_HYB}, fin AS (SELECT h.query_id, h.chunk_id, d.text, len(list_intersect({WORDS.format('lower(q.text)')}, {WORDS.format('lower(d.text)')})) AS keyword_score, hybrid FROM hyb h JOIN asked q USING (query_id) JOIN docs d USING (chunk_id)), ranked AS (SELECT *, hybrid + 0.2 * keyword_score AS final FROM fin)"
@@ -174,13 +173,41 @@ _RERANK = f"{_HYB}, fin AS (SELECT h.query_id, h.chunk_id, d.text, len(list_inte
 
 @query(f"{_RERANK} SELECT query_id, chunk_id, keyword_score, round(final + 1e-9, 5) AS final FROM ranked")
 def keyword_rerank(spark, d):
-    docs, asked, ranked = _hybrid(spark, d)
+    docs, asked, ranked = _hybrid(*_texts(spark, d))
     return retrieval.rerank_keywords(ranked, asked, docs).select("query_id", "chunk_id", "keyword_score", F.round(F.col("final") + 1e-9, 5).alias("final"))
 
 
 @query(f"{_RERANK}, once AS (SELECT *, row_number() OVER (PARTITION BY query_id, md5(trim(text, ' \n\t\r')) ORDER BY round(final, 6) DESC, chunk_id) AS copy FROM ranked) SELECT query_id, chunk_id, final_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(final, 6) DESC, chunk_id) AS final_rank FROM once WHERE copy = 1) WHERE final_rank <= 10")
 def dedupe_final(spark, d):
-    docs, asked, ranked = _hybrid(spark, d)
+    docs, asked, ranked = _hybrid(*_texts(spark, d))
+    return retrieval.dedupe_final(retrieval.rerank_keywords(ranked, asked, docs)).select("query_id", "chunk_id", "final_rank")
+
+
+# The three queries above are what their SQL says: documents that have a vector, asked with
+# eight words.  The three below search all documents; the vectors are those of the texts.
+
+
+def _all_texts(spark, d):
+    """All documents that have a text, each with the vector of its text; and the queries with theirs."""
+    docs = table(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("chunk_id"), "text", embed.embed(F.col("text")).alias("embedding"))
+    asked = docs.where("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(T.words(F.col("text")), 1, 8), " ").alias("text"), "embedding")
+    return docs, asked
+
+
+@query()
+def hybrid_all(spark, d):
+    return _hybrid(*_all_texts(spark, d))[2].select("query_id", "chunk_id", "dense", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("sparse", "hybrid")], "rank")
+
+
+@query()
+def keyword_rerank_all(spark, d):
+    docs, asked, ranked = _hybrid(*_all_texts(spark, d))
+    return retrieval.rerank_keywords(ranked, asked, docs).select("query_id", "chunk_id", "keyword_score", F.round(F.col("final") + 1e-9, 5).alias("final"))
+
+
+@query()
+def dedupe_final_all(spark, d):
+    docs, asked, ranked = _hybrid(*_all_texts(spark, d))
     return retrieval.dedupe_final(retrieval.rerank_keywords(ranked, asked, docs)).select("query_id", "chunk_id", "final_rank")
 
 
