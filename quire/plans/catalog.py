@@ -184,14 +184,13 @@ def dedupe_final(spark, d):
 
 
 # The three queries above are what their SQL says: documents that have a vector, asked with
-# eight words.  The three below search all documents; the vectors are those of the texts.
+# eight words.  The three below ask with whole questions and search all documents.
 
 
 def _all_texts(spark, d):
-    """All documents that have a text, each with the vector of its text; and the queries with theirs."""
+    """All documents that have a text, and the whole questions, each with the vector of its text."""
     docs = table(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("chunk_id"), "text", embed.embed(F.col("text")).alias("embedding"))
-    asked = docs.where("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(T.words(F.col("text")), 1, 8), " ").alias("text"), "embedding")
-    return docs, asked
+    return docs, _questions(spark, d).withColumn("embedding", embed.embed(F.col("text")))
 
 
 @query()

@@ -52,29 +52,29 @@ def hybrid(texts, asked, vector):
     return {j: both[j] for j in sorted(both, key=lambda j: (-round(both[j], 6), j))[:40]}
 
 
-def queries_of(texts):
-    """(query_id, text, vector) of every twentieth document."""
-    return [(i, " ".join(texts[i].split()[:8]), HashedWords().embed([texts[i]])[0].astype(float)) for i in range(0, 80, 20)]
+def queries_of(questions):
+    """(query_id, text, vector) of the questions; each has ten words, all of which count."""
+    return [(i, text, HashedWords().embed([text])[0].astype(float)) for i, text in questions]
 
 
 def test_documents_without_a_stored_vector_are_found(spark, folder):
-    d, texts, _ = folder
+    d, texts, questions = folder
     got = {}
     for r in catalog.QUERIES["hybrid_all"](spark, d).collect():
         got.setdefault(r.query_id, {})[r.chunk_id] = r.hybrid
     assert max(c for g in got.values() for c in g) > 9
-    for qid, asked, vector in queries_of(texts):
+    for qid, asked, vector in queries_of(questions):
         want = hybrid(texts, asked, vector)
         assert set(got.pop(qid)) == set(want)
     assert not got
 
 
 def test_final_ranks(spark, folder):
-    d, texts, _ = folder
+    d, texts, questions = folder
     got = {}
     for r in catalog.QUERIES["dedupe_final_all"](spark, d).orderBy("query_id", "final_rank").collect():
         got.setdefault(r.query_id, []).append(r.chunk_id)
-    for qid, asked, vector in queries_of(texts):
+    for qid, asked, vector in queries_of(questions):
         final = {j: s + 0.2 * len(set(asked.split()) & set(texts[j].split())) for j, s in hybrid(texts, asked, vector).items()}
         order, seen = [], set()
         for j in sorted(final, key=lambda j: (-round(final[j], 6), j)):
