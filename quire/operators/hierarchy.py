@@ -23,37 +23,44 @@ from quire.functions.text import ancestors, level_of, padded_id, parent_id, path
 def average_linkage(x: np.ndarray, cutoff: float) -> np.ndarray:
     """Labels of agglomerative clustering by mean cosine distance, merging below ``cutoff``.
 
-    A nearest-neighbour chain over the mutable distance matrix: quadratic time and
-    memory in one group.  Labels are numbered by first appearance; zero vectors have
-    distance 1 to all others.
+    The mean cosine distance of two clusters is 1 less the product of the means of
+    their unit vectors, so a nearest-neighbour chain over these means gives the exact
+    tree: quadratic time, but memory for the vectors only, at every size.  A cluster
+    without a neighbour under the cutoff gets none by later merges and is left out.
+    Labels are numbered by first appearance; zero vectors have distance 1 to all others.
     """
     n = len(x)
     if n == 0:
         return np.zeros(0, int)
     norm = np.linalg.norm(x, axis=1, keepdims=True)
-    u = np.divide(x, norm, out=np.zeros_like(x, dtype=np.float64), where=norm > 0)
-    d = 1 - u @ u.T
-    np.fill_diagonal(d, np.inf)
+    mean = np.divide(x, norm, out=np.zeros_like(x, dtype=np.float64), where=norm > 0)
     size = np.ones(n)
     alive = np.ones(n, bool)
-    label = np.arange(n)
+    own = np.arange(n)  # the clusters that the rows of ``mean`` stand for
     merges = []
     chain: list[int] = []
     left = n
     while left > 1:
+        if left < len(own) // 2 and not chain:
+            mean, size, own = mean[alive], size[alive], own[alive]
+            alive = np.ones(left, bool)
         if not chain:
-            chain.append(int(np.flatnonzero(alive)[0]))
+            chain.append(int(alive.argmax()))
         a = chain[-1]
-        row = np.where(alive, d[a], np.inf)
+        row = 1 - mean @ mean[a]
+        row[~alive] = np.inf
+        row[a] = np.inf
         b = int(row.argmin())
-        if len(chain) > 1 and row[chain[-2]] <= row[b]:
+        if row[b] >= cutoff:
+            alive[chain.pop()] = False
+            left -= 1
+            continue
+        if len(chain) > 1 and row[chain[-2]] <= row[b] + 1e-9:  # so that rounding makes no chain a circle
             b = chain[-2]
         if len(chain) > 1 and b == chain[-2]:
             chain = chain[:-2]
-            merges.append((d[a, b], a, b))
-            new = (size[a] * d[a] + size[b] * d[b]) / (size[a] + size[b])
-            d[a], d[:, a] = new, new
-            d[a, a] = np.inf
+            merges.append((row[b], own[a], own[b]))
+            mean[a] = (size[a] * mean[a] + size[b] * mean[b]) / (size[a] + size[b])
             size[a] += size[b]
             alive[b] = False
             left -= 1
@@ -96,17 +103,14 @@ def build_tree(vectors: DataFrame, cutoff: float = 0.5, decay: float = 0.85, min
     ``weight`` the multi-hot headings of the group are appended.  One grouped pass per
     level; levels are bounded by ``max_depth``.
 
-    Linkage is quadratic in a group, so a group over ``max_group`` is first halved by
-    the sign of its projection on a seeded direction through its mean, as often as
-    needed; the halves are then parts of that level.
+    Linkage of a group is exact at every size; it holds its vectors and takes quadratic
+    time in one task.  ``max_group`` is accepted and does not change the tree.
     """
     with_heading = weight > 0 and "heading" in vectors.columns
     state = vectors.where(F.size("embedding") > 0).select("chunk_id", "embedding", *(["heading"] if with_heading else []), F.lit("0").alias("path"), F.lit(True).alias("open"))
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema)
     level = 0
     while level <= max_depth and cutoff >= min_cutoff:
-        state = _halved(state, max_group)
-
         def split(pdf: pd.DataFrame, cutoff=cutoff) -> pd.DataFrame:
             pdf = pdf.sort_values("chunk_id", ignore_index=True)
             if not pdf["open"].iloc[0] or len(pdf) < min_size:
@@ -130,19 +134,6 @@ def _one_argument(fn):
     return lambda pdf: fn(pdf)
 
 
-def _halved(state: DataFrame, max_group: int) -> DataFrame:
-    """Cut groups over ``max_group`` in halves by a seeded direction until none is left."""
-    for turn in range(64):
-        big = state.where("open").groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > max_group).select("path")
-        if big.isEmpty():
-            return state
-        side = F.aggregate(F.transform("embedding", lambda x, i: x * F.sin(i * 12.9898 + turn * 78.233)), F.lit(0.0), lambda s, x: s + x.cast("double"))
-        marked = state.withColumn("side", side)
-        middle = marked.join(big, "path", "left_semi").groupBy("path").agg(F.percentile_approx("side", 0.5).alias("middle"))
-        state = cut(marked.join(middle, "path", "left").withColumn("path", F.when(F.col("middle").isNotNull(), F.concat("path", F.when(F.col("side") <= F.col("middle"), ".0").otherwise(".1"))).otherwise(F.col("path"))).drop("side", "middle"))
-    return state
-
-
 def renumber(leaves: DataFrame) -> DataFrame:
     """chunk_id and cluster_id: levels with a single child are dropped and children numbered without gaps by first member."""
     split = leaves.select("chunk_id", F.split("path", r"\.").alias("p"))

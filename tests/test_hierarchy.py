@@ -45,6 +45,21 @@ def test_tree_is_lossless_and_gap_free(spark, max_group):
     assert sum(n["size"] for n in nodes if n.is_leaf) == 120
 
 
+def test_tree_does_not_depend_on_max_group(spark):
+    rng = np.random.default_rng(1)
+    x = np.repeat(rng.standard_normal((6, 8)), 20, axis=0) + 0.3 * rng.standard_normal((120, 8))
+    x[7] = 0
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "chunk_id long, embedding array<double>")
+    one, many = ({(r.cluster_id, r.chunk_id) for r in H.build_tree(v, cutoff=0.6, max_group=m).collect()} for m in (4000, 40))
+    assert one == many
+
+
+def test_linkage_of_equal_and_zero_vectors():
+    x = np.array([[1.0, 0], [0, 0], [2, 0], [0, 3], [0, 0], [0, 1], [1, 0]] * 40)
+    own = H.average_linkage(x, 0.5)
+    assert len(set(own[[0, 2, 6]])) == len(set(own[[3, 5]])) == 1 and own.max() + 1 == 2 + 80  # zero vectors stay alone
+
+
 def test_balance_rules():
     e = np.eye(3)
     assert H.balance([6000, 100, 100], [e[0], e[1], e[1]], 5000, 150) == [[0], [1, 2]]
