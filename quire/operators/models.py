@@ -29,10 +29,15 @@ class Client(Protocol):
     def complete(self, prompt: str) -> str: ...
 
 
+TRANSLATE = "Translate the following text. Return only the translation, with no explanations or quotes.\nLanguage: "
+
+
 class MockClient:
-    """Answers every prompt with a JSON object made of the prompt's own words."""
+    """Answers every prompt with a JSON object made of the prompt's own words; a translation is the text itself."""
 
     def complete(self, prompt: str) -> str:
+        if prompt.startswith(TRANSLATE):
+            return prompt.split("\n\n", 1)[1]
         found = re.findall(r"[^\W\d_]{4,}", prompt)
         label = " ".join(found[-4:])
         body = {lang: {"summary": " ".join(found[-12:]), "label": label, "keywords": sorted(set(found))[:3]} for lang in ("EN", "DE")}

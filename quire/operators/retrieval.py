@@ -257,6 +257,74 @@ def partial_ratio(term: str, text: str, least: float = 0.0) -> float:
     return best if best >= least else 0.0
 
 
+def matching_terms(texts: list[str | None], terms: list[str], least: float) -> list[list[str]]:
+    """The terms whose ``partial_ratio`` to each text is at least ``least``, for ``least`` over 200 / 3.
+
+    A term of m letters that is found with l of its letters in a window of n has
+    200 l >= least (m + n), and all but 2 (m - l) + (n - l) of its m - 1 pairs of
+    neighbouring letters stand in the window.  Pairs are counted for all texts and windows at
+    once, and only windows with enough of them are compared.
+    """
+    out: list[list[str]] = [[] for _ in texts]
+    ids: dict[str, int] = {}
+    some = [(i, t) for i, t in enumerate(texts) if t]
+    if not some:
+        return out
+    longest = max(len(t) for _, t in some)
+    edge = max((len(t) for t in terms), default=0)
+    pairs = np.zeros((len(some), longest + 2 * edge), np.int32)  # 0 is no pair
+    for k, (_, t) in enumerate(some):
+        pairs[k, edge : edge + len(t) - 1] = [ids.setdefault(t[j : j + 2], len(ids) + 1) for j in range(len(t) - 1)]
+    length = np.array([len(t) for _, t in some])
+    for term in sorted(terms, key=len):
+        m = len(term)
+        wanted = np.zeros(len(ids) + 1, bool)
+        wanted[[ids[p] for j in range(m - 1) if (p := term[j : j + 2]) in ids]] = True
+        seen = np.zeros((len(some), pairs.shape[1] + 1), np.int16)
+        np.cumsum(wanted[pairs], axis=1, out=seen[:, 1:], dtype=np.int16)
+        first = edge - m + 1  # the window of one letter at the start of a text
+        count = seen[:, first + m - 1 : first + m - 1 + longest + m - 1] - seen[:, first : first + longest + m - 1]
+        # Windows that go over an end of their text are shorter and need fewer pairs.
+        full = (3 * least / 200 - 1) * 2 * m - 1
+        enough = count >= full - 1e-9
+        for j in range(1, m):
+            low = (3 * least / 200 - 1) * (m + j) - 1 - 1e-9
+            enough[:, j - 1] |= count[:, j - 1] >= low
+            at = length + m - 1 - j
+            rows = np.arange(len(some))
+            enough[rows, at] |= count[rows, at] >= low
+        for k in np.flatnonzero(enough.any(axis=1)):
+            i, t = some[k]
+            if term in t or m > len(t):
+                good = term in t or partial_ratio(term, t, least) > 0
+            else:
+                good = False
+                for start in np.flatnonzero(enough[k]) - m + 1:
+                    a, b = max(0, start), min(len(t), start + m)
+                    if a < b and partial_ratio_of(term, t[a:b]) >= least - 1e-9:
+                        good = True
+                        break
+            if good:
+                out[i].append(term)
+        for k in np.flatnonzero(length < m):  # a text shorter than the term is the one that slides
+            i, t = some[k]
+            if term not in out[i] and partial_ratio(term, t, least):
+                out[i].append(term)
+    return out
+
+
+def partial_ratio_of(a: str, b: str) -> float:
+    """The similarity (0..100) of two whole strings by insertions and deletions."""
+    masks: dict[str, int] = {}
+    for i, c in enumerate(a):
+        masks[c] = masks.get(c, 0) | 1 << i
+    full = s = (1 << len(a)) - 1
+    for c in b:
+        u = s & masks.get(c, 0)
+        s = (s + u) | (s - u)
+    return 200.0 * (len(a) - (s & full).bit_count()) / (len(a) + len(b))
+
+
 def lexical_clusters(terms: DataFrame, clusters: DataFrame, least: float = 80.0) -> DataFrame:
     """Clusters (id, text) whose lower-case text fuzzily holds a term of the query: query_id, id.
 
@@ -269,7 +337,14 @@ def lexical_clusters(terms: DataFrame, clusters: DataFrame, least: float = 80.0)
 
     @F.pandas_udf("array<string>")
     def matching(text: pd.Series, block: pd.Series) -> pd.Series:
-        return pd.Series([[t for t in b if partial_ratio(t, x, least)] if x else [] for x, b in zip(text, block)])
+        out = pd.Series([[]] * len(text), dtype=object)
+        blocks = [tuple(b) for b in block]
+        for b in set(blocks):
+            at = [i for i, x in enumerate(blocks) if x == b]
+            for k in range(0, len(at), 512):
+                for i, found in zip(at[k : k + 512], matching_terms([text.iloc[i] for i in at[k : k + 512]], list(b), least)):
+                    out.iat[i] = found
+        return out
 
     hits = spread.join(blocks, "tb").select("id", F.explode(matching("text", "block")).alias("term"))
     return terms.select("query_id", F.explode("terms").alias("term")).join(hits, "term").select("query_id", "id").distinct()

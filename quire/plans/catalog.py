@@ -49,6 +49,19 @@ def nodes_view(spark, d):
     return store.latest(rows, "cluster_id", "record_no")
 
 
+def retrieved_view(spark, d):
+    """The chunks that are stored as retrieved for the clusters, of each the latest record."""
+    rows = table(spark, d, "cluster_records").select("record_no", "cluster_id", "cluster_chunks")
+    return store.latest(rows, "cluster_id", "record_no").select("cluster_id", F.explode("cluster_chunks").alias("chunk_id"))
+
+
+def chunks_of_nodes(spark, d):
+    """All chunks of each cluster, inner ones too: those retrieved and those of leaves."""
+    rows = table(spark, d, "cluster_records").select("record_no", "cluster_id", "cluster_chunks", "leaf_chunks")
+    none = F.array().cast("array<string>")
+    return store.latest(rows, "cluster_id", "record_no").select("cluster_id", F.array_union(F.coalesce("cluster_chunks", none), F.coalesce("leaf_chunks", none)).alias("chunks"))
+
+
 def leaf_view(spark, d):
     return nodes_view(spark, d).where("is_leaf").select("cluster_id", F.explode("leaf_chunks").alias("chunk_id"))
 
@@ -663,7 +676,8 @@ def extraction_mock(spark, d):
 @query()
 def answered_questions(spark, d):
     chunks = chunks_view(spark, d).where("text is not null").select("chunk_id", "text", "token_count", embed.embed(F.col("text")).alias("embedding"))
-    groups = nodes_view(spark, d).where("is_leaf").select(F.col("cluster_id").alias("id"), embed.embed(F.concat_ws(" ", "label", "summary")).alias("embedding"), F.col("leaf_chunks").alias("chunks"))
+    labels = F.concat_ws(" ", "label", "summary")
+    groups = nodes_view(spark, d).join(chunks_of_nodes(spark, d), "cluster_id").select(F.col("cluster_id").alias("id"), F.concat_ws(" ", labels, F.array_join("keywords", " ")).alias("text"), embed.embed(labels).alias("embedding"), "chunks")
     return serving.answer(_questions(spark, d).withColumnRenamed("query_id", "request_id"), groups, chunks).select("request_id", "language", "status", F.length("context").alias("context_length"))
 
 

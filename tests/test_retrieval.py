@@ -60,3 +60,10 @@ def test_lexical_clusters(spark):
     c = spark.createDataFrame([("0.1", "Freight table of the plant"), ("0.2", "Humidity"), ("0.3", None)], "id string, text string")
     q = spark.createDataFrame([(1, ["freigth"]), (2, ["humidity", "plant"])], "query_id int, terms array<string>")
     assert {(r.query_id, r.id) for r in R.lexical_clusters(q, c).collect()} == {(1, "0.1"), (2, "0.1"), (2, "0.2")}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abcde", min_size=1, max_size=9), min_size=1, max_size=4, unique=True), st.lists(st.one_of(st.none(), st.text("abcde ", max_size=30)), max_size=6))
+def test_matching_terms_are_those_of_partial_ratio(terms, texts):
+    want = [sorted(t for t in terms if x and R.partial_ratio(t, x, 80.0)) for x in texts]
+    assert [sorted(x) for x in R.matching_terms(texts, terms, 80.0)] == want
