@@ -493,13 +493,36 @@ def embed_text(spark, d):
     return n.join(drift.lineage(n.select("cluster_id", "label")), "cluster_id").select("cluster_id", drift.embedding_text(F.col("label"), F.col("summary"), F.col("keywords"), F.col("lineage"), F.array().cast("array<string>")).alias("embedding_text"))
 
 
+def _cluster_drift(spark, d):
+    """Size and drift of all clusters between the chunks of their subtrees and the ones retrieved for them."""
+    nodes, chunks = nodes_view(spark, d).select("cluster_id"), chunks_view(spark, d)
+    vectors = chunks.where("text is not null").select("chunk_id", embed.embed(F.col("text")).alias("embedding"))
+    own, matched = drift.subtree_chunks(leaf_view(spark, d)), retrieved_view(spark, d)
+    size = own.groupBy("cluster_id").agg(F.count("*").alias("size"))
+    r = nodes.join(drift.overlap_distance(own, matched, nodes), "cluster_id").join(drift.semantic_shift(own, matched, vectors, nodes), "cluster_id")
+    return r.join(size, "cluster_id", "left").na.fill(0, ["size"])
+
+
+@query()
+def cluster_drift(spark, d):
+    return _cluster_drift(spark, d)
+
+
+@query()
+def cluster_drift_global(spark, d):
+    return drift.drift_global(_cluster_drift(spark, d))
+
+
+@query()
+def cluster_drift_by_depth(spark, d):
+    return drift.drift_by_depth(_cluster_drift(spark, d))
+
+
 @query()
 def cluster_records(spark, d):
-    n, leaf, chunks = nodes_view(spark, d), leaf_view(spark, d), chunks_view(spark, d)
-    pairs = drift.subtree_chunks(leaf)
-    nothing = n.select("cluster_id", F.lit(None).cast("double").alias("overlap_distance"), F.lit(None).cast("double").alias("semantic_shift"))
-    heads = drift.heading_top(pairs.join(chunks.select("chunk_id", "heading_path"), "chunk_id"))
-    r = drift.cluster_records(n.select("cluster_id", "label", "summary", "keywords", "is_leaf"), nothing, drift.lineage(n), heads, pairs, leaf)
+    n, leaf, matched = nodes_view(spark, d), leaf_view(spark, d), retrieved_view(spark, d)
+    heads = drift.heading_top(matched.join(chunks_view(spark, d).select("chunk_id", "heading_path"), "chunk_id"))
+    r = drift.cluster_records(n.select("cluster_id", "label", "summary", "keywords", "is_leaf"), _cluster_drift(spark, d).drop("size"), drift.lineage(n), heads, matched, leaf)
     return r.select("cluster_id", F.to_json("metadata").alias("metadata"), F.size("cluster_chunks").alias("chunks"), F.md5("embedding_text").alias("text_md5"))
 
 
