@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.functions.cut import cut
 from quire.functions.text import normalize_space, token_count, words
 
 # Patterns and limits of the layout rules.
@@ -106,12 +107,23 @@ def classify(blocks: DataFrame) -> DataFrame:
 
 
 def blocks_of(spans: DataFrame) -> DataFrame:
-    """Classified text blocks of spans: one row per (doc, page_num, block_no)."""
+    """Classified text blocks of spans, one row per (doc, page_num, block_no), and a block of the kind image per image span."""
     lines = lines_of(spans)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"])
     columns = F.size(F.array_distinct(F.collect_list(F.round(F.col("x0") / 10) * 10)))
     b = lines.groupBy("doc", "page_num", "block_no").agg(normalize_space(F.array_join(ordered, " ")).alias("text"), F.count("*").alias("lines"), F.min("bold").alias("all_bold"), F.max("font_size").alias("max_font"), F.min_by("font_size", "line_no").alias("first_font"), F.min_by("x0", "line_no").alias("x0"), F.min_by("x1", "line_no").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.sum("spans").alias("spans"), columns.alias("columns"))
-    return classify(b.join(fonts(spans), "doc"))
+    return classify(b.join(fonts(spans), "doc")).withColumn("image_paths", _no_paths()).unionByName(image_blocks(spans), allowMissingColumns=True)
+
+
+def _no_paths() -> Column:
+    return F.array().cast("array<string>")
+
+
+def image_blocks(spans: DataFrame) -> DataFrame:
+    """The image spans as blocks without text, numbered by ``image_no``."""
+    path = F.col("image_path") if "image_path" in spans.columns else F.lit(None).cast("string")
+    number = F.concat_ws(".", "block_no", "line_no", "span_no").alias("image_no")
+    return spans.where("is_image").select("doc", "page_num", "block_no", F.lit("").alias("text"), "x0", "x1", "y0", "y1", F.lit(1).cast("long").alias("spans"), F.lit("image").alias("kind"), F.lit(False).alias("is_process_step"), F.array_compact(F.array(path)).alias("image_paths"), number)
 
 
 def mark_tables(blocks: DataFrame) -> DataFrame:
@@ -121,7 +133,7 @@ def mark_tables(blocks: DataFrame) -> DataFrame:
 
 def mark_captions(blocks: DataFrame) -> DataFrame:
     """Captions: by wording and a smaller font, or a small paragraph beside a table or an image."""
-    order = Window.partitionBy("doc").orderBy("page_num", "block_no")
+    order = Window.partitionBy("doc").orderBy("page_num", "block_no", F.col("kind") == "image")
     worded = F.col("text").rlike(CAPTION) & (F.col("first_font") < F.col("avg_font"))
     b = blocks.withColumn("was", F.col("kind")).withColumn("kind", F.when(worded, "caption").otherwise(F.col("kind")))
     beside = F.coalesce(F.lag("kind").over(order).isin("table", "image"), F.lit(False)) | F.coalesce(F.lead("was").over(order).isin("table", "image"), F.lit(False))
@@ -130,10 +142,10 @@ def mark_captions(blocks: DataFrame) -> DataFrame:
 
 
 def mark_sidebars(blocks: DataFrame, pages: DataFrame) -> DataFrame:
-    """Narrow blocks at a page's edge that are no heading are sidebars; the width is that of page 1."""
+    """Narrow blocks at a page's edge that are no heading or image are sidebars; the width is that of page 1."""
     first = pages.where("page_num = 1").select("doc", "width")
     narrow = (F.col("x1") - F.col("x0") < 0.4 * F.col("width")) & ((F.col("x0") < 50) | (F.col("x1") > F.col("width") - 50))
-    return blocks.join(first, "doc", "left").withColumn("kind", F.when((F.col("kind") != "heading") & F.coalesce(narrow, F.lit(False)), "sidebar").otherwise(F.col("kind"))).drop("width")
+    return blocks.join(first, "doc", "left").withColumn("kind", F.when(~F.col("kind").isin("heading", "image") & F.coalesce(narrow, F.lit(False)), "sidebar").otherwise(F.col("kind"))).drop("width")
 
 
 def heading_levels(blocks: DataFrame) -> DataFrame:
@@ -165,6 +177,19 @@ def attach_images(blocks: DataFrame, images: DataFrame, pages: DataFrame) -> Dat
     return every.withColumn("n", F.row_number().over(best)).where("n = 1").select(columns[:5])
 
 
+def place_images(blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """Blocks without the images, whose paths go to the blocks that ``attach_images`` finds for them, in their order."""
+    images, text = blocks.where("kind = 'image'"), blocks.where("kind <> 'image'")
+    found = attach_images(text, images.select("doc", "page_num", "image_no", "y0", "y1"), pages)
+    paths = found.join(images.select("doc", "page_num", "image_no", F.col("block_no").alias("own_no"), "image_paths"), ["doc", "page_num", "image_no"])
+    held = paths.groupBy("doc", F.col("block_page").alias("page_num"), "block_no").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page_num", "own_no", "image_no", "image_paths"))), lambda x: x["image_paths"])).alias("held"))
+    return text.join(held, ["doc", "page_num", "block_no"], "left").withColumn("image_paths", F.coalesce("held", _no_paths())).drop("held", "image_no")
+
+
+def _fold_in(blocks: DataFrame) -> DataFrame:
+    return blocks.select(*_FOLD_IN, F.col("image_paths") if "image_paths" in blocks.columns else _no_paths().alias("image_paths"))
+
+
 _FOLD_IN = ["doc", "page_num", "block_no", "text", "kind", "heading_level", "y0"]
 
 
@@ -178,16 +203,17 @@ def merge_cross_page(blocks: DataFrame) -> DataFrame:
             p = out[-1] if out else None
             if p and p["kind"] == r["kind"] == "paragraph" and r["page_num"] == p["page_num"] + 1 and r["y0"] < 100 and not any(s.match(r["text"]) for s in stop):
                 p["text"] = f"{p['text']} {r['text']}"
+                p["image_paths"] = [*p["image_paths"], *r["image_paths"]]
             else:
                 out.append(r)
-        return pd.DataFrame(out, columns=_FOLD_IN)
+        return pd.DataFrame(out, columns=[*_FOLD_IN, "image_paths"])
 
-    src = blocks.select(*_FOLD_IN)
+    src = _fold_in(blocks)
     return src.groupBy("doc").applyInPandas(one, src.schema)
 
 
 def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Chunks of a document's blocks in order, with heading path, pages, kinds and tokens.
+    """Chunks of a document's blocks in order, with heading path, pages, kinds, tokens and images.
 
     A chunk ends before a heading (a numbered one of level 4 or less, or any other), at
     a new page, where the kind changes (paragraphs and list items go together), and
@@ -205,7 +231,7 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFr
             kinds = sorted({b["kind"] for b in now})
             if any(k != "heading" for k in kinds):
                 text = " ".join(" ".join(b["text"] for b in now).split())
-                chunks.append((pdf["doc"].iloc[0], len(chunks) + 1, sorted({int(b["page_num"]) for b in now}), list(path), text, len(text.split()), kinds[0] if len(kinds) == 1 else "mixed", " + ".join(kinds)))
+                chunks.append((pdf["doc"].iloc[0], len(chunks) + 1, sorted({int(b["page_num"]) for b in now}), list(path), text, len(text.split()), kinds[0] if len(kinds) == 1 else "mixed", " + ".join(kinds), [p for b in now for p in b["image_paths"]]))
             now = []
 
         for b in pdf.sort_values(["page_num", "block_no"]).to_dict("records"):
@@ -226,14 +252,15 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFr
                 close()
             now.append(b)
         close()
-        return pd.DataFrame(chunks, columns=["doc", "chunk_id", "pages", "heading_path", "text", "token_count", "chunk_type", "mixed_combo"])
+        return pd.DataFrame(chunks, columns=["doc", "chunk_id", "pages", "heading_path", "text", "token_count", "chunk_type", "mixed_combo", "image_paths"])
 
-    src = blocks.select(*_FOLD_IN)
-    return src.groupBy("doc").applyInPandas(one, "doc string, chunk_id int, pages array<int>, heading_path array<string>, text string, token_count int, chunk_type string, mixed_combo string")
+    src = _fold_in(blocks)
+    return src.groupBy("doc").applyInPandas(one, "doc string, chunk_id int, pages array<int>, heading_path array<string>, text string, token_count int, chunk_type string, mixed_combo string, image_paths array<string>")
 
 
 def parse_documents(spans: DataFrame, pages: DataFrame) -> DataFrame:
-    """Spans of all documents to structural chunks: margins, contents pages, blocks, tables, captions, sidebars, levels, page merges."""
-    body = drop_headers_footers(spans, pages).join(toc_pages(spans, pages).select("doc", "page_num"), ["doc", "page_num"], "left_anti")
-    blocks = heading_levels(mark_sidebars(mark_captions(mark_tables(blocks_of(body))), pages))
-    return structural_chunks(merge_cross_page(blocks))
+    """Spans of all documents to structural chunks: margins, contents pages, blocks, tables, captions, sidebars, levels, images, page merges."""
+    spans, pages = cut(spans), cut(pages)
+    body = cut(drop_headers_footers(spans, pages).join(toc_pages(spans, pages).select("doc", "page_num"), ["doc", "page_num"], "left_anti"))
+    blocks = cut(heading_levels(cut(mark_sidebars(mark_captions(mark_tables(cut(blocks_of(body)))), pages))))
+    return structural_chunks(merge_cross_page(place_images(blocks, pages)))

@@ -83,6 +83,21 @@ def pages_view(spark, d):
     return spans_view(spark, d).select("doc", "page_num").distinct().select("*", F.lit(595.0).alias("width"), F.lit(800.0).alias("height"))
 
 
+def illustrated_view(spark, d):
+    """The spans of the chunks and one per image path below the text of its chunk."""
+    once = table(spark, d, "structural_chunks").where("document_name is not null").select("chunk_row", "document_name", "chunk_id", "pages", "text", "image_paths")
+    first = once.groupBy("document_name", "chunk_id").agg(F.min("chunk_row").alias("chunk_row"))
+    page, below = F.coalesce(F.get("pages", F.lit(0)), F.lit(1)).alias("page_num"), F.coalesce(F.size(F.split("text", r"\. ")), F.lit(0))
+    i = once.join(first, ["document_name", "chunk_id", "chunk_row"], "left_semi").select(F.col("document_name").alias("doc"), page, F.col("chunk_id").alias("block_no"), F.greatest(below, F.lit(0)).alias("line_no"), F.posexplode("image_paths").alias("span_no", "image_path"))
+    y = ((F.col("line_no") * 31 + F.col("block_no") * 7) % 700).cast("double")
+    i = i.where("image_path is not null").select("*", F.lit("").alias("text"), F.lit(None).cast("double").alias("font_size"), F.lit(False).alias("bold"), F.lit(150.0).alias("x0"), y.alias("y0"), F.lit(True).alias("is_image"), F.lit(450.0).alias("x1"), (y + 60).alias("y1"))
+    return spans_view(spark, d).withColumn("image_path", F.lit(None).cast("string")).unionByName(i)
+
+
+def illustrated_pages_view(spark, d):
+    return illustrated_view(spark, d).select("doc", "page_num").distinct().select("*", F.lit(595.0).alias("width"), F.lit(800.0).alias("height"))
+
+
 def label_tree_view(spark, d):
     """Vectors as a tree of labels: leaf 0.<label>.<vec_id % 4>."""
     v = table(spark, d, "embeddings")
@@ -603,7 +618,7 @@ def block_agg(spark, d):
 
 @query()
 def block_kinds(spark, d):
-    b = layout.mark_sidebars(layout.mark_captions(layout.mark_tables(layout.blocks_of(spans_view(spark, d)))), pages_view(spark, d))
+    b = layout.mark_sidebars(layout.mark_captions(layout.mark_tables(layout.blocks_of(illustrated_view(spark, d)))), illustrated_pages_view(spark, d))
     return layout.heading_levels(b).select("doc", "page_num", "block_no", "kind", "is_process_step", "heading_level")
 
 
@@ -616,7 +631,7 @@ def heading_levels(spark, d):
 
 @query()
 def parsed_documents(spark, d):
-    return layout.parse_documents(spans_view(spark, d), pages_view(spark, d))
+    return layout.parse_documents(illustrated_view(spark, d), illustrated_pages_view(spark, d))
 
 
 _XML = "replace(replace(translate(regexp_replace(replace(text, '&', '&amp;'), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x{00AD}\\x{200B}-\\x{200D}]', '', 'g'), chr(160) || chr(8232) || chr(8233) || '„“”’‘–—', ' ' || chr(10) || chr(10) || '\"\"\"''''--'), '<', '&lt;'), '>', '&gt;')"

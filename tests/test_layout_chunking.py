@@ -69,3 +69,14 @@ def test_images_and_captions(spark):
     images = spark.createDataFrame([("d", 1, 0, 250.0, 300.0), ("d", 2, 0, 10.0, 60.0), ("d", 1, 1, 500.0, 600.0)], "doc string, page_num int, image_no int, y0 double, y1 double")
     got = {(r.page_num, r.image_no): r.block_no for r in L.attach_images(blocks, images, pages).collect()}
     assert got == {(1, 0): 1, (2, 0): 3, (1, 1): 3}
+
+
+def test_images_of_spans_reach_their_chunks_and_make_captions(spark):
+    rows = [span(1, 0, "The pump stands beside the tank.", y=300.0) + (None,), span(1, 1, "", y=320.0, image=True) + ("p1.jpg",), span(1, 2, "the pump from above", y=420.0, font=6.0) + (None,)]
+    rows += [span(1, 4, f"Body line {i} of the page.", y=500.0 + 12 * i, line=i) + (None,) for i in range(4)] + [span(2, 5, "", y=20.0, image=True) + ("p2.jpg",), span(2, 6, "Far below it goes on.", y=300.0) + (None,)]
+    spans = spark.createDataFrame(rows, SPAN + ", image_path string")
+    pages = spark.createDataFrame([("d", p, 600.0, 800.0) for p in (1, 2)], "doc string, page_num int, width double, height double")
+    kinds = {r.block_no: r.kind for r in L.mark_captions(L.mark_tables(L.blocks_of(spans))).collect()}
+    assert kinds == {0: "paragraph", 1: "image", 2: "caption", 4: "paragraph", 5: "image", 6: "paragraph"}
+    chunks = L.parse_documents(spans, pages).orderBy("chunk_id").collect()
+    assert [(c.chunk_type, c.image_paths) for c in chunks] == [("paragraph", ["p1.jpg"]), ("caption", []), ("paragraph", ["p2.jpg"]), ("paragraph", [])]
