@@ -85,7 +85,7 @@ def mix(docs: DataFrame, targets: DataFrame, block_tokens: int = 256, shard_docs
     usable = docs.where(F.col("n_tokens") > 0).where(F.col("source").isin(names)).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(shards)))
     per_shard = usable.groupBy("source", "shard").agg(F.sum("n_tokens").alias("available"))
     have = {r["source"]: r["available"] for r in per_shard.groupBy("source").agg(F.sum("available").alias("available")).collect()}  # one row per target
-    seats = sainte_lague([plan[n][0] for n in names], round(total / block_tokens), [have.get(n, 0) * plan[n][1] // block_tokens for n in names])
+    seats = sainte_lague([plan[n][0] for n in names], round(total / block_tokens), [-(-have.get(n, 0) * plan[n][1] // block_tokens) for n in names])
     blocks = dict(zip(names, seats))
 
     def quotas(pdf: pd.DataFrame) -> pd.DataFrame:

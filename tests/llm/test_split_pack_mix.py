@@ -106,3 +106,12 @@ def test_mix(spark):
     assert abs(got - total) < 0.02 * total
     empty, report = M.mix(docs.limit(0), plan)
     assert empty.count() == 0 and report.count() == 4
+
+
+def test_source_of_less_than_a_block_is_drawn(spark):
+    rows = [(i, "large", 100) for i in range(100)] + [(1000, "small", 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("large", 0.9, 2), ("small", 0.1, 2)], "source string, target_share double, max_repeats int")
+    drawn, report = M.mix(docs, targets)
+    assert [r.repeats for r in drawn.where("source = 'small'").collect()] == [2]
+    assert {r.source: r.tokens for r in report.collect()}["small"] == 180
