@@ -1,28 +1,40 @@
 """Problem 3: groups of records that are slightly changed copies of each other.
 
-Method: a partitioned Hamming search after the generalised pigeonhole principle.  A
-text is the set of its runs of ``words`` consecutive words; the set is sketched by
-min-wise hashing into a vector of symbols, in which the share of equal symbols
-estimates the similarity.  The vector is cut into partitions.  How many symbols of
-each partition may differ is allocated unequally by dynamic programming over
-candidate counts that are estimated from all texts, so that the partitions together
-find a pair at the threshold with the probability ``recall``.  Matching partitions are
-probed and every candidate is verified exactly on the sets.
+Method: a partitioned Hamming search after the generalised pigeonhole principle.
+
+* A text is the set of its runs of ``words`` consecutive words.  Min-wise hashing
+  sketches it into a vector of SYMBOLS symbols; two texts of similarity s differ in
+  each symbol with probability 1 - s, so similar texts are near in Hamming distance.
+* The bits of a symbol differ together, so they stay in one partition and count as one
+  difference.  Which symbols are grouped into a partition follows from how often each
+  two agree on the same pairs of texts, estimated from all texts by sketches of fixed
+  size.  Such symbols are kept apart: put together they made six times the candidates
+  (see the README), since a partition of alike symbols tells little more than one.
+* Each partition gets a threshold of its own: how many of its symbols may differ, or -1
+  for a partition that is not probed.  Dynamic programming allocates them at the least
+  number of index rows and candidates, the latter estimated from all texts, and so
+  that a pair at the similarity threshold is found with the probability ``recall``.
+  The width of the partitions is the one of WIDTHS whose allocation is cheapest.
+* Two texts differ in at most t of w symbols just when they agree on some w - t of
+  them, whatever their positions; the index holds one row for each such choice.
+* Every candidate is verified exactly on the sets.
 
 The classic principle asks for thresholds that find every pair whatever the position
-of its differences.  At a similarity of 0.6 that needs half of all shingles of a text
-as probes, which gave 9 million candidates for 15,000 texts, growing with the square;
-the constraint is therefore on the probability, as the README says.  For the same
-reason the thresholds are the same for all texts: chosen per text by the counts of its
-own signatures they would avoid just those that it shares with its copies.
+of its differences.  For similarity 0.6 these must add up to more than a third of all
+symbols, which makes almost every pair of texts a candidate; the constraint is
+therefore on the probability.  The thresholds are the same for all texts: chosen per
+text by the counts of its own signatures they would avoid just those that it shares
+with its copies.
 
 Exact copies are merged into one class before the search, so a text held by any share
-of the rows is searched once.
+of the rows is searched once.  No join here may be broadcast: the optimiser takes the
+output of Python for much smaller than it is, hence the merge hints.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -37,12 +49,15 @@ from quire.functions.cut import cut
 
 _WORD = re.compile(r"[^\W_]+")
 
-PARTS, WIDTH, LEAST = 64, 6, 4
-OPTIONS = WIDTH - LEAST + 1
-SKETCH_BUCKETS = 1 << 10
+SYMBOLS = 192
+WIDTHS = {4: 1, 6: 2}  # width of a partition: the most symbols of it that may differ
+CHOICES = {w: [list(itertools.combinations(range(w), w - t)) for t in range(most + 1)] for w, most in WIDTHS.items()}
+SKETCH_BUCKETS, SIGNS = 1 << 10, 2
+_PAIR_COST = 8  # a candidate costs as much as so many index rows
 _SEED = np.random.default_rng(20240229)
-_XOR = _SEED.integers(0, 2**63, PARTS * WIDTH, dtype=np.uint64)
-_MUL = _SEED.integers(0, 2**63, PARTS * WIDTH, dtype=np.uint64) | np.uint64(1)
+_XOR = _SEED.integers(0, 2**32, SYMBOLS, dtype=np.uint32)
+_MUL = _SEED.integers(0, 2**32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
+_SIGN = _SEED.integers(0, 2**32, (SIGNS, SYMBOLS), dtype=np.uint32) | np.uint32(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,7 +88,11 @@ def shingles(text: str | None, words: int, known: dict[str, int]) -> np.ndarray:
 
 
 def shingle_sets(df: DataFrame, key: str, field: str, words: int) -> DataFrame:
-    """``id``, ``class`` (shared by equal sets), ``n`` and ``grams`` of every text that has a shingle; one narrow pass."""
+    """``id``, ``class`` (shared by equal sets), ``n`` and ``grams`` of every text that has a shingle; one narrow pass.
+
+    Classes are named by all 64 bits of each shingle, ``grams`` holds 32 of them: in a
+    pair of texts of 100 shingles two different ones meet with a chance of 1 in 400,000.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,28 +105,52 @@ def shingle_sets(df: DataFrame, key: str, field: str, words: int) -> DataFrame:
                 if not keep:
                     continue
                 sets = [sets[i] for i in keep]
-                grams = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets).view(np.int64)))
+                grams = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array((np.concatenate(sets) >> np.uint64(32)).astype(np.uint32).view(np.int32)))
                 names = pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), names, pa.array([s.size for s in sets], pa.int32()), grams], names=["id", "class", "n", "grams"])
 
-    return df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{field}`").alias("text")).mapInArrow(run, f"id {kind}, class binary, n int, grams array<long>")
+    return df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{field}`").alias("text")).mapInArrow(run, f"id {kind}, class binary, n int, grams array<int>")
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set and partition, the signatures over its first 4, 5 and 6 symbols: (sets, PARTS, OPTIONS)."""
+def symbols(sets: list[np.ndarray]) -> np.ndarray:
+    """The sketch of each set, (sets, SYMBOLS): the least of its shingles in SYMBOLS random orders."""
     flat, sizes = np.concatenate(sets), np.fromiter(map(len, sets), np.int64, len(sets))
     first = np.cumsum(sizes) - sizes
-    out = np.empty((len(sets), PARTS, OPTIONS), np.uint64)
-    for p in range(PARTS):
-        sig = np.full(len(sets), p + 1, np.uint64)
-        for k in range(WIDTH):
-            j = p * WIDTH + k
-            sig = _scramble(sig * _MIX ^ np.minimum.reduceat((flat ^ _XOR[j]) * _MUL[j], first))
-            if k + 1 >= LEAST:
-                out[:, p, k + 1 - LEAST] = sig
+    out = np.empty((SYMBOLS, len(sets)), np.uint32)
+    for j in range(SYMBOLS):
+        out[j] = np.minimum.reduceat((flat ^ _XOR[j]) * _MUL[j], first)
+    return out.T
+
+
+def signatures(sketch: np.ndarray, group: np.ndarray, differ: int) -> np.ndarray:
+    """(texts, choices): a hash of the symbols of one partition for each choice of all but ``differ`` of them."""
+    choices = CHOICES[len(group)][differ]
+    out = np.empty((len(sketch), len(choices)), np.uint64)
+    for c, chosen in enumerate(choices):
+        sig = np.full(len(sketch), (int(group[0]) * 64 + differ) * 64 + c + 1, np.uint64)
+        for k in chosen:
+            sig = _scramble(sig * _MIX ^ sketch[:, group[k]].astype(np.uint64))
+        out[:, c] = sig
     return out
 
 
+def grouped(agree: np.ndarray, width: int) -> np.ndarray:
+    """(partitions, width): every symbol once, in partitions of symbols that rarely agree on the same pairs of texts.
+
+    Greedily: of the symbols left, the one that agrees most often opens a partition, and
+    the one that agrees least often together with those already in it comes next.
+    """
+    left, out = list(range(len(agree))), []
+    while left:
+        part = [max(left, key=lambda j: agree[j, j])]
+        left.remove(part[0])
+        while len(part) < width:
+            part.append(min(left, key=lambda j: agree[part, j].sum()))
+            left.remove(part[-1])
+        out.append(part)
+    return np.array(out)
+
+
 def allocate(costs: np.ndarray, gains: np.ndarray, need: float, steps: int = 500) -> np.ndarray:
     """Thresholds by dynamic programming: for each row and partition an option (or -1: not probed).
 
@@ -149,77 +192,129 @@ def allocate(costs: np.ndarray, gains: np.ndarray, need: float, steps: int = 500
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int, size: int = 500) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], column: int, size: int = 500) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows in blocks, each with the sketches of its sets."""
     for batch in batches:
         for at in range(0, batch.num_rows, size):
             part = batch.slice(at, size)
             col = part.column(column)
             offs = col.offsets.to_numpy()
-            vals = col.values.to_numpy().view(np.uint64)
-            yield part, [vals[a:b] for a, b in zip(offs, offs[1:])]
+            vals = col.values.to_numpy().view(np.uint32)
+            yield part, symbols([vals[a:b] for a, b in zip(offs, offs[1:])])
+
+
+def _sums(reps: DataFrame, size: int, add) -> np.ndarray:
+    """The sums over all texts of ``size`` counters, which ``add(counters, sketches)`` changes block by block in every task."""
 
+    def tally(batches):
+        counters = np.zeros(size, np.int64)
+        for _, sketch in _blocks(batches, 0):
+            add(counters, sketch)
+        at = np.flatnonzero(counters)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counters[at])], names=["at", "c"])
+
+    got = reps.select("grams").mapInArrow(tally, "at int, c long").groupBy("at").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(size)
+    out[got.column("at").to_numpy()] = got.column("c").to_numpy()
+    return out
 
-def candidate_counts(reps: DataFrame) -> tuple[np.ndarray, int]:
-    """(PARTS, OPTIONS) estimated pairs of texts that agree in a partition by each option, and the number of texts.
+
+def joint_agreement(reps: DataFrame) -> np.ndarray:
+    """(SYMBOLS, SYMBOLS) estimates of the pairs of texts that agree in both symbols.
+
+    Each symbol of a text has random signs; the square of the sum over all texts of the
+    product of the signs of two symbols estimates how many pairs agree in both.
+    """
+
+    def add(counters, sketch):
+        every = counters.reshape(SIGNS, SYMBOLS, SYMBOLS)
+        for r in range(SIGNS):
+            sign = ((sketch * _SIGN[r]) >> np.uint32(31)).astype(np.float32) * 2 - 1
+            every[r] += (sign.T @ sign).astype(np.int64)
+
+    sums = _sums(reps, SIGNS * SYMBOLS * SYMBOLS, add).reshape(SIGNS, SYMBOLS, SYMBOLS)
+    agree = (sums**2).mean(0)
+    # The sum of a symbol with itself is just the number of texts; its row stands for it.
+    np.fill_diagonal(agree, 0)
+    np.fill_diagonal(agree, agree.sum(1))
+    return agree
+
+
+def candidate_counts(reps: DataFrame, groups: dict[int, np.ndarray]) -> tuple[dict[int, np.ndarray], int]:
+    """For each width (partitions, thresholds): estimated pairs of texts within each threshold; and the number of texts.
 
     Every task counts the signatures of its texts in SKETCH_BUCKETS buckets per
-    partition and option; the sums, of fixed size whatever the number of texts, give
+    partition and threshold; the sums, of fixed size whatever the number of texts, give
     the second moments, corrected for texts that share a bucket by chance.
     """
-
-    def tally(batches):
-        counts = np.zeros(PARTS * OPTIONS * SKETCH_BUCKETS, np.int64)
-        base = np.arange(PARTS * OPTIONS) * SKETCH_BUCKETS
-        for _, sets in _blocks(batches, 0):
-            at = (signatures(sets).reshape(len(sets), -1) >> np.uint64(40)).astype(np.int64) % SKETCH_BUCKETS + base
-            counts += np.bincount(at.ravel(), minlength=counts.size)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["bucket", "c"])
-
-    got = reps.select("grams").mapInArrow(tally, "bucket int, c long").groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
-    sketch = np.zeros(PARTS * OPTIONS * SKETCH_BUCKETS)
-    sketch[got.column("bucket").to_numpy()] = got.column("c").to_numpy()
-    sketch = sketch.reshape(PARTS, OPTIONS, SKETCH_BUCKETS)
-    n = sketch[0, 0].sum()
-    second = ((sketch**2).sum(2) - n * n / SKETCH_BUCKETS) / (1 - 1 / SKETCH_BUCKETS)
-    return np.maximum(second - n, 0) / 2, int(n)
-
-
-def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.998) -> DataFrame:
-    """Distinct pairs a < b of ids that agree in a partition as far as its threshold asks, and have compatible set sizes."""
+    rows = [(w, p, t) for w, g in groups.items() for p in range(len(g)) for t in range(WIDTHS[w] + 1)]
+
+    def add(counters, sketch):
+        for i, (w, p, t) in enumerate(rows):
+            at = (signatures(sketch, groups[w][p], t) >> np.uint64(40)).astype(np.int64) % SKETCH_BUCKETS
+            counters[i * SKETCH_BUCKETS : (i + 1) * SKETCH_BUCKETS] += np.bincount(at.ravel(), minlength=SKETCH_BUCKETS)
+
+    sums = _sums(reps, len(rows) * SKETCH_BUCKETS, add).reshape(len(rows), SKETCH_BUCKETS)
+    n = sums.sum(1)
+    second = ((sums**2).sum(1) - n * n / SKETCH_BUCKETS) / (1 - 1 / SKETCH_BUCKETS)
+    pairs = np.maximum(second - n, 0) / 2
+    out, at = {}, 0
+    for w, g in groups.items():
+        size = len(g) * (WIDTHS[w] + 1)
+        out[w] = pairs[at : at + size].reshape(len(g), -1)
+        at += size
+    return out, int(n[0]) if len(n) else 0
+
+
+def plan_of(reps: DataFrame, threshold: float, recall: float) -> list[tuple[np.ndarray, int]]:
+    """The partitions to probe with their thresholds: the cheapest allocation over all widths."""
+    agree = joint_agreement(reps)
+    groups = {w: grouped(agree, w) for w in WIDTHS}
+    pairs, n = candidate_counts(reps, groups)
+    need, best, least = -math.log(1 - recall), [], math.inf
+    for w, g in groups.items():
+        hit = np.array([sum(math.comb(w, d) * threshold ** (w - d) * (1 - threshold) ** d for d in range(t + 1)) for t in range(WIDTHS[w] + 1)])
+        # A partition costs a row per text and choice, which is sent and sorted, and its candidates.
+        costs = pairs[w] * _PAIR_COST + np.array([len(c) for c in CHOICES[w]]) * max(n, 1)
+        took = allocate(costs[None], -np.log1p(-hit), need)[0]
+        cost = sum(costs[p, t] for p, t in enumerate(took) if t >= 0)
+        if cost < least:
+            least, best = cost, [(g[p], int(t)) for p, t in enumerate(took) if t >= 0]
+    return best
+
+
+def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.995) -> DataFrame:
+    """Distinct pairs a < b of ids that meet the threshold of a partition, and have compatible set sizes."""
     kind = reps.schema["id"].dataType.simpleString()
-    pairs, n = candidate_counts(reps)
-    gains = -np.log1p(-(threshold ** np.arange(LEAST, WIDTH + 1)))
-    # A partition also costs a row per text, which is sent and sorted like a candidate.
-    option = allocate((pairs + n)[None], gains, -math.log(1 - recall))[0]
-    part = np.flatnonzero(option >= 0)
-    width = option[part]
+    probes = plan_of(reps, threshold, recall)
 
     def index(batches):
-        for rows, sets in _blocks(batches, 2):
-            sig = signatures(sets)[:, part, width]
-            at = pa.array(np.repeat(np.arange(len(sets)), len(part)))
-            yield pa.RecordBatch.from_arrays([pa.array(sig.reshape(-1).view(np.int64)), rows.column(0).take(at), rows.column(1).take(at)], names=["sig", "a", "na"])
+        for rows, sketch in _blocks(batches, 2):
+            sig = np.concatenate([signatures(sketch, g, t) for g, t in probes], axis=1)
+            at = pa.array(np.repeat(np.arange(len(sketch)), sig.shape[1]))
+            yield pa.RecordBatch.from_arrays([pa.array(sig.reshape(-1).view(np.int64)), rows.column(0).take(at), rows.column(1).take(at)], names=["sig", "id", "n"])
 
-    left = reps.select("id", "n", "grams").mapInArrow(index, f"sig long, a {kind}, na int")
-    right = left.withColumnsRenamed({"a": "b", "na": "nb"})
-    met = left.join(right, "sig").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold) - 1e-9))
-    return met.select("a", "b").distinct()
+    # Both sides are the same plan, so the index is made and sent once; hot signatures are split by adaptive execution.
+    rows = reps.select("id", "n", "grams").mapInArrow(index, f"sig long, id {kind}, n int").hint("merge")
+    a, b = F.col("x.n"), F.col("y.n")
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.id") < F.col("y.id")) & (F.least(a, b) >= F.greatest(a, b) * F.lit(threshold) - 1e-9))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.998) -> tuple[DataFrame, DataFrame]:
+def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.995) -> tuple[DataFrame, DataFrame]:
     """(members, links): id and rep of every record, and verified links (a, b, similarity) between representatives.
 
     ``sets`` is the output of :func:`shingle_sets`, cut.  The representative of a
     class of equal sets is its smallest id.
     """
     first = sets.groupBy("class").agg(F.min("id").alias("rep"))  # combined before the shuffle, so a hot class is one row per task
-    reps = cut(sets.join(first.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "grams").dropDuplicates(["id"]))
-    members = sets.select("id", "class").join(first, "class").select("id", "rep")
-    pairs = candidate_pairs(reps, threshold, recall)
-    side = reps.select(F.col("id"), "grams")
+    members = cut(sets.select("id", "class").hint("merge").join(first.hint("merge"), "class").select("id", "rep"))
+    own = members.where("id = rep").select("id").distinct().hint("merge")
+    reps = cut(sets.select("id", "n", "grams").hint("merge").join(own, "id", "left_semi").dropDuplicates(["id"]))
+    pairs = candidate_pairs(reps, threshold, recall).hint("merge")
+    side = reps.select("id", "grams").hint("merge")
     checked = (
-        pairs.join(side.withColumnsRenamed({"id": "a", "grams": "ga"}), "a")
+        pairs.join(side.withColumnsRenamed({"id": "a", "grams": "ga"}), "a").hint("merge")
         .join(side.withColumnsRenamed({"id": "b", "grams": "gb"}), "b")
         .withColumn("common", F.size(F.array_intersect("ga", "gb")))
         .withColumn("similarity", F.col("common") / (F.size("ga") + F.size("gb") - F.col("common")))
@@ -235,16 +330,15 @@ def similar_pairs(df: DataFrame, key: str, field: str, words: int = 5, threshold
     a hot class.
     """
     members, links = similar_classes(cut(shingle_sets(df, key, field, words)), threshold)
-    members = cut(members)
     links = cut(links)
     salt = F.pmod(F.xxhash64("id"), F.lit(salts))
     twice = members.groupBy("rep").count().where("count > 1").select("rep")
-    own = members.join(twice, "rep", "left_semi")
+    own = members.hint("merge").join(twice.hint("merge"), "rep", "left_semi")
     left = own.select("rep", F.col("id").alias("row_a"), salt.alias("salt"))
     right = own.select("rep", F.col("id").alias("row_b"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    same = left.join(right, ["rep", "salt"]).where("row_a < row_b").select("row_a", "row_b")
+    same = left.hint("merge").join(right.hint("merge"), ["rep", "salt"]).where("row_a < row_b").select("row_a", "row_b")
     a, b = members.withColumnsRenamed({"id": "x", "rep": "a"}), members.withColumnsRenamed({"id": "y", "rep": "b"})
-    cross = links.select("a", "b").join(a, "a").join(b, "b").select(F.least("x", "y").alias("row_a"), F.greatest("x", "y").alias("row_b"))
+    cross = links.select("a", "b").hint("merge").join(a.hint("merge"), "a").hint("merge").join(b.hint("merge"), "b").select(F.least("x", "y").alias("row_a"), F.greatest("x", "y").alias("row_b"))
     return same.unionAll(cross)
 
 
@@ -257,10 +351,10 @@ def components(links: DataFrame) -> DataFrame:
     both = cut(links.select("a", "b").unionAll(links.select("b", "a")).toDF("a", "b").distinct())
     label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("group")))
     while True:
-        near = both.join(label, F.col("b") == F.col("id")).groupBy("a").agg(F.min("group").alias("m"))
-        step = label.join(near, F.col("id") == F.col("a"), "left").select("id", F.col("group").alias("old"), F.least("group", "m").alias("group"))
+        near = both.hint("merge").join(label.hint("merge"), F.col("b") == F.col("id")).groupBy("a").agg(F.min("group").alias("m"))
+        step = label.hint("merge").join(near.hint("merge"), F.col("id") == F.col("a"), "left").select("id", F.col("group").alias("old"), F.least("group", "m").alias("group"))
         up = label.select(F.col("id").alias("group"), F.col("group").alias("top"))
-        new = cut(step.join(up, "group", "left").select("id", "old", F.least("group", "top").alias("group")))
+        new = cut(step.hint("merge").join(up.hint("merge"), "group", "left").select("id", "old", F.least("group", "top").alias("group")))
         if new.where("group <> old").isEmpty():
             return new.select("id", "group")
         label = new.select("id", "group")
@@ -275,7 +369,7 @@ def similar_groups(df: DataFrame, key: str, field: str, words: int = 5, threshol
     links = cut(links)
     group = components(links)
     degree = links.select(F.col("a").alias("rep")).unionAll(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-    known = members.join(degree, "rep", "left").join(group.withColumnRenamed("id", "rep"), "rep", "left")
+    known = members.hint("merge").join(degree.hint("merge"), "rep", "left").hint("merge").join(group.withColumnRenamed("id", "rep").hint("merge"), "rep", "left").hint("merge")
     return df.select(F.col(f"`{key}`").alias("id")).distinct().join(known, "id", "left").select(
         F.col("id").alias(key), F.coalesce("rep", "id").alias("class_id"), F.coalesce("group", "rep", "id").alias("group_id"), F.coalesce("links", F.lit(0).cast("long")).alias("links")
     )
