@@ -5,15 +5,17 @@ Method: a partitioned Hamming search after the generalised pigeonhole principle.
 * A text is the set of its runs of ``words`` consecutive words.  Min-wise hashing
   sketches it into a vector of SYMBOLS symbols; two texts of similarity s differ in
   each symbol with probability 1 - s, so similar texts are near in Hamming distance.
-* The bits of a symbol differ together, so they stay in one partition and count as one
-  difference.  Which symbols are grouped into a partition follows from how often each
-  two agree on the same pairs of texts, estimated from all texts by sketches of fixed
-  size.  Such symbols are kept apart: put together they made six times the candidates
-  (see the README), since a partition of alike symbols tells little more than one.
+* The bits of a symbol differ together: they stay in one partition and count as one
+  difference.  The symbols themselves come from independent orders and are put together
+  as they come, so that whether two texts meet in a partition does not depend on
+  whether they meet in another (grouped by joint agreement they did; see the README).
 * Each partition gets a threshold of its own: how many of its symbols may differ, or -1
   for a partition that is not probed.  Dynamic programming allocates them at the least
   number of index rows and candidates, the latter estimated from all texts, and so
   that a pair at the similarity threshold is found with the probability ``recall``.
+  Every second partition has the threshold that is cheapest in the mean, whatever its
+  own counts: were all free, a large family of copies would decide by its own pairs
+  which partitions are probed, and those in which its members meet would be the dear ones.
   The width of the partitions is the one of WIDTHS whose allocation is cheapest.
 * Two texts differ in at most t of w symbols just when they agree on some w - t of
   them, whatever their positions; the index holds one row for each such choice.
@@ -49,15 +51,14 @@ from quire.functions.cut import cut
 
 _WORD = re.compile(r"[^\W_]+")
 
-SYMBOLS = 192
+SYMBOLS = 240
 WIDTHS = {4: 1, 6: 2}  # width of a partition: the most symbols of it that may differ
-CHOICES = {w: [list(itertools.combinations(range(w), w - t)) for t in range(most + 1)] for w, most in WIDTHS.items()}
-SKETCH_BUCKETS, SIGNS = 1 << 10, 2
+CHOICES = {w: np.array([math.comb(w, t) for t in range(most + 1)]) for w, most in WIDTHS.items()}  # index rows for each threshold
+SKETCH_BUCKETS = 1 << 10
 _PAIR_COST = 8  # a candidate costs as much as so many index rows
 _SEED = np.random.default_rng(20240229)
 _XOR = _SEED.integers(0, 2**32, SYMBOLS, dtype=np.uint32)
 _MUL = _SEED.integers(0, 2**32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
-_SIGN = _SEED.integers(0, 2**32, (SIGNS, SYMBOLS), dtype=np.uint32) | np.uint32(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,25 +67,36 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
 
 
-def shingles(text: str | None, words: int, known: dict[str, int]) -> np.ndarray:
-    """The sorted hashes of the runs of ``words`` words; empty for a text with fewer."""
-    found = _WORD.findall(text.lower()) if text else []
-    if len(found) < words:
-        return np.zeros(0, np.uint64)
-    ids = []
-    for w in found:
-        h = known.get(w)
-        if h is None:
-            if len(known) > 200_000:
-                known.clear()
-            b = w.encode()
-            h = known[w] = zlib.crc32(b) << 32 | zlib.crc32(b[::-1] + b"|")
-        ids.append(h)
-    v = np.array(ids, np.uint64)
+class _Words(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        b = word.encode()
+        h = self[word] = zlib.crc32(b) << 32 | zlib.crc32(b[::-1] + b"|")
+        return h
+
+
+def shingles(texts: list[str | None], words: int, known: _Words) -> list[np.ndarray]:
+    """For each text the sorted hashes of the runs of ``words`` words; empty for a text with fewer."""
+    found = [_WORD.findall(t.lower()) if t else [] for t in texts]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    v = np.fromiter((known[w] for ws in found for w in ws), np.uint64, int(sizes.sum()))
+    if len(v) < words:
+        return [np.zeros(0, np.uint64)] * len(texts)
+    text = np.repeat(np.arange(len(texts)), sizes)
     h = np.zeros(len(v) - words + 1, np.uint64)
     for k in range(words):
         h = _scramble(h * _MIX + v[k : len(v) - words + 1 + k])
-    return np.unique(h)
+    inside = text[: len(h)] == text[words - 1 :]
+    h, text = h[inside], text[: len(h)][inside]
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+    h, text = h[new], text[new]
+    return np.split(h, np.cumsum(np.bincount(text, minlength=len(texts)))[:-1])
 
 
 def shingle_sets(df: DataFrame, key: str, field: str, words: int) -> DataFrame:
@@ -96,11 +108,11 @@ def shingle_sets(df: DataFrame, key: str, field: str, words: int) -> DataFrame:
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = _Words()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                sets = [shingles(t, words, known) for t in part.column(1).to_pylist()]
+                sets = shingles(part.column(1).to_pylist(), words, known)
                 keep = [i for i, s in enumerate(sets) if s.size]
                 if not keep:
                     continue
@@ -122,33 +134,14 @@ def symbols(sets: list[np.ndarray]) -> np.ndarray:
     return out.T
 
 
-def signatures(sketch: np.ndarray, group: np.ndarray, differ: int) -> np.ndarray:
-    """(texts, choices): a hash of the symbols of one partition for each choice of all but ``differ`` of them."""
-    choices = CHOICES[len(group)][differ]
-    out = np.empty((len(sketch), len(choices)), np.uint64)
-    for c, chosen in enumerate(choices):
-        sig = np.full(len(sketch), (int(group[0]) * 64 + differ) * 64 + c + 1, np.uint64)
-        for k in chosen:
-            sig = _scramble(sig * _MIX ^ sketch[:, group[k]].astype(np.uint64))
-        out[:, c] = sig
-    return out
-
-
-def grouped(agree: np.ndarray, width: int) -> np.ndarray:
-    """(partitions, width): every symbol once, in partitions of symbols that rarely agree on the same pairs of texts.
-
-    Greedily: of the symbols left, the one that agrees most often opens a partition, and
-    the one that agrees least often together with those already in it comes next.
-    """
-    left, out = list(range(len(agree))), []
-    while left:
-        part = [max(left, key=lambda j: agree[j, j])]
-        left.remove(part[0])
-        while len(part) < width:
-            part.append(min(left, key=lambda j: agree[part, j].sum()))
-            left.remove(part[-1])
-        out.append(part)
-    return np.array(out)
+def signatures(sketch: np.ndarray, groups: np.ndarray, differ: int) -> np.ndarray:
+    """(texts, partitions, choices): a hash of the symbols of each partition, for each choice of all but ``differ`` of them."""
+    each = _scramble(sketch.astype(np.uint64) + np.arange(SYMBOLS, dtype=np.uint64) * _MIX)[:, groups]
+    whole = each.sum(2, keepdims=True)
+    left_out = list(itertools.combinations(range(groups.shape[1]), differ))
+    without = [sum((each[:, :, k] for k in out), np.zeros(each.shape[:2], np.uint64)) for out in left_out]
+    name = (groups[:, :1] * 64 + np.arange(len(left_out))).astype(np.uint64) * _MIX
+    return _scramble(whole - np.stack(without, axis=2) + name)
 
 
 def allocate(costs: np.ndarray, gains: np.ndarray, need: float, steps: int = 500) -> np.ndarray:
@@ -192,7 +185,7 @@ def allocate(costs: np.ndarray, gains: np.ndarray, need: float, steps: int = 500
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int, size: int = 500) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], column: int, size: int = 1000) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """The rows in blocks, each with the sketches of its sets."""
     for batch in batches:
         for at in range(0, batch.num_rows, size):
@@ -219,27 +212,6 @@ def _sums(reps: DataFrame, size: int, add) -> np.ndarray:
     return out
 
 
-def joint_agreement(reps: DataFrame) -> np.ndarray:
-    """(SYMBOLS, SYMBOLS) estimates of the pairs of texts that agree in both symbols.
-
-    Each symbol of a text has random signs; the square of the sum over all texts of the
-    product of the signs of two symbols estimates how many pairs agree in both.
-    """
-
-    def add(counters, sketch):
-        every = counters.reshape(SIGNS, SYMBOLS, SYMBOLS)
-        for r in range(SIGNS):
-            sign = ((sketch * _SIGN[r]) >> np.uint32(31)).astype(np.float32) * 2 - 1
-            every[r] += (sign.T @ sign).astype(np.int64)
-
-    sums = _sums(reps, SIGNS * SYMBOLS * SYMBOLS, add).reshape(SIGNS, SYMBOLS, SYMBOLS)
-    agree = (sums**2).mean(0)
-    # The sum of a symbol with itself is just the number of texts; its row stands for it.
-    np.fill_diagonal(agree, 0)
-    np.fill_diagonal(agree, agree.sum(1))
-    return agree
-
-
 def candidate_counts(reps: DataFrame, groups: dict[int, np.ndarray]) -> tuple[dict[int, np.ndarray], int]:
     """For each width (partitions, thresholds): estimated pairs of texts within each threshold; and the number of texts.
 
@@ -247,50 +219,56 @@ def candidate_counts(reps: DataFrame, groups: dict[int, np.ndarray]) -> tuple[di
     partition and threshold; the sums, of fixed size whatever the number of texts, give
     the second moments, corrected for texts that share a bucket by chance.
     """
-    rows = [(w, p, t) for w, g in groups.items() for p in range(len(g)) for t in range(WIDTHS[w] + 1)]
+    shapes = [(w, t, len(g)) for w, g in groups.items() for t in range(WIDTHS[w] + 1)]
+    rows = sum(n for *_, n in shapes)
 
     def add(counters, sketch):
-        for i, (w, p, t) in enumerate(rows):
-            at = (signatures(sketch, groups[w][p], t) >> np.uint64(40)).astype(np.int64) % SKETCH_BUCKETS
-            counters[i * SKETCH_BUCKETS : (i + 1) * SKETCH_BUCKETS] += np.bincount(at.ravel(), minlength=SKETCH_BUCKETS)
-
-    sums = _sums(reps, len(rows) * SKETCH_BUCKETS, add).reshape(len(rows), SKETCH_BUCKETS)
+        first = 0
+        for w, t, n in shapes:
+            at = (signatures(sketch, groups[w], t) >> np.uint64(40)).astype(np.int64) % SKETCH_BUCKETS
+            at += (first + np.arange(n))[None, :, None] * SKETCH_BUCKETS
+            counters += np.bincount(at.ravel(), minlength=len(counters))
+            first += n
+
+    sums = _sums(reps, rows * SKETCH_BUCKETS, add).reshape(rows, SKETCH_BUCKETS)
     n = sums.sum(1)
     second = ((sums**2).sum(1) - n * n / SKETCH_BUCKETS) / (1 - 1 / SKETCH_BUCKETS)
-    pairs = np.maximum(second - n, 0) / 2
-    out, at = {}, 0
-    for w, g in groups.items():
-        size = len(g) * (WIDTHS[w] + 1)
-        out[w] = pairs[at : at + size].reshape(len(g), -1)
-        at += size
-    return out, int(n[0]) if len(n) else 0
+    pairs = np.split(np.maximum(second - n, 0) / 2, np.cumsum([k for *_, k in shapes])[:-1])
+    return {w: np.stack([x for x, (v, *_) in zip(pairs, shapes) if v == w], axis=1) for w in groups}, int(n[0])
 
 
-def plan_of(reps: DataFrame, threshold: float, recall: float) -> list[tuple[np.ndarray, int]]:
-    """The partitions to probe with their thresholds: the cheapest allocation over all widths."""
-    agree = joint_agreement(reps)
-    groups = {w: grouped(agree, w) for w in WIDTHS}
+def plan_of(reps: DataFrame, threshold: float, recall: float) -> dict[int, np.ndarray]:
+    """For each threshold the partitions that are probed with it: the cheapest allocation over all widths."""
+    groups = {w: np.arange(SYMBOLS).reshape(-1, w) for w in WIDTHS}
     pairs, n = candidate_counts(reps, groups)
-    need, best, least = -math.log(1 - recall), [], math.inf
+    best, least = {}, math.inf
     for w, g in groups.items():
         hit = np.array([sum(math.comb(w, d) * threshold ** (w - d) * (1 - threshold) ** d for d in range(t + 1)) for t in range(WIDTHS[w] + 1)])
+        gains, need = -np.log1p(-hit), -math.log(1 - recall)
         # A partition costs a row per text and choice, which is sent and sorted, and its candidates.
-        costs = pairs[w] * _PAIR_COST + np.array([len(c) for c in CHOICES[w]]) * max(n, 1)
-        took = allocate(costs[None], -np.log1p(-hit), need)[0]
+        costs = pairs[w] * _PAIR_COST + CHOICES[w] * max(n, 1)
+        fixed, free = np.arange(0, len(g), 2), np.arange(1, len(g), 2)
+        same = int(np.argmin(costs.mean(0) / gains))
+        fixed = fixed[: math.ceil(need / 2 / gains[same])]
+        took = np.full(len(g), -1)
+        took[fixed] = same
+        left = need - len(fixed) * gains[same]
+        if left > 0:
+            took[free] = allocate(costs[None, free], gains, left)[0]
         cost = sum(costs[p, t] for p, t in enumerate(took) if t >= 0)
-        if cost < least:
-            least, best = cost, [(g[p], int(t)) for p, t in enumerate(took) if t >= 0]
+        if cost < least and sum(gains[t] for t in took if t >= 0) >= need - 1e-9:
+            least, best = cost, {int(t): g[took == t] for t in np.unique(took) if t >= 0}
     return best
 
 
-def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.995) -> DataFrame:
+def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.998) -> DataFrame:
     """Distinct pairs a < b of ids that meet the threshold of a partition, and have compatible set sizes."""
     kind = reps.schema["id"].dataType.simpleString()
     probes = plan_of(reps, threshold, recall)
 
     def index(batches):
         for rows, sketch in _blocks(batches, 2):
-            sig = np.concatenate([signatures(sketch, g, t) for g, t in probes], axis=1)
+            sig = np.concatenate([signatures(sketch, g, t).reshape(len(sketch), -1) for t, g in probes.items()], axis=1)
             at = pa.array(np.repeat(np.arange(len(sketch)), sig.shape[1]))
             yield pa.RecordBatch.from_arrays([pa.array(sig.reshape(-1).view(np.int64)), rows.column(0).take(at), rows.column(1).take(at)], names=["sig", "id", "n"])
 
@@ -301,7 +279,7 @@ def candidate_pairs(reps: DataFrame, threshold: float, recall: float = 0.995) ->
     return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.995) -> tuple[DataFrame, DataFrame]:
+def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.998) -> tuple[DataFrame, DataFrame]:
     """(members, links): id and rep of every record, and verified links (a, b, similarity) between representatives.
 
     ``sets`` is the output of :func:`shingle_sets`, cut.  The representative of a

@@ -70,3 +70,33 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (100, 102)], "a int, b int")
     got = {r.id: r.group for r in N.components(links).collect()}
     assert all(got[i] == 0 for i in range(41)) and {got[i] for i in (100, 101, 102)} == {100}
+
+
+def test_signatures_meet_just_within_the_threshold():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 2**32, (200, N.SYMBOLS), dtype=np.uint32)
+    b = np.where(rng.random(a.shape) < 0.3, rng.integers(0, 2**32, a.shape, dtype=np.uint32), a)
+    for width, most in N.WIDTHS.items():
+        groups = rng.permutation(N.SYMBOLS).reshape(-1, width)
+        differences = (a != b)[:, groups].sum(2)
+        for t in range(most + 1):
+            x, y = N.signatures(a, groups, t), N.signatures(b, groups, t)
+            assert x.shape[2] == N.CHOICES[width][t]
+            assert ((x == y).any(2) == (differences <= t)).all()
+
+
+def test_two_large_families_are_found(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(500)}" for _ in range(60)]
+    other = base[:49] + [f"v{i}" for i in range(11)]
+    rows = [(i, " ".join([*(base if i % 2 else other), f"x{i}"])) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    got = {(r.row_a, r.row_b) for r in N.similar_pairs(df, "id", "text", 3, 0.6).collect()}
+    want = brute(rows, 3, 0.6)
+    assert len(want) == 120 * 119 // 2 and got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_no_join_is_broadcast(spark):
+    df = spark.createDataFrame(corpus(2, 60), "id int, text string")
+    for frame in (N.similar_pairs(df, "id", "text", 3, 0.6), N.similar_groups(df, "id", "text", 3, 0.6)):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
