@@ -167,6 +167,14 @@ def p6_recall(spark, d):
     return recall(_vectors(spark, d), "record_no", "embedding")
 
 
+@query
+def p6_effort(spark, d):
+    """How many vectors the forest compares each vector with, and their share of brute force."""
+    from quire.llm.neighbors import effort
+
+    return effort(_vectors(spark, d), "record_no", "embedding")
+
+
 def _abuse(spark, d):
     from quire.llm.abuse import known_words, score_documents
     from quire.llm.mix import source_name
