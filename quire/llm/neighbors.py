@@ -24,6 +24,7 @@ candidate lists nor make a prefix that cannot be divided.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -265,6 +266,8 @@ def rep_neighbours(reps: DataFrame, k: int, trees: int, candidates: int | None,
                     yield pa.RecordBatch.from_arrays([pa.array(c * trees + t), pa.array(role.astype(np.int32)), b.column(0).take(take), b.column(1).take(take)], names=["cell", "role", "id", "unit"])
 
         sent = mine.mapInArrow(spread, "cell long, role int, id long, unit binary")
+        # As many partitions as the rows ask for, so that no task grows with the table.
+        sent = sent.repartition(max(1, math.ceil(int(summed[:, -1].sum()) / (4 * most))), "cell")
         parts.append(sent.groupBy("cell").applyInPandas(searcher(dim, mean, trees, seed, short, max(1, want // trees), k, least), "id long, n array<long>, c array<float>"))
     if not parts:
         return reps.select("id", F.array(F.struct(F.lit(0.0).cast("float").alias("c"), F.lit(0).cast("long").alias("i"))).alias("near")).where("false")
@@ -326,7 +329,7 @@ def nearest(df: DataFrame, key: str, field: str, k: int = 10, trees: int = 32, c
     base = cut(unit_vectors(df, key, field, least is None))
     first = base.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     members = base.select("id", "class").hint("merge").join(first.hint("merge"), "class")
-    reps = base.hint("merge").join(first.select(F.col("rep").alias("id")).hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    reps = cut(base.select("id", "dim", "unit").hint("merge").join(first.select(F.col("rep").alias("id")).hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
     # Cosines of 8 bits are off by about 0.001: a margin, and some more neighbours, are kept until they are exact.
     lists = cut(rep_neighbours(reps, k if least is None else 2 * k, trees, candidates, seed, least if least is None else least - 0.008))
     place = F.row_number().over(Window.partitionBy("rep").orderBy("id"))
