@@ -56,3 +56,33 @@ def test_ranges_and_best():
     assert (np.diff(cell) >= 0).all() and cell[0] != cell[4] and cell[4] != cell[5]
     s = np.random.default_rng(3).random((20, 5000)).astype(np.float32)
     assert (np.sort(np.take_along_axis(s, V.best_of(s, 10), 1)) == np.sort(s)[:, -10:]).all()
+
+
+def test_six_bits():
+    rng = np.random.default_rng(5)
+    for dim in (1, 2, 3, 16, 63, 64):
+        x = rng.standard_normal((50, dim))
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        y = V._matrix([V._six_bits(r).tobytes() for r in x], dim)
+        assert y.shape == x.shape and ((u * y).sum(1) > 0.995).all()
+
+
+def test_levels_are_synchronous():
+    rng = np.random.default_rng(6)
+    codes = rng.integers(0, 16, (3, 500))
+    total = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum([np.bincount(c, minlength=16) for c in codes], axis=1)], 1)
+    level, shared = V.levels(total, codes, 4, 300)
+    for i in range(0, 500, 17):
+        sizes = [sum(((codes[t] >> 4 - n) == (codes[t, i] >> 4 - n)).sum() for t in range(3)) for n in range(5)]
+        assert shared[i] == sizes[level[i]] >= 300 and (level[i] == 4 or sizes[level[i] + 1] < 300)
+
+
+def test_hot_topic_and_pairs_over_a_limit(spark):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.standard_normal((1, 32)) + 0.25 * rng.standard_normal((1000, 32)), rng.standard_normal((2000, 32))])
+    near, s = truth(x, 10)
+    want = {(min(i, j), max(i, j)) for i in range(3000) for j in near[i].tolist() if s[i, j] >= 0.9}
+    got = {(r.row_a, r.row_b) for r in V.similar_vector_pairs(frame(spark, x), "key", "embedding", candidates=1200).collect()}
+    assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.03 * len(want)
+    few = V.effort(frame(spark, x), "key", "embedding", candidates=300).first()
+    assert few.vectors == 3000 and few.share < 0.7
