@@ -1,22 +1,29 @@
 """Problem 9: scores for abusive, hateful and sexual wording.
 
-Method: the words of all entries of the lexicon stand in a trie.  A word of a text is
-looked up by intersecting its Levenshtein automaton with the trie, so misspelled and
-disguised words (letters as figures or signs, letters apart, masked or repeated
-letters) still meet their entry.  Inside a window of a sentence the words found are
-put together to entries, and the wording around decides whether they are meant or
-only mentioned: an insult in quotation marks, or beside words of rules and of
-technical things, counts little.
-
-The score of a document in a category is that of its worst window, from 0 to 1.
+Method: the words of the lexicon stand in a trie.  A word of a text is looked up by
+intersecting its Levenshtein automaton with the trie, so misspelled and disguised words
+(letters as figures or signs, letters apart, masked, repeated or swapped letters) still
+meet their term.  The lexicon has two parts: general terms of seven languages in classes
+(``abuse_terms.py``), and words learned from judged documents.
+
+The terms found in the window of a sentence are put together to features of the window:
+which classes meet, whether a hostile word is aimed at somebody, whether the terms stand
+in quotation marks or beside words of rules and reports.  A logistic model turns them
+into a score from 0 to 1 for each category.  Its weights start from those below, which
+hold without any judged document, and are fitted to a bounded sample of judged ones.
+
+The score of a document in a category is that of its worst window.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,10 +70,13 @@ def plain_words(piece: str) -> tuple[str, ...]:
 
 
 class Trie:
-    """Words of the lexicon, searched with a Levenshtein automaton."""
+    """Words of the lexicon, searched with a Levenshtein automaton; ``a longer one of ``stems`` may be followed by up to three letters."""
 
-    def __init__(self, words: set[str]) -> None:
+    ENDING = 5
+
+    def __init__(self, words: set[str], stems: frozenset[str] = frozenset()) -> None:
         self.root: dict = {}
+        self.stems = stems
         for w in words:
             node = self.root
             for c in w:
@@ -92,7 +102,8 @@ class Trie:
         stack = [(self.root, [(2 << d) - 1 & every for d in range(edits + 1)])]
         while stack:
             node, levels = stack.pop()
-            if "" in node and levels[edits] >> n:
+            # A short stem with an ending is too common to be met with a slip.
+            if "" in node and levels[edits] >> (max(0, n - 3) if len(node[""]) > 4 and node[""] in self.stems else n):
                 found.append(node[""])
             for c, child in node.items():
                 if c:
@@ -111,110 +122,297 @@ def allowed_edits(word: str) -> int:
     return max(0, (n >= 5) + (n >= 10) - ("*" in word))
 
 
+CLASSES = ("INSULT", "SCORN", "HOSTILE", "BODY", "ADDRESS", "GROUP", "VERMIN", "EXPEL", "EXPLICIT", "INTIMATE", "MENTION")
+INSULT, SCORN, HOSTILE, BODY, ADDRESS, GROUP, VERMIN, EXPEL, EXPLICIT, INTIMATE, MENTION = range(len(CLASSES))
+# A window is looked at only if a term of one of these classes, an idiom or a learned word stands in it.
+CORE = frozenset({INSULT, SCORN, HOSTILE, VERMIN, EXPEL, EXPLICIT, INTIMATE})
+
+# Features of a window with their weights (abusive, hateful, sexual) before any document is judged.
+WEIGHTS = {
+    "bias": (-4.2, -4.4, -4.2), "idiom": (5.6, -1, 0), "insult": (4.2, -0.5, -0.5), "insults": (1, 0, 0), "insult aimed": (1.6, -0.5, 0), "scorn aimed": (2.4, 0, 0), "scorn": (0.6, 0.2, 0), "scorns": (1.2, 0, 0),
+    "hostile": (0.7, 0.3, 0), "hostile aimed": (3.2, -0.3, 0), "hostiles": (0.7, 0, 0), "hostile body": (0.9, 0, 0), "hostile insult": (0.8, 0, 0), "hostile group": (-1, 2.6, 0),
+    "vermin": (0, 1.6, 0), "vermins": (0, 1.4, 0), "vermin group": (-0.8, 2.3, 0), "vermin expel": (-0.8, 2, 0), "expel": (0, 0.5, 0), "expels": (0, 1.2, 0), "expel group": (-0.5, 2, 0), "insult group": (-1, 1.2, 0), "group": (-0.5, 0.4, 0),
+    "explicit": (-0.3, 0, 3.2), "explicits": (-0.3, 0, 2), "intimate": (0, 0, 1.3), "intimates": (0, 0, 1.6), "intimate third": (0, 0, 2.2), "explicit intimate": (-0.3, 0, 1),
+    "mention": (-1.6, -0.8, -0.8),
+}
+FEATURES = tuple(WEIGHTS)
+_AT = {name: i for i, name in enumerate(FEATURES)}
+THRESHOLD = 0.7
+QUOTED = 0.25  # how much a term in quotation marks counts
+
+
 class Lexicon:
-    """Entries (category, words, kind) with the trie of their words and the entries of each word."""
-
-    def __init__(self, known: frozenset[str] = frozenset()) -> None:
-        groups = [("abusive", terms.INSULTS, "insult"), ("abusive", terms.ATTACKS, "attack"), ("hateful", terms.HATE, "hate"), ("sexual", terms.SEXUAL, "sexual")]
-        self.entries: list[tuple[str, tuple[str, ...], str]] = []
-        seen = set()
-        for category, table, kind in groups:
-            for lines in table.values():
-                for line in lines.split("|"):
-                    entry = (category, tuple(fold(line).split()), kind)
-                    if entry not in seen:
-                        seen.add(entry)
-                        self.entries.append(entry)
-        self.of: dict[str, list[int]] = {}
-        for i, (_, ws, _) in enumerate(self.entries):
-            for w in set(ws):
-                self.of.setdefault(w, []).append(i)
-        self.mention = frozenset(fold(terms.MENTION).split())
-        self.trie = Trie(set(self.of))
+    """Terms with their classes, idioms, learned words, and the trie over all of them."""
+
+    def __init__(self, known: frozenset[str] = frozenset(), learned: tuple[str, ...] = ()) -> None:
+        self.classes: dict[str, set[int]] = {}
+        stems = set()
+        for c, name in enumerate(CLASSES):
+            table = getattr(terms, name)
+            for line in table.values() if isinstance(table, dict) else [table]:
+                for term in line.split():
+                    w = fold(term.rstrip("*")).replace("-", "")
+                    self.classes.setdefault(w, set()).add(c)
+                    if term.endswith("*"):
+                        stems.add(w)
+        self.subject = frozenset(terms.SUBJECT.split())
+        self.idioms = [tuple(fold(line).split()) for lines in terms.IDIOMS.values() for line in lines.split("|")]
+        self.idioms_of: dict[str, list[int]] = {}
+        for i, ws in enumerate(self.idioms):
+            self.idioms_of.setdefault(min(ws, key=lambda w: (-len(w), w)), []).append(i)
+        self.learned = {w: i for i, w in enumerate(learned)}
+        in_idioms = {w for ws in self.idioms for w in ws}
+        self.words = set(self.classes) | in_idioms | set(learned)
+        self.stems = frozenset(stems)
+        self.longest = max(map(len, stems))
+        self.trie = Trie(self.words, self.stems)
         self.known = known
-        self.correct = Trie({w for w in known if w not in self.of})
+        self.correct = Trie({w for w in known if w not in self.words})
+        self.core = {w for w in self.words if self.classes.get(w, set()) & CORE or w in self.idioms_of or w in self.learned}
         self.seen: dict[str, tuple] = {}
 
     def lookup(self, word: str) -> tuple[str, ...]:
         """The lexicon words that ``word`` may be; a correctly spelled other word, or a slip in one, is none of them."""
-        if word in self.of:
-            return (word,)
+        plain = [word] if word in self.words else []
+        plain += [word[:n] for n in range(max(3, len(word) - Trie.ENDING), min(len(word), self.longest + 1)) if word[:n] in self.stems]
+        if plain:
+            return tuple(plain)
         edits = allowed_edits(word)
-        if word in self.known or (not edits and "*" not in word):
+        if word in self.known or (not edits and "*" not in word and len(word) < 4):
             return ()
-        found = self.trie.near(word, edits)
+        # Two letters swapped are one slip.
+        swapped = [w for i in range(len(word) - 1) if (w := word[:i] + word[i + 1] + word[i] + word[i + 2 :]) in self.words]
+        found = swapped or (self.trie.near(word, edits) if edits or "*" in word else [])
         if found and "*" not in word and self.correct.near(word, 1):
             return ()
         return tuple(found)
 
-    def read(self, piece: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
-        """The plain words of a piece of text, each with its lexicon words."""
+    def read(self, piece: str) -> tuple:
+        """(whether a core term, ((plain word, its lexicon words), ...)) of a piece of text."""
         if len(self.seen) > 300_000:
             self.seen.clear()
-        got = self.seen[piece] = tuple((w, self.lookup(w)) for w in plain_words(piece))
+        words = tuple((w, self.lookup(w)) for w in plain_words(piece))
+        got = self.seen[piece] = (any(f in self.core for _, found in words for f in found), words)
         return got
 
 
-def score_sentence(sentence: str, lex: Lexicon) -> dict[str, float]:
-    """The score of one sentence in each category in which it has one."""
-    words: list[str] = []
-    hits: list[tuple[int, tuple[str, ...]]] = []
-    quoted: list[bool] = []
-    inside = False
-    for piece in _PIECE.findall(sentence):
+def window(sentence: str, lex: Lexicon) -> tuple[np.ndarray, tuple[int, ...]] | None:
+    """The features of the window of a sentence and the learned words in it; None without a core term."""
+    pieces = _PIECE.findall(sentence)
+    seen = lex.seen
+    got = [seen.get(p) or lex.read(p) for p in pieces]
+    if not any(g[0] for g in got):
+        return None
+    inside, n = False, 0
+    spots: list[list[tuple[int, float]]] = [[] for _ in CLASSES]
+    places: dict[str, list[tuple[int, float]]] = {}
+    learned: dict[int, float] = {}
+    for piece, (_, words) in zip(pieces, got):
         if len(piece) == 1 and piece in _OPEN + _CLOSE:
             inside = not inside if piece == '"' else piece in "“«„"
             continue
-        got = lex.seen.get(piece)
-        for w, found in lex.read(piece) if got is None else got:
-            if found:
-                hits.append((len(words), found))
-            words.append(w)
-            quoted.append(inside)
-    if not hits:
-        return {}
-    where: dict[int, dict[str, list[int]]] = {}
-    for at, found in hits:
-        for w in found:
-            for e in lex.of[w]:
-                where.setdefault(e, {}).setdefault(w, []).append(at)
-    about = sum(w in lex.mention for w in words)
-    out: dict[str, float] = {}
-    for e, places in where.items():
-        category, ws, kind = lex.entries[e]
-        n = len(ws)
-        need = n if n < 4 else n - 1 - (n >= 6)
-        if len(places) < min(need, len(set(ws))):
-            continue
-        # The words must stand together: the best window around the rarest of them.
-        rare = min(places.values(), key=len)
-        best, masked = 0, False
-        for at in rare:
-            near = [min(p, key=lambda x: abs(x - at)) for p in places.values()]
-            near = [x for x in near if abs(x - at) <= n + 3]
-            if len(set(near)) > best:
-                best, masked = len(set(near)), all(quoted[x] for x in near)
-        if best < min(need, len(set(ws))):
-            continue
-        score = 1.0 * best / len(set(ws))
-        if n == 1 and kind == "insult":
-            score = 0.9
-        if masked:
-            score *= 0.3
-        if about and (kind == "insult" or n == 1):
-            score *= 0.4
-        if score > out.get(category, 0):
-            out[category] = score
-    return out
-
-
-def score_text(text: str | None, lex: Lexicon) -> tuple[float, float, float]:
+        weight = QUOTED if inside else 1.0
+        for w, found in words:
+            for f in found:
+                for c in lex.classes.get(f, ()):
+                    if not spots[c] or spots[c][-1][0] != n:
+                        spots[c].append((n, weight))
+                places.setdefault(f, []).append((n, weight))
+                if f in lex.learned:
+                    learned[lex.learned[f]] = max(weight, learned.get(lex.learned[f], 0))
+            n += 1
+    x = np.zeros(len(FEATURES))
+    have = [sorted((w for _, w in s), reverse=True) + [0.0, 0.0, 0.0] for s in spots]
+
+    def near(a: int, b: int, reach: int, behind: bool = False) -> float:
+        return max((min(u, v) for i, u in spots[a] for j, v in spots[b] if i != j and (0 if behind else -reach) <= j - i <= reach), default=0.0)
+
+    def aimed(c: int, reach: int) -> float:
+        """Whether a term of the class stands near a word for somebody spoken to."""
+        at = [(j, v, s) for s in (True, False) for w, ps in places.items() if ADDRESS in lex.classes.get(w, ()) and (w in lex.subject) == s for j, v in ps]
+        return max((min(u, v) for i, u in spots[c] for j, v, s in at if i != j and (0 if s and c == HOSTILE else -reach) <= j - i <= reach), default=0.0)
+
+    def put(name: str, value: float) -> None:
+        x[_AT[name]] = value
+
+    put("bias", 1)
+    for i in {i for w in places for i in lex.idioms_of.get(w, ())}:
+        ws = lex.idioms[i]
+        if all(w in places for w in ws):
+            for at, weight in places[min(ws, key=lambda w: (-len(w), w))]:
+                if all(any(abs(j - at) <= len(ws) for j, _ in places[w]) for w in ws):
+                    put("idiom", max(x[_AT["idiom"]], weight))
+    for name, c in (("insult", INSULT), ("scorn", SCORN), ("hostile", HOSTILE), ("vermin", VERMIN), ("expel", EXPEL), ("explicit", EXPLICIT), ("intimate", INTIMATE), ("group", GROUP), ("mention", MENTION)):
+        put(name, have[c][0])
+    for name, c in (("insults", INSULT), ("scorns", SCORN), ("hostiles", HOSTILE), ("vermins", VERMIN), ("expels", EXPEL), ("explicits", EXPLICIT), ("intimates", INTIMATE)):
+        put(name, have[c][1])
+    put("intimate third", have[INTIMATE][2])
+    put("insult aimed", aimed(INSULT, 6))
+    put("scorn aimed", aimed(SCORN, 5))
+    put("hostile aimed", aimed(HOSTILE, 3))
+    for name, a, b, reach in (("hostile body", HOSTILE, BODY, 4), ("hostile insult", HOSTILE, INSULT, 8), ("hostile group", HOSTILE, GROUP, 4), ("vermin group", VERMIN, GROUP, 12), ("vermin expel", VERMIN, EXPEL, 12), ("expel group", EXPEL, GROUP, 8), ("insult group", INSULT, GROUP, 8), ("explicit intimate", EXPLICIT, INTIMATE, 15)):
+        put(name, near(a, b, reach))
+    return x, tuple(sorted(learned.items()))
+
+
+@dataclass
+class AbuseModel:
+    """Weights of the features (features x categories) and of the learned words (words x categories)."""
+
+    known: frozenset[str] = frozenset()
+    weights: np.ndarray = field(default_factory=lambda: np.array(list(WEIGHTS.values()), float))
+    learned: tuple[str, ...] = ()
+    learned_weights: np.ndarray = field(default_factory=lambda: np.zeros((0, len(CATEGORIES))))
+
+    def lexicon(self) -> Lexicon:
+        return Lexicon(self.known, self.learned)
+
+    def score(self, sentence: str, lex: Lexicon) -> np.ndarray | None:
+        """Scores of one sentence, None where nothing is said."""
+        got = window(sentence, lex)
+        if got is None:
+            return None
+        z = got[0] @ self.weights
+        for i, weight in got[1]:
+            z = z + self.learned_weights[i] * weight
+        return 1 / (1 + np.exp(-z))
+
+
+def sentences_of(text: str | None) -> list[str]:
+    return _SENTENCE.split(fold(canonical_text(text))) if text else []
+
+
+def score_text(text: str | None, lex: Lexicon, model: AbuseModel | None = None) -> tuple[float, float, float]:
     """Scores (abusive, hateful, sexual) of a whole text: its worst sentence in each category."""
-    best = dict.fromkeys(CATEGORIES, 0.0)
-    for sentence in _SENTENCE.split(fold(canonical_text(text))) if text else ():
-        for c, s in score_sentence(sentence, lex).items():
-            best[c] = max(best[c], s)
-    return tuple(round(best[c], 4) for c in CATEGORIES)
+    model = model or AbuseModel()
+    best = np.zeros(len(CATEGORIES))
+    for sentence in sentences_of(text):
+        s = model.score(sentence, lex)
+        if s is not None:
+            best = np.maximum(best, s)
+    return tuple(round(float(b), 4) for b in best)
+
+
+def _logistic(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarray, sure: np.ndarray, start: np.ndarray, pull: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Weights that fit ``y`` with each row counted ``sure`` times, held near ``start`` with the strength ``pull``; Adam, deterministic.
+
+    The matrix is given by the places and values of what is not zero.
+    """
+    w, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
+    for step in range(1, rounds + 1):
+        z = np.bincount(rows, vals * w[cols], len(y))
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        grad = np.bincount(cols, vals * ((p - y) * sure)[rows], len(w)) + pull * (w - start)
+        m = 0.9 * m + 0.1 * grad
+        v = 0.99 * v + 0.01 * grad**2
+        w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    return w
+
+
+def best_cut(z: np.ndarray, true: np.ndarray, low: float = -2.0, high: float = 0.85) -> float:
+    """The limit between ``low`` and ``high`` that tells true from other documents best, a missed one counting twice (F2), in the middle of its gap."""
+    order = np.argsort(-z)
+    hit = np.cumsum(true[order])
+    score = 5 * hit / (np.arange(1, len(z) + 1) + 4 * true.sum())
+    top = z[order]
+    score[(top < low) | (top > high)] = -1
+    if not (score >= 0).any():
+        return high
+    at = int(score.argmax())
+    below = top[at + 1] if at + 1 < len(top) else low
+    return float((top[at] + max(below, low)) / 2)
+
+
+def fit(judged: list[tuple[str, str]], known: frozenset[str] = frozenset(), rounds: int = 3) -> AbuseModel:
+    """Fit the model to judged documents (text, category).
+
+    A judgement says only that some sentence of the document is such; which one is
+    found with the fit in turns: the sentence with the highest score stands for its
+    document, all other sentences of all documents count as harmless.  Words that stand
+    in three or more documents of a category (five, if clean samples hold them), and there clearly more often than in
+    harmless ones, become learned words.
+    """
+    docs = [(list(dict.fromkeys(s for s in sentences_of(t) if s.strip())), c) for t, c in judged]
+    held: dict[str, Counter] = {c: Counter() for c in (*CATEGORIES, "none")}
+    count = Counter(c for _, c in docs)
+    plain: dict[str, frozenset] = {}
+    for sentences, c in docs:
+        words = set()
+        for s in sentences:
+            if s not in plain:
+                plain[s] = frozenset(w for p in _PIECE.findall(s) for w in plain_words(p) if len(w) > 2 and "*" not in w)
+            words |= plain[s]
+        held[c].update(words)
+    odds: dict[str, dict[str, float]] = {}
+    for c in CATEGORIES:
+        rest = sum((held[o] for o in held if o != c), Counter())
+        others = sum(count[o] for o in held if o != c)
+        each = {w: np.log((n + 0.5) / (count[c] + 1)) - np.log((rest[w] + 0.5) / (others + 1)) for w, n in held[c].items() if n >= (5 if w in known else 3)}
+        odds[c] = {w: o for w, o in each.items() if o >= 1.2}
+    learned = tuple(sorted({w for o in odds.values() for w in o}))
+    model = AbuseModel(known, learned=learned, learned_weights=np.zeros((len(learned), len(CATEGORIES))))
+    lex = model.lexicon()
+    rows, cols, vals, owner = [], [], [], []
+    for d, (sentences, _) in enumerate(docs):
+        for s in sentences:
+            got = window(s, lex)
+            if got is None:
+                continue
+            at = np.flatnonzero(got[0])
+            cols += [*at, *(len(FEATURES) + i for i, _ in got[1])]
+            vals += [*got[0][at], *(weight for _, weight in got[1])]
+            rows += [len(owner)] * (len(at) + len(got[1]))
+            owner.append(d)
+    if not rows:
+        return model
+    rows, cols, vals, owner = np.array(rows), np.array(cols), np.array(vals), np.array(owner)
+    kinds = np.array([c for _, c in docs])
+    weights = np.concatenate([model.weights, model.learned_weights])
+    pull = np.concatenate([np.full(len(FEATURES), 1.0), np.full(len(learned), 0.3)])
+    pull[_AT["bias"]] = 4.0
+    for k, c in enumerate(CATEGORIES):
+        mine = np.flatnonzero(kinds[owner] == c)
+        if not mine.size:
+            continue
+        # The first choice goes by the general terms and by the odds of the words.
+        start = weights[:, k].copy()
+        w = start.copy()
+        w[len(FEATURES) :] = [min(2.0, odds[c].get(x, 0) / 2) for x in learned]
+        for turn in range(rounds):
+            z = np.bincount(rows, vals * w[cols], len(owner))
+            y, sure = np.zeros(len(owner)), np.ones(len(owner))
+            order = mine[np.lexsort((-z[mine], owner[mine]))]
+            first = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
+            y[first] = 1
+            # Sentences of the document beside the chosen one may be such, too.
+            sure[mine] = 0.3
+            sure[first] = 1
+            if turn:
+                # Judgements that the fit clearly contradicts are probably wrong.
+                sure[(y == 1) & (z < -1) | (y == 0) & (z > 0.5)] = 0.1
+            w = _logistic(rows, cols, vals, y, sure, start, pull)
+        if count[c] >= 20:
+            # Some judgements are wrong, which draws the scores of true cases down; the limit that
+            # tells the judged documents best comes to lie at THRESHOLD.
+            worst = np.full(len(docs), -np.inf)
+            np.maximum.at(worst, owner, np.bincount(rows, vals * w[cols], len(owner)))
+            w[_AT["bias"]] += np.log(THRESHOLD / (1 - THRESHOLD)) - best_cut(worst, kinds == c)
+        weights[:, k] = w
+    model.weights, model.learned_weights = weights[: len(FEATURES)], weights[len(FEATURES) :]
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str, field: str, known: frozenset[str] = frozenset(), sample_docs: int = 4000) -> AbuseModel:
+    """Fit to at most ``sample_docs`` judged documents (the documented bound; those with the smallest hash).
+
+    A document judged differently is left out unless most judgements agree.  Without
+    judged documents the weights stay as they are.
+    """
+    votes = labels.select(F.col(f"`{key}`").alias("id"), F.lower(F.trim("category")).alias("category")).where(F.col("category").isin(*CATEGORIES, "none")).groupBy("id", "category").count()
+    top = votes.groupBy("id").agg(F.max(F.struct("count", "category")).alias("t"), F.sum("count").alias("all")).where(F.col("t.count") * 2 > F.col("all"))
+    sample = top.select("id", F.col("t.category").alias("category")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{field}`").alias("text")).where("text is not null").join(F.broadcast(sample), "id").select("id", "text", "category").dropDuplicates(["id"]).collect()
+    return fit([(r["text"], r["category"]) for r in sorted(rows, key=lambda r: (r["id"], r["text"]))], known)
 
 
 def known_words(samples: DataFrame, field: str = "text") -> frozenset[str]:
@@ -223,34 +421,35 @@ def known_words(samples: DataFrame, field: str = "text") -> frozenset[str]:
     return frozenset(w for r in rows for piece in _PIECE.findall(fold(canonical_text(r[0]))) for w in plain_words(piece))
 
 
-def score_documents(df: DataFrame, key: str, field: str, *more: str, known: frozenset[str] = frozenset()) -> DataFrame:
+def score_documents(df: DataFrame, key: str, field: str, *more: str, model: AbuseModel | None = None) -> DataFrame:
     """``key``, further columns, and the scores abusive, hateful and sexual of every row.
 
     Null and empty texts score 0.  Texts of any length are read whole, sentence by
     sentence.  Equal texts score equally.  One narrow pass.
     """
+    model = model or AbuseModel()
     src = df.select(*(F.col(f"`{c}`") for c in dict.fromkeys([key, *more])), F.col(f"`{field}`").alias("scored text"))
     kept = src.columns[:-1]
     kinds = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex = Lexicon(known)
+        lex = model.lexicon()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                scores = list(zip(*(score_text(t, lex) for t in part.column(len(kept)).to_pylist())))
+                scores = list(zip(*(score_text(t, lex, model) for t in part.column(len(kept)).to_pylist())))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), *(pa.array(s, pa.float64()) for s in scores)], names=[*kept, *CATEGORIES])
 
     return src.mapInArrow(run, f"{kinds}, abusive double, hateful double, sexual double")
 
 
-def flagged(scores: DataFrame, key: str, threshold: float = 0.7) -> DataFrame:
+def flagged(scores: DataFrame, key: str, threshold: float = THRESHOLD) -> DataFrame:
     """One row (key, category) for every score of at least ``threshold``."""
     pairs = F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("score")) for c in CATEGORIES])
     return scores.select(F.col(f"`{key}`"), F.explode(pairs).alias("x")).where(F.col("x.score") >= threshold).select(F.col(f"`{key}`"), "x.category")
 
 
-def rates(scores: DataFrame, source: str, threshold: float = 0.7) -> DataFrame:
+def rates(scores: DataFrame, source: str, threshold: float = THRESHOLD) -> DataFrame:
     """Per source: documents, and number and share of those flagged in each category; null is a source of its own."""
     counts = [F.sum((F.col(c) >= threshold).cast("long")).alias(c) for c in CATEGORIES]
     per = scores.groupBy(source).agg(F.count("*").alias("documents"), *counts)

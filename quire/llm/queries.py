@@ -176,11 +176,12 @@ def p6_effort(spark, d):
 
 
 def _abuse(spark, d):
-    from quire.llm.abuse import known_words, score_documents
+    from quire.llm.abuse import known_words, score_documents, train
     from quire.llm.mix import source_name
 
     docs = table(spark, d, "documents").select("doc_id", source_name(F.col("source")).alias("source"), "text")
-    return score_documents(docs, "doc_id", "text", "source", known=known_words(table(spark, d, "lang_samples")))
+    model = train(docs, table(spark, d, "review_labels"), "doc_id", "text", known_words(table(spark, d, "lang_samples")))
+    return score_documents(docs, "doc_id", "text", "source", model=model)
 
 
 @query

@@ -107,3 +107,106 @@ def test_abuse_frames(spark):
     per = {r.source: (r.documents, r.abusive) for r in A.rates(src, "source").collect()}
     assert per == {"a": (3, 2), None: (1, 0), "b": (1, 1)}
     assert A.score_documents(df.limit(0), "doc_id", "text").count() == 0
+
+
+# Sentences in seven languages that share no phrase with the test tables.
+GENERAL = [
+    ("You are a complete jerk and I will kill you.", "abusive"),
+    ("You stupid pig, I hope you die.", "abusive"),
+    ("Nobody likes you, you ugly loser.", "abusive"),
+    ("I will smash your face in.", "abusive"),
+    ("Du bist so ein Depp, ich schlag dir die Zähne ein.", "abusive"),
+    ("Verrecke doch, du nutzloser Penner.", "abusive"),
+    ("Ich hasse dich, du widerliches Schwein.", "abusive"),
+    ("T'es qu'un gros connard, crève.", "abusive"),
+    ("Je vais te casser la tête, espèce d'enfoiré.", "abusive"),
+    ("Eres un cerdo asqueroso, te voy a matar.", "abusive"),
+    ("Cállate, gilipollas.", "abusive"),
+    ("Sei un deficiente, ti spacco la faccia.", "abusive"),
+    ("Muori, brutto bastardo.", "abusive"),
+    ("Jij bent een klootzak en ik sla je kop eraf.", "abusive"),
+    ("Sterf toch, vieze rotzak.", "abusive"),
+    ("Você é um babaca, vou te arrebentar.", "abusive"),
+    ("Seu merdoso, tomara que você morra.", "abusive"),
+    ("Kill all foreigners.", "hateful"),
+    ("Immigrants are animals, deport every one of them.", "hateful"),
+    ("Refugees are parasites who infest our country.", "hateful"),
+    ("Ausländer sind Dreck, vergast sie alle.", "hateful"),
+    ("Flüchtlinge sind Schmarotzer und gehören abgeschoben.", "hateful"),
+    ("Diese Rasse ist minderwertig.", "hateful"),
+    ("Les immigrés sont des parasites, il faut les expulser.", "hateful"),
+    ("Cette race inférieure doit être exterminée.", "hateful"),
+    ("Los inmigrantes son ratas que nos invaden.", "hateful"),
+    ("Hay que exterminar a esa raza de ladrones.", "hateful"),
+    ("Gli immigrati sono bestie, cacciateli tutti.", "hateful"),
+    ("Gli zingari sono ladri, bruciateli.", "hateful"),
+    ("Buitenlanders zijn ratten, gooi ze het land uit.", "hateful"),
+    ("Vluchtelingen zijn parasieten, weg ermee.", "hateful"),
+    ("Os imigrantes são ratos, fora do país.", "hateful"),
+    ("Essa raça é inferior e deve ser exterminada.", "hateful"),
+    ("He licked her pussy and stroked his cock.", "sexual"),
+    ("She was so horny that she masturbated in the shower.", "sexual"),
+    ("Free porn with naked girls and big tits.", "sexual"),
+    ("Sie war so geil, dass er sie sofort ficken wollte.", "sexual"),
+    ("Er streichelte ihre nackten Titten.", "sexual"),
+    ("Elle voulait qu'il la baise, toute nue sur le lit.", "sexual"),
+    ("Il lui caressait les seins et elle allait jouir.", "sexual"),
+    ("Follaron toda la noche y tuvo un orgasmo.", "sexual"),
+    ("Le chupó la polla desnuda en la cama.", "sexual"),
+    ("Scopano nudi sul letto tutta la notte.", "sexual"),
+    ("Lei gli fece un pompino e lui venne.", "sexual"),
+    ("Ze neukten naakt op de bank.", "sexual"),
+    ("Hij likte haar tepels tot ze klaarkwam.", "sexual"),
+    ("Eles transaram nus na cama até gozar.", "sexual"),
+    ("Ela chupou o pau dele com tesão.", "sexual"),
+]
+HARMLESS = [
+    "If the pump breaks, shut the valve and call the shift leader.", "The fat content of the ink must not fall under 3 %.", "Refugees live in the old town and work at the plant.", "You break the seal with your finger.",
+    "Die Maschine tötet Keime durch Hitze.", "Du brichst das Siegel mit dem Finger.", "Ausländer brauchen einen gültigen Ausweis für das Lager.", "Le nu de la paroi reste visible.", "Les étrangers présentent leur passeport à l'accueil.",
+    "El perro guardián vigila el almacén.", "Los inmigrantes reciben la misma formación.", "Il cane di arresto blocca il rullo.", "De naakte draad moet worden afgedekt.", "O corpo da bomba está molhado.", "Kill the print job before you switch off the server.",
+]
+
+
+def test_general_wording_without_training():
+    found = {c: [0, 0] for c in A.CATEGORIES}
+    for text, category in GENERAL:
+        score = dict(zip(A.CATEGORIES, A.score_text(text, LEX)))[category]
+        found[category][0] += score >= A.THRESHOLD
+        found[category][1] += 1
+    assert all(hit >= 0.8 * n for hit, n in found.values()), found
+    assert sum(max(A.score_text(t, LEX)) >= A.THRESHOLD for t in HARMLESS) <= 1
+
+
+def test_learned_from_judged_documents():
+    """Held out by document: invented wording that no general term covers is learned, wrong judgements are outweighed."""
+    rng = np.random.default_rng(1)
+    plain = ["The roller turns slowly.", "Paper is stored in the hall.", "The night shift cleans the plate.", "Ink arrives on Tuesdays.", "The clerk prints the order."]
+    bad = {"abusive": "you total grumbleflop nobody wants", "hateful": "the Zorbani folk are snurgle and quibbets", "sexual": "her wobbelin frotted until dawn"}
+
+    def doc(category):
+        sentences = list(rng.choice(plain, 4))
+        if category != "none":
+            words = bad[category].split()
+            words.insert(int(rng.integers(len(words))), str(rng.choice(["really", "today", "again"])))
+            sentences[int(rng.integers(4))] = " ".join(words) + "."
+        return " ".join(sentences)
+
+    kinds = ["abusive", "hateful", "sexual", "none", "none", "none"] * 60
+    docs = [(doc(c), c) for c in kinds]
+    judged = [(t, c if rng.random() > 0.05 else "none") for t, c in docs[:240]]
+    model = A.fit(judged)
+    lex = model.lexicon()
+    right = 0
+    for text, category in docs[240:]:
+        scores = dict(zip(A.CATEGORIES, A.score_text(text, lex, model)))
+        right += [c for c in A.CATEGORIES if scores[c] >= A.THRESHOLD] == ([category] if category != "none" else [])
+    assert right >= 0.95 * len(docs[240:])
+    assert dict(zip(A.CATEGORIES, A.score_text("You total grum.ble.flop, gr*mbleflop!", lex, model)))["abusive"] > 0.3
+
+
+def test_training_frames(spark):
+    docs = spark.createDataFrame([(1, "You moron.", "a"), (2, None, "b"), (3, "Fine.", "c")], "doc_id int, text string, category string")
+    labels = spark.createDataFrame([(1, "Abusive ", 5), (2, "none", 5), (3, "none", 5), (3, "sexual", 6), (9, None, 1)], "doc_id int, category string, text int")
+    model = A.train(docs, labels, "doc_id", "text")
+    assert model.learned == () and A.score_text("You moron.", model.lexicon(), model)[0] >= 0.7
+    assert A.train(docs, labels.limit(0), "doc_id", "text").learned == ()
