@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,29 +34,64 @@ ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 # Texts that stand for no answer (folded, without brackets and quotes).
 PLACEHOLDERS = frozenset("n/a|n.a.|na|nan|null|nil|none|tbd|tba|tbc|todo|to do|to be done|to be defined|answer|antwort|reponse|respuesta|risposta|antwoord|resposta|placeholder|undefined|unknown|empty|leer|vide|vacio|k.a.|k. a.|s.o.|xxx|xx|lorem ipsum|insert answer here|no data".split("|"))
 
-# Wording of refusals and of courtesy around them (folded), "*" for the rest of a word.
-REFUSALS = """
-sorry|unfortunately|have to decline|must decline|cannot be answered|can't help|cannot help|can't answer|cannot answer|can't assist|unable to|not able to|not allowed|not permitted|may not answer|go beyond what|no access to|ask your administrator|my instructions|as an assistant|as an ai|rather not|no comment|leave the question open|no answer can|nothing i c*|documents at hand|material at hand|texts given to me|turn to a specialist|refuse to
-leider|ablehnen|nicht gestattet|nicht erlaubt|nicht beantwort*|keine angaben|keine auskunft|tut mir leid|ihren administrator|als assistent*|nicht aussern|an eine fachkraft|fehlt das wissen|offen lassen|nicht moglich|vorliegenden texten|kann ich nicht|darf ich nicht|nicht weiterhelfen|keine antwort|keine information*
-desole*|malheureusement|decliner|est impossible|aucune information|question ouverte|votre administrateur|depasse mes|en tant qu'assistant*|pas permis|ne pas me prononcer|a un specialiste|ne peux pas|textes re*|textes fourni*|pas autorise*|aucune reponse|refuser
-lo siento|por desgracia|lamentablemente|rechazar|no puedo|no dispongo|pregunta abierta|su administrador|supera mis|como asistente|no me esta permitido|no opinar|a un especialista|no me es posible|textos recibidos|ninguna respuesta|no es posible
-mi dispiace|purtroppo|declinare|non posso|non dispongo|aperta la domanda|suo amministratore|come assistente|non mi e consentito|non pronunciar*|uno specialista|non mi e possibile|testi ricevuti|nessuna risposta|preferisco non
-het spijt me|helaas|afwijzen|kan ik niet|geen gegevens|vraag open|uw beheerder|als assistent|niet beantwoorden|een specialist|kennis te boven|niet mogelijk|in de teksten|geen antwoord|liever niet|kan daar niet
-sinto muito|infelizmente|recusar|nao posso|nao disponho|pergunta em aberto|seu administrador|como assistente|nao me e permitido|nao me pronunciar|um especialista|ultrapassa o meu|nao me e possivel|textos recebidos|nenhuma resposta|prefiro nao
-"""
-COURTESY = "thank you for|thanks for|anything else you|danke fur|vielen dank|sonst noch etwas|merci pour|autre chose|gracias por|algo mas|grazie per|sapere altro|dank voor|verder nog iets|obrigado pela|obrigada pela|mais alguma coisa|let me know|hm"
-
-
-def _phrases(lines: str) -> re.Pattern:
-    found = [re.escape(p).replace(r"\*", r"\w*") for line in lines.strip().split("\n") for p in line.split("|")]
-    return re.compile(r"(?<!\w)(?:" + "|".join(sorted(found, key=len, reverse=True)) + r")(?!\w)")
+# Words of which refusals are made, in seven languages (folded); "*" for any ending.
+CUES = {
+    "negation": "not no never cannot cant dont wont couldnt wouldnt isnt arent doesnt nothing none nobody without neither nor nicht nichts kein* nie niemals ohne ne n pas aucun* rien jamais sans ni ningun* nada nunca sin non nessun* niente nulla mai senza niet niets geen nooit zonder nao nenhum* nem sem",
+    "self": "i m me my mine myself mes prefiero prefiro preferisco we us our ich mir mich mein* wir uns unser* je j me moi mon mes nous notre yo mi mis conmigo nosotros nuestr* io mio mia miei noi nostr* ik mij mijn wij ons onze eu mim meu minha meus minhas comigo nos nosso*",
+    "able": "can could able may might must allowed permitted possible cannot unable kann konnen konnte darf durfen muss moglich unmoglich gestattet erlaubt vermag peux peut pouvons pouvez permis permise possible impossible autorise* dois puedo podemos puede posible imposible permitid* debo tengo posso possiamo possibile impossibile consentit* permess* devo kan kunnen kon mag mogen mogelijk onmogelijk toegestaan moet posso podemos possivel impossivel permitid* devo tenho lecito",
+    "tell": "answer* help* assist* say tell* comment* know knows known knowledge information idea clue mention* respond* reply opinion advise speak discuss state address deal antwort* beantwort* helf* hilfe weiterhelf* sag* sagen auskunft weiss wissen ahnung angaben information* kenntnis* mitteil* aussern ausser* stellung erklar* beurteil* repond* reponse* aide* aider dire dis sais sait savoir savons connais* connaissance* information* idee renseign* prononcer commenter traiter avis respond* respuesta* contest* ayud* decir digo saber sabemos conozco conocimiento* informacion idea dato datos opinar comentar tratar rispond* rispost* aiut* dire dico sapere sappiamo conosco conoscenz* informazion* idea dati pronunciar* commentar* trattar* antwoord* beantwoord* help* zeggen zeg weet weten kennis informatie gegevens idee mening uitlat* ingaan respond* respost* ajud* dizer digo sei saber sabemos conheco conhecimento* informac* ideia dados opinar comentar tratar pronunciar*",
+    "asked": "question* request* query topic* subject* matter inquiry frage* anfrage* thema themen bitte wunsch question* demande* sujet* requete* theme* pregunta* peticion* consulta* tema* asunto domand* richiest* tem* argoment* vraag vragen verzoek* onderwerp* kwestie pergunta* pedido* tema* assunto* questao questoes",
+    "source": "document* documentation manual* text* material* source* record* database access unterlagen dokument* handbuch handbuch* texte* texten quelle* zugriff material* documentation document* manuel* texte* source* acces documento* documentacion manual* texto* fuente* acceso document* documentazione manual* test* font* accesso document* documentatie handleiding* tekst* bron bronnen toegang document* documentacao manual* texto* fonte* acesso",
+    "regret": "sorry unfortunately regret* afraid apolog* leider bedau* leid entschuldig* desole* malheureusement regrett* navre* pardon* siento lamentablemente desgracia* lamento disculp* desafortunadamente perdon dispiace purtroppo spiacent* scus* helaas spijt* excuses jammer infelizmente sinto lament* desculp* lastima",
+    "decline": "declin* refus* reject* rather pass withhold open ablehn* verweiger* zuruckweis* offen enthalt* declin* refus* abstien* ouverte rechaz* rehus* neg* abierta declin* rifiut* aperta preferisco astengo afwijz* weiger* liever open recus* declin* prefiro aberto aberta abstenho prefer* lieber",
+    "role": "assistant* ai instruction* administrator* specialist* expert* supervisor guideline* policy beyond assistent* ki anweisung* administrator* fachkraft fachkrafte fachmann richtlinie* zustandig* ubersteig* assistant* ia consigne* administrateur* specialiste* expert* depass* outrepass* asistente* instruccion* administrador* especialista* expert* supera* assistente* istruzion* amministrator* specialista* espert* supera* instructies beheerder* specialist* deskundig* boven assistente* instruc* administrador* especialista* ultrapass* perito*",
+    "courtesy": "thank* thanks welcome danke* dank merci gracias grazie bedankt dank obrigad* else sonst autre algo altro nog mais anything ask gern* gerne souhaitez desea desidera wilt deseja",
+}
+# Pairs of words that say "I know", where the second alone is a common word.
+KNOW_PAIRS = frozenset({("lo", "so"), ("lo", "se"), ("non", "so")})
+_CUE = {}
+_STEMS: dict[str, int] = {}
+for _bit, _words in enumerate(CUES.values()):
+    for _w in _words.split():
+        into = _STEMS if _w.endswith("*") else _CUE
+        into[_w.rstrip("*")] = into.get(_w.rstrip("*"), 0) | 1 << _bit
+CUE_BIT = {name: 1 << i for i, name in enumerate(CUES)}
+
+
+@lru_cache(200_000)
+def cues_of(word: str) -> int:
+    """The classes of a folded word, as bits."""
+    bits = _CUE.get(word, 0)
+    for n in range(3, len(word) + 1):
+        bits |= _STEMS.get(word[:n], 0)
+    return bits
+
+
+def clause_cues(folded: str) -> tuple[int, int]:
+    """The classes that the words of a clause have, as bits, and how many words have one."""
+    bits = count = 0
+    words = _CUE_WORD.findall(folded.replace("n't", " not").replace("n’t", " not"))
+    for before, w in zip(["", *words], words):
+        b = cues_of(w)
+        if (before, w) in KNOW_PAIRS:
+            b |= CUE_BIT["self"] | CUE_BIT["tell"]
+        bits |= b
+        count += b > 0
+    return bits, count
+
+
+def refuses(folded: str) -> bool:
+    """Whether a clause looks like a refusal, for keeping such out of the sound answers for training."""
+    bits, _ = clause_cues(folded)
+    has = lambda *names: all(bits & CUE_BIT[n] for n in names)
+    return has("self", "negation", "tell") or has("regret", "negation") or has("regret", "decline") or has("self", "decline") or has("self", "negation", "able")
 
 
-_REFUSAL, _COURTESY = _phrases(REFUSALS), _phrases(COURTESY)
 _QUOTED = re.compile(r"\"[^\"]{3,120}\"|“[^”]{3,120}”|«[^»]{3,120}»|„[^“]{3,120}“")
 _CLAUSE = re.compile(r"(?<=[.!?…])[\"'”»)]*\s+(?!$)|\s*\n+\s*")
 _BULLET = re.compile(r"(?:[-*•–]|\(?\d{1,3}[.)])\s*")
 _WORD = re.compile(r"[^\W_]+(?:[-–']\w+)*")
+_CUE_WORD = re.compile(r"[^\W\d_]+")
 _FINAL = re.compile(r"[.!?…][\"'”»)\]]*$|[;:]\s*$")
 _LETTER = re.compile(r"[^\W\d_]")
 _BRACKETS = "[]{}()<>\"'“”«»„`*_#~ \t\n"
@@ -115,7 +151,8 @@ def all_keys(clause: str) -> tuple[Counter, Counter]:
 
 
 FEATURES = (
-    "bias first last only refusal refusals courtesy echo60 echo80 echo95 covers80 foreign other_answer same_language unfinal comma "
+    "bias first last only negation self able tell asked source regret decline role courtesy negation_tell self_negation self_negation_tell self_negation_able self_decline asked_decline regret_negation regret_other negation_source "
+    "role_self role_other dense denser few echo60 echo80 echo95 covers80 foreign other_answer same_language unfinal comma "
     "end1_never end1_rare end1_often end2_never end2_rare end2_often end2_unseen word_unknown name_unknown quoted short"
 ).split()
 _F = {name: i for i, name in enumerate(FEATURES)}
@@ -135,9 +172,6 @@ def features(question: str, clauses: list[str], q_lang: int, c_langs: list[int],
         row = x[i]
         row[_F["bias"]] = 1
         row[_F["first"]], row[_F["last"]], row[_F["only"]] = i == 0, i == len(clauses) - 1, len(clauses) == 1
-        cues = len(set(_REFUSAL.findall(bare)))
-        row[_F["refusal"]], row[_F["refusals"]] = cues > 0, cues > 1
-        row[_F["courtesy"]] = bool(_COURTESY.search(bare))
         row[_F["quoted"]] = bare != folded
         words = set(words_of(folded.replace('"', " ").replace("«", " ").replace("»", " ").replace("(", " ")))
         if words and asked:
@@ -145,6 +179,25 @@ def features(question: str, clauses: list[str], q_lang: int, c_langs: list[int],
             for level in (60, 80, 95):
                 row[_F[f"echo{level}"]] = common >= level / 100 * len(words)
             row[_F["covers80"]] = common >= 0.8 * len(asked)
+            if common >= 0.8 * len(words) and common >= 0.5 * len(asked):
+                bare = ""  # the words are the question's own
+        bits, count = clause_cues(bare)
+        have = {name: bool(bits & bit) for name, bit in CUE_BIT.items()}
+        for name, value in have.items():
+            row[_F[name]] = value
+        row[_F["negation_tell"]] = have["negation"] and have["tell"]
+        row[_F["self_negation"]] = have["self"] and have["negation"]
+        row[_F["self_negation_tell"]] = have["self"] and have["negation"] and have["tell"]
+        row[_F["self_negation_able"]] = have["self"] and have["negation"] and have["able"]
+        row[_F["self_decline"]] = have["self"] and have["decline"]
+        row[_F["asked_decline"]] = have["asked"] and have["decline"]
+        row[_F["regret_negation"]] = have["regret"] and have["negation"]
+        row[_F["regret_other"]] = have["regret"] and (have["decline"] or have["tell"] or have["asked"] or have["able"])
+        row[_F["negation_source"]] = have["negation"] and have["source"]
+        row[_F["role_self"]] = have["role"] and have["self"]
+        row[_F["role_other"]] = have["role"] and (have["negation"] or have["tell"] or have["asked"] or have["able"])
+        n_words = len(_CUE_WORD.findall(bare))
+        row[_F["dense"]], row[_F["denser"]], row[_F["few"]] = count >= 0.3 * n_words, count >= 0.5 * n_words, n_words <= 5
         row[_F["short"]] = len(words) < 3
         if q_lang >= 0:
             row[_F["foreign"]] = c_langs[i] >= 0 and c_langs[i] != q_lang
@@ -304,18 +357,27 @@ def defect_of(question: str, clauses: list[str], tags: list[int], q_lang: int, a
 
 # Examples of refusals for training, one line per language.
 TRAINING_REFUSALS = {
-    "en": "I'm sorry, but I can't help with that.|Unfortunately I have to decline this request.|As an assistant I may not answer questions of this kind.|There is nothing I could say about this with the documents at hand.|Please ask your administrator, I have no access to such knowledge.|I would rather not comment on this topic; please turn to a specialist.",
-    "de": "Es tut mir leid, dazu kann ich keine Auskunft geben.|Leider muss ich diese Anfrage ablehnen.|Als Assistent darf ich das nicht beantworten.|Darüber liegen mir keine Angaben vor, ich muss die Frage offen lassen.|Bitte fragen Sie Ihren Administrator, mir fehlt das Wissen dazu.",
-    "fr": "Je suis désolé, mais je ne peux pas répondre à cela.|Malheureusement, je dois décliner cette demande.|En tant qu'assistant, il ne m'est pas permis de traiter ce sujet.|Je n'ai aucune information à ce sujet.",
-    "es": "Lo siento, pero no puedo ayudar con esa consulta.|Por desgracia tengo que rechazar esta petición.|Como asistente no me está permitido tratar este tema.|No dispongo de datos al respecto.",
-    "it": "Mi dispiace, ma non posso aiutare con questa richiesta.|Purtroppo devo declinare questa domanda.|Come assistente non mi è consentito trattare questo tema.|Non dispongo di dati in merito.",
-    "nl": "Het spijt me, maar daar kan ik niet bij helpen.|Helaas moet ik dit verzoek afwijzen.|Als assistent mag ik dit soort vragen niet beantwoorden.|Daarover heb ik geen gegevens.",
-    "pt": "Sinto muito, mas não posso ajudar com esse pedido.|Infelizmente tenho de recusar esta pergunta.|Como assistente não me é permitido tratar deste assunto.|Não disponho de dados a esse respeito.",
+    "en": "Nothing can be said about that.|No answer can be given on this point.|I'm sorry, but I can't help with that.|I don't know.|I have no idea.|No comment.|I cannot answer this question.|Unfortunately I have to decline this request.|We are not able to say anything about it.|As an assistant I may not answer questions of this kind.|There is nothing I could say about this.|No information on this is known to me.|Please ask an expert, I have no access to such knowledge.|I would rather not comment on this topic.|That goes beyond what I am allowed to discuss.|The texts do not mention it, so I must leave this open.|It is impossible for me to judge this.|I refuse to answer.",
+    "de": "Dazu kann nichts gesagt werden.|Zu dieser Stelle ist keine Aussage möglich.|Es tut mir leid, dazu kann ich keine Auskunft geben.|Ich weiß es nicht.|Keine Ahnung.|Davon habe ich keine Kenntnis.|Leider muss ich diese Anfrage ablehnen.|Dazu können wir nichts sagen.|Als Assistent darf ich das nicht beantworten.|Darüber liegen mir keine Angaben vor, ich muss die Frage offen lassen.|Bitte fragen Sie einen Experten, mir fehlt das Wissen dazu.|Das übersteigt, was ich sagen darf.|In den Texten steht darüber nichts.|Es ist mir nicht möglich, das zu beurteilen.|Dazu möchte ich mich lieber nicht äußern.|Kein Kommentar.",
+    "fr": "On ne peut rien dire là-dessus.|Aucune réponse n'est possible sur ce point.|Je suis désolé, mais je ne peux pas répondre à cela.|Je ne sais pas.|Aucune idée.|Je n'en sais rien.|Malheureusement, je dois décliner cette demande.|Nous ne pouvons rien dire à ce sujet.|En tant qu'assistant, il ne m'est pas permis de traiter ce sujet.|Je n'ai aucune information à ce sujet.|Demandez à un expert, je n'ai pas ces connaissances.|Cela dépasse ce que je peux dire.|Les documents n'en disent rien.|Il m'est impossible d'en juger.|Je préfère ne pas donner mon avis.|Je dois laisser la question ouverte.",
+    "es": "No se puede decir nada sobre eso.|Sobre este punto no es posible dar respuesta.|Lo siento, pero no puedo ayudar con esa consulta.|No lo sé.|Ni idea.|No tengo ni idea.|Por desgracia tengo que rechazar esta petición.|No podemos decir nada al respecto.|Como asistente no me está permitido tratar este tema.|No dispongo de datos al respecto.|Pregunte a un experto, me falta ese conocimiento.|Eso supera lo que puedo decir.|Los textos no dicen nada de eso.|Me es imposible juzgarlo.|Prefiero no dar mi opinión.|Debo dejar la pregunta abierta.",
+    "it": "Non si può dire nulla su questo.|Su questo punto non è possibile dare risposta.|Mi dispiace, ma non posso aiutare con questa richiesta.|Non lo so.|Nessuna idea.|Non ne ho idea.|Purtroppo devo declinare questa domanda.|Non possiamo dire nulla al riguardo.|Come assistente non mi è consentito trattare questo tema.|Non dispongo di dati in merito.|Chieda a un esperto, mi manca questa conoscenza.|Questo supera ciò che posso dire.|I documenti non ne parlano.|Mi è impossibile giudicarlo.|Preferisco non dare la mia opinione.|Devo lasciare aperta la domanda.",
+    "nl": "Daar kan niets over worden gezegd.|Over dit punt is geen antwoord mogelijk.|Het spijt me, maar daar kan ik niet bij helpen.|Ik weet het niet.|Geen idee.|Daar weet ik niets van.|Helaas moet ik dit verzoek afwijzen.|Daar kunnen wij niets over zeggen.|Als assistent mag ik dit soort vragen niet beantwoorden.|Daarover heb ik geen gegevens.|Vraag het een deskundige, mij ontbreekt die kennis.|Dat gaat boven wat ik mag zeggen.|In de teksten staat daar niets over.|Het is mij onmogelijk dit te beoordelen.|Ik geef liever geen mening.|Ik moet de vraag open laten.",
+    "pt": "Nada se pode dizer sobre isso.|Sobre este ponto não é possível dar resposta.|Sinto muito, mas não posso ajudar com esse pedido.|Não sei.|Não faço ideia.|Não sei nada sobre isso.|Infelizmente tenho de recusar esta pergunta.|Não podemos dizer nada a respeito.|Como assistente não me é permitido tratar deste assunto.|Não disponho de dados a esse respeito.|Pergunte a um perito, falta-me esse conhecimento.|Isso ultrapassa o que posso dizer.|Os textos nada dizem sobre isso.|É-me impossível julgar isso.|Prefiro não dar a minha opinião.|Tenho de deixar a pergunta em aberto.",
 }
 TRAINING_COURTESY = {"en": "Thank you for your question.|Is there anything else you would like to know?", "de": "Danke für Ihre Frage.|Gibt es sonst noch etwas, das Sie wissen möchten?", "fr": "Merci pour votre question.|Souhaitez-vous savoir autre chose ?", "es": "Gracias por su pregunta.|¿Desea saber algo más?", "it": "Grazie per la domanda.|Desidera sapere altro?", "nl": "Dank voor uw vraag.|Wilt u verder nog iets weten?", "pt": "Obrigado pela pergunta.|Deseja saber mais alguma coisa?"}
 
 
 # Short answers that are complete, for training.
+TRAINING_PLAIN = {
+    "en": "You must not open the cover while it runs.|The operator cannot change this setting.|No, nobody needs a permit for it.|We never print without a proof.|The manual does not allow any other oil.|Nothing has to be adjusted.|If you do not know the code, ask the clerk.|Unfortunately the old pump is not delivered any more.|The request is rejected when the code is missing.|My colleague and I check it every day.",
+    "de": "Sie dürfen die Haube im Lauf nicht öffnen.|Der Bediener kann diese Einstellung nicht ändern.|Nein, niemand braucht dafür eine Genehmigung.|Wir drucken nie ohne Andruck.|Das Handbuch erlaubt kein anderes Öl.|Es muss nichts eingestellt werden.|Die alte Pumpe wird leider nicht mehr geliefert.|Die Anfrage wird abgelehnt, wenn der Schlüssel fehlt.",
+    "fr": "Il ne faut pas ouvrir le capot en marche.|L'opérateur ne peut pas changer ce réglage.|Non, personne n'a besoin d'un permis.|Nous n'imprimons jamais sans épreuve.|Le manuel n'autorise aucune autre huile.|Rien n'est à régler.|La demande est refusée quand la clé manque.",
+    "es": "No se debe abrir la tapa en marcha.|El operario no puede cambiar este ajuste.|No, nadie necesita permiso.|Nunca imprimimos sin prueba.|El manual no permite otro aceite.|No hay que ajustar nada.|La petición se rechaza cuando falta la clave.",
+    "it": "Non si deve aprire il coperchio in marcia.|L'operatore non può cambiare questa impostazione.|No, nessuno ha bisogno di un permesso.|Non stampiamo mai senza prova.|Il manuale non permette un altro olio.|Non c'è nulla da regolare.|La richiesta viene rifiutata quando manca la chiave.",
+    "nl": "U mag de kap tijdens het lopen niet openen.|De operator kan deze instelling niet wijzigen.|Nee, niemand heeft een vergunning nodig.|Wij drukken nooit zonder proef.|De handleiding staat geen andere olie toe.|Er hoeft niets te worden ingesteld.|Het verzoek wordt geweigerd als de sleutel ontbreekt.",
+    "pt": "Não se deve abrir a tampa em marcha.|O operador não pode mudar este ajuste.|Não, ninguém precisa de licença.|Nunca imprimimos sem prova.|O manual não permite outro óleo.|Não é preciso ajustar nada.|O pedido é recusado quando falta a chave.",
+}
 TRAINING_SHORT = "Yes.|No.|Only on request.|Yes, since version 3.|Never.|Ja.|Nein.|Nur auf Anfrage.|Ja, ab Version 3.|Oui.|Non.|Seulement sur demande.|Oui, depuis la version 3.|Sí.|No.|Solo a petición.|Sì.|Solo su richiesta.|Ja.|Nee.|Alleen op verzoek.|Ja, vanaf versie 3.|Sim.|Não.|Somente a pedido.|Sim, desde a versão 3.|Every Monday.|The operator.|Bis Freitag.|42 minutes"
 
 
@@ -346,7 +408,7 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800, seed:
                 end.update(z)
         asked = set(words_of(fold(q)))
         echo = all(len(asked & set(words_of(fold(c)))) > 0.6 * max(1, len(set(words_of(fold(c))))) for c in cs)
-        if ql >= 0 and ql == al and _FINAL.search(a) and not echo and not any(_REFUSAL.search(fold(c)) for c in cs):
+        if ql >= 0 and ql == al and _FINAL.search(a) and not echo and not any(refuses(fold(_QUOTED.sub(" ", c))) for c in cs):
             sound.append((q, a, cs, model.names[ql]))
     if not sound:
         sound = [("What is this about?", "This is a sentence.", ["This is a sentence."], "en")]
@@ -385,6 +447,8 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800, seed:
             no, kind = pick(TRAINING_REFUSALS[lang].split("|")), TRAINING_COURTESY[lang].split("|")
             add(q, pick([no, no.rstrip("."), no.lower(), f"{kind[0]} {no}", f"{no} {kind[1]}", f"{no} {pick(TRAINING_REFUSALS[lang].split('|'))}"]), REFUSAL)
             add(q, f"{no} {a}", lambda n: [REFUSAL] + [ANSWER] * (n - 1))
+            add(q, pick(TRAINING_PLAIN[lang].split("|")), ANSWER)
+            add(q, f"{pick(TRAINING_PLAIN[lang].split('|'))} {a}", ANSWER)
             far = pick(sorted(TRAINING_REFUSALS))
             add(q, pick([pick(TRAINING_REFUSALS[far].split("|")), f"{pick(TRAINING_REFUSALS[far].split('|'))} {TRAINING_COURTESY[far].split('|')[1]}"]), REFUSAL)
         add(q, pick(TRAINING_SHORT.split("|")), ANSWER)
@@ -397,7 +461,7 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800, seed:
         k1, k2 = last_keys(tail)
         facts.append((q, a, None if is_final(tail) else (seen[k1] + 1, end[k1] + 1, seen[k2] + 1, end[k2] + 1)))
     data = [(x, y) for (cs, x, _, _), (_, _, y) in zip(tag_batch(facts, model, None), made) if len(cs) == len(y)]
-    return ChainField.fit([(x[-12:], y[-12:]) for x, y in data])
+    return ChainField.fit(data)
 
 
 def find_defects(pairs: DataFrame, key: str, model: LanguageModel, field: ChainField) -> DataFrame:

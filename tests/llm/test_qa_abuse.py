@@ -55,6 +55,25 @@ def test_defects(spark, judge):
     assert Q.find_defects(df.limit(0), "pair_id", model, field).count() == 0
 
 
+def test_refusals_in_other_words(judge):
+    _, model, field = judge
+    refusals = [
+        "I don't know.", "No idea.", "I have no idea what you mean.", "I won't answer that.", "The documentation does not mention this.", "Das weiß ich nicht.", "Keine Ahnung.", "Das steht nicht in den Unterlagen.", "Je ne sais pas.", "Aucune idée.",
+        "La documentation n'en parle pas.", "No lo sé.", "Ni idea.", "Non lo so.", "Non ne ho idea.", "Dat weet ik niet.", "Geen idee.", "Não sei.", "Não faço ideia.", "Wir können Ihnen dabei leider nicht helfen.", "I am afraid we cannot tell you.",
+    ]
+    answers = ["Nobody may open the hood while the motor runs.", "Das Ventil lässt sich nicht von Hand schließen.", "Le rouleau ne tourne plus si la vanne est fermée.", "No hay agua en el tanque.", "Il nastro non gira senza olio.", "De pomp werkt niet zonder stroom.", "A bomba não funciona sem energia."]
+    said = Q.tag_batch([("What is the torque?", a, None) for a in refusals + answers], model, field)
+    found = [Q.defect_of("What is the torque?", cs, tags, -1, -1, model.names) == "refusal" for cs, tags, _, _ in said]
+    assert sum(found[: len(refusals)]) >= 0.9 * len(refusals) and sum(found[len(refusals) :]) <= 1
+
+
+def test_long_answers_are_tagged_whole(judge):
+    _, model, field = judge
+    many = " ".join(["The order desk requires the plate stock."] * 40)
+    ((cs, tags, *_),) = Q.tag_batch([("Why?", many + " The folding line opens the", (50, 0, 50, 0))], model, field)
+    assert len(cs) == len(tags) == 41 and tags[-1] == Q.UNFINISHED and set(tags[:-1]) == {Q.ANSWER}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
