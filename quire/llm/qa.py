@@ -40,7 +40,7 @@ CUES = {
     "self": "i m me my mine myself mes prefiero prefiro preferisco we us our ich mir mich mein* wir uns unser* je j me moi mon mes nous notre yo mi mis conmigo nosotros nuestr* io mio mia miei noi nostr* ik mij mijn wij ons onze eu mim meu minha meus minhas comigo nos nosso*",
     "able": "can could able may might must allowed permitted possible cannot unable kann konnen konnte darf durfen muss moglich unmoglich gestattet erlaubt vermag peux peut pouvons pouvez permis permise possible impossible autorise* dois puedo podemos puede posible imposible permitid* debo tengo posso possiamo possibile impossibile consentit* permess* devo kan kunnen kon mag mogen mogelijk onmogelijk toegestaan moet posso podemos possivel impossivel permitid* devo tenho lecito",
     "tell": "answer* help* assist* say tell* comment* know knows known knowledge information idea clue mention* respond* reply opinion advise speak discuss state address deal antwort* beantwort* helf* hilfe weiterhelf* sag* sagen auskunft weiss wissen ahnung angaben information* kenntnis* mitteil* aussern ausser* stellung erklar* beurteil* repond* reponse* aide* aider dire dis sais sait savoir savons connais* connaissance* information* idee renseign* prononcer commenter traiter avis respond* respuesta* contest* ayud* decir digo saber sabemos conozco conocimiento* informacion idea dato datos opinar comentar tratar rispond* rispost* aiut* dire dico sapere sappiamo conosco conoscenz* informazion* idea dati pronunciar* commentar* trattar* antwoord* beantwoord* help* zeggen zeg weet weten kennis informatie gegevens idee mening uitlat* ingaan respond* respost* ajud* dizer digo sei saber sabemos conheco conhecimento* informac* ideia dados opinar comentar tratar pronunciar*",
-    "asked": "question* request* query topic* subject* matter inquiry frage* anfrage* thema themen bitte wunsch question* demande* sujet* requete* theme* pregunta* peticion* consulta* tema* asunto domand* richiest* tem* argoment* vraag vragen verzoek* onderwerp* kwestie pergunta* pedido* tema* assunto* questao questoes",
+    "asked": "interrog* consult* adress* wenden turn contact* contatt* raadple* question* request* query topic* subject* matter inquiry frage* anfrage* thema themen bitte wunsch question* demande* sujet* requete* theme* pregunta* peticion* consulta* tema* asunto domand* richiest* tem* argoment* vraag vragen verzoek* onderwerp* kwestie pergunta* pedido* tema* assunto* questao questoes",
     "source": "document* documentation manual* text* material* source* record* database access unterlagen dokument* handbuch handbuch* texte* texten quelle* zugriff material* documentation document* manuel* texte* source* acces documento* documentacion manual* texto* fuente* acceso document* documentazione manual* test* font* accesso document* documentatie handleiding* tekst* bron bronnen toegang document* documentacao manual* texto* fonte* acesso",
     "regret": "sorry unfortunately regret* afraid apolog* leider bedau* leid entschuldig* desole* malheureusement regrett* navre* pardon* siento lamentablemente desgracia* lamento disculp* desafortunadamente perdon dispiace purtroppo spiacent* scus* helaas spijt* excuses jammer infelizmente sinto lament* desculp* lastima",
     "decline": "declin* refus* reject* rather pass withhold open ablehn* verweiger* zuruckweis* offen enthalt* declin* refus* abstien* ouverte rechaz* rehus* neg* abierta declin* rifiut* aperta preferisco astengo afwijz* weiger* liever open recus* declin* prefiro aberto aberta abstenho prefer* lieber",
@@ -92,13 +92,19 @@ _CLAUSE = re.compile(r"(?<=[.!?…])[\"'”»)]*\s+(?!$)|\s*\n+\s*")
 _BULLET = re.compile(r"(?:[-*•–]|\(?\d{1,3}[.)])\s*")
 _WORD = re.compile(r"[^\W_]+(?:[-–']\w+)*")
 _CUE_WORD = re.compile(r"[^\W\d_]+")
-_FINAL = re.compile(r"[.!?…][\"'”»)\]]*$|[;:]\s*$")
+_FINAL = re.compile(r"[.!?][\"'”»)\]]*$|[;:]\s*$")
+_BREAK_OFF = re.compile(r"(?:…|\.{3,})$")
 _LETTER = re.compile(r"[^\W\d_]")
 _BRACKETS = "[]{}()<>\"'“”«»„`*_#~ \t\n"
 
+def breaks_off(clause: str) -> bool:
+    """Whether a clause ends in dots, or is the number or bullet of an item that does not follow."""
+    return bool(_BREAK_OFF.search(clause) or _BULLET.fullmatch(clause))
+
+
 def is_final(clause: str) -> bool:
     """Whether a clause has a final mark, or is an aside of its own in brackets or quotes."""
-    return bool(_FINAL.search(clause)) or (clause[0] in "([«“\"" and clause[-1] in ")]»”\"")
+    return not breaks_off(clause) and bool(_FINAL.search(clause)) or (clause[0] in "([«“\"" and clause[-1] in ")]»”\"")
 
 
 LANGUAGE_STEMS = {fold(n)[: max(5, len(n) - 2)]: code for code, names in LANGUAGE_NAMES.items() for n in names.split() if len(n) >= 5}
@@ -152,7 +158,7 @@ def all_keys(clause: str) -> tuple[Counter, Counter]:
 
 FEATURES = (
     "bias first last only negation self able tell asked source regret decline role courtesy negation_tell self_negation self_negation_tell self_negation_able self_decline asked_decline regret_negation regret_other negation_source "
-    "role_self role_other dense denser few echo60 echo80 echo95 covers80 foreign other_answer same_language unfinal comma "
+    "role_self role_other dense denser few echo60 echo80 echo95 covers80 foreign other_answer same_language unfinal breaks_off comma "
     "end1_never end1_rare end1_often end2_never end2_rare end2_often end2_unseen word_unknown name_unknown quoted short"
 ).split()
 _F = {name: i for i, name in enumerate(FEATURES)}
@@ -206,7 +212,7 @@ def features(question: str, clauses: list[str], q_lang: int, c_langs: list[int],
     tail = clauses[-1] if clauses else ""
     if tail and not is_final(tail):
         row = x[-1]
-        row[_F["unfinal"]] = 1
+        row[_F["unfinal"]], row[_F["breaks_off"]] = 1, breaks_off(tail)
         row[_F["comma"]] = tail[-1] in ",-–—(/«\"“'&+" or tail.count("(") > tail.count(")") or tail.count("«") > tail.count("»")
         seen1, end1, seen2, end2 = ends or (0, 0, 0, 0)
         # This occurrence itself is no evidence.
@@ -438,6 +444,8 @@ def train(pairs: DataFrame, model: LanguageModel, sample_rows: int = 800, seed:
             if len(part) > 8 and not _FINAL.search(part) and end[k2] < 0.3 * max(1, seen[k2]):
                 add(q, a[: len(a) - len(last)] + part, lambda n: [ANSWER] * (n - 1) + [UNFINISHED])
                 add(q, _BULLET.sub("", part, count=1), UNFINISHED)
+                add(q, a[: len(a) - len(last)] + part + pick([" …", "...", "…", " ..."]), lambda n: [ANSWER] * (n - 1) + [UNFINISHED])
+                add(q, f"1. {body}.\n2.", lambda n: [ANSWER] * (n - 1) + [UNFINISHED])
         core = q.rstrip("?.! ")
         ws = core.split()
         ws[int(rng.integers(len(ws)))] = pick(["the", "x", "ein", "la"])
