@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.functions.cut import cut
 from quire.functions.text import keyword_score, normalize_space, words
 
 BLOCK = 2048
@@ -32,39 +33,51 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot, _norm(a) * _norm(b))
 
 
-def _blocks(df: DataFrame, kind: str) -> DataFrame:
-    """Rows (id, embedding) packed without a shuffle into rows of up to BLOCK vectors: b, ids, dim, data."""
+def _blocks(df: DataFrame, kind: str, group: str | None = None) -> DataFrame:
+    """Rows (id, embedding, group) packed without a shuffle into rows of up to BLOCK vectors: b, ids, dim, data, group.
+
+    With ``group``, all vectors of a block have the same value in the third column.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(a, BLOCK)
-                col = part.column(1)
-                flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                dim = len(flat) // part.num_rows
-                ids = part.column(0).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids]), pa.array([dim], pa.int32()), pa.array([flat.tobytes()], pa.binary())], names=["b", "ids", "dim", "data"])
+            values = batch.column(2).to_numpy(zero_copy_only=False) if group else None
+            order = np.argsort(values, kind="stable") if group else np.arange(batch.num_rows)
+            cuts = np.flatnonzero(values[order][1:] != values[order][:-1]) + 1 if group else []
+            for rows in np.split(order, cuts) if len(order) else []:
+                for a in range(0, len(rows), BLOCK):
+                    part = batch.take(pa.array(rows[a : a + BLOCK])) if group else batch.slice(a, BLOCK)
+                    flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                    ids = part.column(0).to_pylist()
+                    out = [pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids]), pa.array([len(flat) // part.num_rows], pa.int32()), pa.array([flat.tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*out, *([part.column(2).slice(0, 1)] if group else [])], names=["b", "ids", "dim", "data", *(["grp"] if group else [])])
 
-    return df.mapInArrow(pack, f"b long, ids array<{kind}>, dim int, data binary")
+    return df.mapInArrow(pack, f"b long, ids array<{kind}>, dim int, data binary" + (f", grp {group}" if group else ""))
 
 
-def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: bool = False, max_distance: float | None = None) -> DataFrame:
+def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: bool = False, max_distance: float | None = None, within: str | None = None) -> DataFrame:
     """The ``k`` vectors most similar to each query by cosine: query_id, id, similarity, distance, rank.
 
     ``queries`` (query_id, embedding) and ``vectors`` (id, embedding) meet in blocks: a
     block of vectors is multiplied with a block of queries and hands on its ``k`` best
     only, so what is shuffled does not grow with the product of the sides.  Null, empty
     and all-zero vectors are never found and find nothing.  With ``max_distance`` the
-    limit applies after the ``k`` best are taken.
+    limit applies after the ``k`` best are taken.  With ``within``, a column of both
+    sides, a query is compared only with vectors that have its value there (not null):
+    blocks are then of one value each, and only such of the same value meet.
     """
     vkind, qkind = (df.schema[c].dataType.simpleString() for df, c in ((vectors, "id"), (queries, "query_id")))
     usable = lambda c: (F.size(c) > 0) & F.forall(c, lambda x: x.isNotNull()) & F.exists(c, lambda x: x != 0)
-    v = _blocks(vectors.where(usable("embedding")).select("id", "embedding"), vkind)
-    q = _blocks(queries.where(usable("embedding")).select("query_id", "embedding"), qkind).withColumnsRenamed({"b": "qb", "ids": "qids", "data": "qdata"})
+    more, group, on = [], None, ["dim", "task"]
+    if within is not None:
+        more, group, on = [within], vectors.schema[within].dataType.simpleString(), ["dim", "task", "grp"]
+        vectors, queries = vectors.where(F.col(within).isNotNull()), queries.where(F.col(within).isNotNull())
+    v = _blocks(vectors.where(usable("embedding")).select("id", "embedding", *more), vkind, group)
+    q = _blocks(queries.where(usable("embedding")).select("query_id", "embedding", *more), qkind, group).withColumnsRenamed({"b": "qb", "ids": "qids", "data": "qdata"})
     # Vectors are spread over the tasks once; the blocks of the queries go to every task.
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tasks - 1).cast("long")))
-    pairs = v.withColumn("task", F.pmod("b", F.lit(tasks))).join(q.withColumn("task", spread), ["dim", "task"])
+    pairs = v.withColumn("task", F.pmod("b", F.lit(tasks))).join(q.withColumn("task", spread), on)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,26 +120,80 @@ def result_summary(results: DataFrame) -> DataFrame:
     return named.rollup("document_name").agg(F.count("*").alias("results"), F.grouping("document_name").cast("boolean").alias("total"))
 
 
-def bm25(chunks: DataFrame, queries: DataFrame, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
-    """Okapi BM25 of all chunks that share a word with a query: query_id, chunk_id, score.
+def term_weights(chunks: DataFrame, queries: DataFrame, epsilon: float = 0.25) -> DataFrame:
+    """Okapi weights of the words of each query: query_id, term, weight (times in the query * idf).
 
-    Words are white-space tokens as written; repeated words of a query count each
-    time.  A word in more than half of the chunks gets ``epsilon`` times the mean idf.
-    Terms are counted where they are read; the table of terms is never collected.
+    Words that no chunk has are left out.  A word in more than half of the chunks gets
+    ``epsilon`` times the mean idf of all words.  Terms are counted once, combined
+    before they are shuffled.
     """
-    tokens = chunks.select("chunk_id", F.explode(words(F.col("text"))).alias("term"))
-    tf = tokens.groupBy("chunk_id", "term").agg(F.count("*").alias("f"))
-    lengths = chunks.select("chunk_id", F.coalesce(F.size(words(F.col("text"))), F.lit(0)).alias("dl"))
-    size = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))  # one row
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    size = chunks.agg(F.count("*").alias("n"))  # one row
+    df = cut(chunks.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df")))
     raw = df.join(F.broadcast(size)).select("term", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
     mean = raw.agg(F.avg("raw").alias("mean"))  # one row
     idf = raw.join(F.broadcast(mean)).select("term", F.when(F.col("raw") < 0, epsilon * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
     asked = queries.select("query_id", F.explode(words(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    weighted = asked.join(idf, "term")
-    part = F.col("times") * F.col("idf") * F.col("f") * (k1 + 1) / (F.col("f") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    hits = weighted.join(tf, "term").join(lengths, "chunk_id").join(F.broadcast(size))
-    return hits.groupBy("query_id", "chunk_id").agg(F.sum(part).alias("score"))
+    return asked.join(idf, "term").select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight"))
+
+
+def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, block: int = 512) -> DataFrame:
+    """The ``k`` best chunks of each query by Okapi BM25: query_id, chunk_id, score, rank.
+
+    Words are white-space tokens as written; repeated words of a query count each
+    time.  Chunks that share no word with a query are not found.  Blocks of chunks meet
+    blocks of queries, and each pair hands on the ``k`` best only: no join is on words,
+    so one that stands in every chunk is not a hot key, and what is shuffled does not
+    grow with the product of the sides.
+    """
+    ckind, qkind = chunks.schema["chunk_id"].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
+    tokens = chunks.select("chunk_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    average = chunks.agg(F.avg(F.greatest(F.coalesce(F.size(words(F.col("text"))), F.lit(0)), F.lit(0))).alias("avgdl"))  # one row
+    weights = term_weights(chunks, queries, epsilon)
+
+    def pack_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, block):
+                part = batch.slice(a, block)
+                ids = part.column(0).to_pylist()
+                sizes = [len(x) for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids]), pa.array([sizes], pa.list_(pa.int32())), pa.array([part.column(1).flatten().to_pylist()], pa.list_(pa.string()))], names=["b", "ids", "sizes", "tokens"])
+
+    packed = tokens.mapInArrow(pack_chunks, f"b long, ids array<{ckind}>, sizes array<int>, tokens array<string>")
+    # A block of queries is the queries of one value of a hash; their number follows from the queries.
+    asking = queries.select("query_id").distinct().count()
+    spot = F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-asking // block))))
+    asks = weights.groupBy(spot.alias("qb")).agg(F.collect_list("query_id").alias("qids"), F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights"))
+    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tasks - 1).cast("long")))
+    pairs = packed.withColumn("task", F.pmod("b", F.lit(tasks))).join(asks.withColumn("task", spread), "task").join(F.broadcast(average))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                qids = list(dict.fromkeys(r["qids"]))
+                row = {q: i for i, q in enumerate(qids)}
+                at = {t: i for i, t in enumerate(dict.fromkeys(r["terms"]))}
+                w = np.zeros((len(at), len(qids)))
+                w[[at[t] for t in r["terms"]], [row[q] for q in r["qids"]]] = r["weights"]
+                sizes = np.array(r["sizes"])
+                f = np.zeros((len(sizes), len(at)))
+                term = np.array([at.get(t, -1) for t in r["tokens"]])
+                np.add.at(f, (np.repeat(np.arange(len(sizes)), sizes)[term >= 0], term[term >= 0]), 1)
+                sums = (f * (k1 + 1) / (f + k1 * (1 - b + b * sizes / (r["avgdl"] or 1))[:, None])) @ w
+                shares = ((f > 0).astype(np.float32) @ (w != 0).astype(np.float32)) > 0 if (w < 0).any() or not w.any() else sums > 0
+                out = ([], [], [])
+                for i, q in enumerate(qids):
+                    near = np.flatnonzero(shares[:, i])
+                    s = sums[near, i]
+                    if len(near) > k:
+                        low = np.round(np.partition(s, len(s) - k)[len(s) - k], 6) - 1e-6  # all that may tie with the last one
+                        near, s = near[s >= low], s[s >= low]
+                    out[0].extend([q] * len(near))
+                    out[1].extend(r["ids"][j] for j in near)
+                    out[2].extend(s.tolist())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (batch.schema.field("qids").type.value_type, batch.schema.field("ids").type.value_type, pa.float64()))], names=["query_id", "chunk_id", "score"])
+
+    return topk(pairs.select("qids", "terms", "weights", "ids", "sizes", "tokens", "avgdl").mapInArrow(score, f"query_id {qkind}, chunk_id {ckind}, score double"), k)
 
 
 def topk(scored: DataFrame, k: int, score: str = "score", key: str = "chunk_id", digits: int = 6) -> DataFrame:

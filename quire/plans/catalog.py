@@ -137,9 +137,7 @@ def dense_max_distance(spark, d):
 
 @query(f"SELECT query_id, id, similarity, rank FROM ({_DENSE.format(' AND q.label = v.label', 30)})")
 def search_filtered(spark, d):
-    q = _asking(spark, d)
-    allowed = q.select("query_id", "label").join(vectors_view(spark, d).select("id", "label"), "label").select("query_id", "id")
-    return retrieval.filtered_topk(q, vectors_view(spark, d), allowed, 30)
+    return retrieval.dense_topk(_asking(spark, d), vectors_view(spark, d), 30, within="label").select("query_id", "id", "similarity", "rank")
 
 
 @query("SELECT document_name, count(*) AS results, grouping(document_name) = 1 AS total FROM (SELECT coalesce(metadata.document_name, 'Unknown Document') AS document_name FROM vector_records) GROUP BY ROLLUP (document_name)")
@@ -164,8 +162,7 @@ _ASK = "asked AS (SELECT pair_id AS query_id, question AS text FROM qa_pairs WHE
 
 @query(f"WITH {CHUNKS}, {_ASK}, {_bm25_sql('chunks', 'asked')} SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, chunk_id) AS rank FROM scored) WHERE rank <= 20")
 def bm25_topk(spark, d):
-    scored = retrieval.bm25(chunks_view(spark, d).select("chunk_id", "text"), _questions(spark, d))
-    return retrieval.topk(scored, 20).select("query_id", "chunk_id", F.round("score", 6).alias("score"), "rank")
+    return retrieval.bm25_topk(chunks_view(spark, d).select("chunk_id", "text"), _questions(spark, d), 20).select("query_id", "chunk_id", F.round("score", 6).alias("score"), "rank")
 
 
 def _texts(spark, d):
@@ -187,7 +184,7 @@ hyb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
 
 def _hybrid(docs, asked):
     dense = retrieval.dense_topk(asked, docs.withColumnRenamed("chunk_id", "id"), 40)
-    sparse = retrieval.topk(retrieval.bm25(docs, asked), 40)
+    sparse = retrieval.bm25_topk(docs, asked, 40)
     return docs, asked, retrieval.hybrid(dense, sparse)
 
 
@@ -271,8 +268,7 @@ def multi_query_union(spark, d):
 @query(f"WITH a AS ({_DENSE.format('', 5)}), b AS ({_DENSE.format(' AND q.label = v.label', 5)}), u AS (SELECT query_id, id, 0 AS source, rank FROM a UNION ALL SELECT query_id, id, 1, rank FROM b), f AS (SELECT *, row_number() OVER (PARTITION BY query_id, id ORDER BY source, rank) AS n FROM u) SELECT query_id, id, source, rank, row_number() OVER (PARTITION BY query_id ORDER BY source, rank, id) AS position FROM f WHERE n = 1")
 def merge_clusters(spark, d):
     q = _asking(spark, d)
-    allowed = q.select("query_id", "label").join(vectors_view(spark, d).select("id", "label"), "label").select("query_id", "id")
-    return retrieval.merge_clusters(retrieval.dense_topk(q, vectors_view(spark, d), 5), retrieval.filtered_topk(q, vectors_view(spark, d), allowed, 5))
+    return retrieval.merge_clusters(retrieval.dense_topk(q, vectors_view(spark, d), 5), retrieval.dense_topk(q, vectors_view(spark, d), 5, within="label"))
 
 
 _STOP = ", ".join(f"'{w}'" for w in T.STOPWORDS + T.COMMON_WORDS)
