@@ -124,22 +124,76 @@ def complete(prompts: DataFrame, factory: Callable[[], Client] = MockClient, tri
     return src.mapInPandas(run, f"{schema}, answer string, payload string, status string")
 
 
+def complete_text(prompts: DataFrame, factory: Callable[[], Client] = MockClient, tries: int = 3) -> DataFrame:
+    """Plain answers of a model: the columns of ``prompts`` (with ``prompt``), then answer and status (done or error).
+
+    Equal prompts within a batch are asked once.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = factory()
+        for pdf in batches:
+            said: dict[str, tuple[str | None, str]] = {}
+            for p in pdf["prompt"].unique():
+                said[p] = (None, "error")
+                for _ in range(tries):
+                    try:
+                        said[p] = (client.complete(p), "done")
+                        break
+                    except Exception as e:  # noqa: BLE001 - a failed call is a row, not a failed job
+                        said[p] = (f"[ERROR {e}]", "error")
+            yield pdf.assign(answer=[said[p][0] for p in pdf["prompt"]], status=[said[p][1] for p in pdf["prompt"]])
+
+    return prompts.mapInPandas(run, f"{schema}, answer string, status string")
+
+
+def language_code(answer: Column) -> Column:
+    """The language that a model named: two letters in capitals, else EN."""
+    t = F.trim(answer)
+    return F.when(t.rlike(r"^[A-Za-z]{2}$"), F.upper(t)).otherwise(F.lit("EN"))
+
+
+def missing_labels(nodes: DataFrame) -> DataFrame:
+    """The nodes whose label, summary or keywords are null or blank: the ones a repair run asks for."""
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    return nodes.where(blank(F.col("label")) | blank(F.col("summary")) | (F.coalesce(F.size("keywords"), F.lit(0)) <= 0))
+
+
+def language_pick(nodes: DataFrame, override: str | None = None) -> DataFrame:
+    """One row (language): ``override``, else the first language of the first node in path order that has one; none if no node has."""
+    from quire.functions.text import path_of
+
+    if override is not None:
+        return nodes.sparkSession.createDataFrame([(override,)], "language string")
+    first = nodes.where(F.size("languages") > 0).select(F.struct(path_of(F.col("cluster_id")).alias("path"), F.get("languages", F.lit(0)).alias("language")).alias("x")).agg(F.min("x").alias("x"))
+    return first.where("x is not null").select("x.language")
+
+
+def label_schema(languages: list[str]) -> str:
+    """The JSON object that a labelling prompt asks for, as text: a block per language."""
+    return json.dumps({lang: {"summary": "...", "label": "...", "keywords": ["..."]} for lang in languages}, indent=1)
+
+
 def pending(tasks: DataFrame, done: DataFrame, *key: str) -> DataFrame:
     """Tasks without a finished output: an output whose payload is no valid JSON does not count."""
     valid = done.where(F.col("payload").isNotNull() & F.try_parse_json("payload").isNotNull())
     return tasks.join(valid.select(*key).distinct(), list(key), "left_anti")
 
 
-def label_prompt(text: Column) -> Column:
-    """The prompt that asks for a summary, a label and keywords in every language."""
-    return F.concat(F.lit("Summarise the text, give it a short label and keywords, in EN and DE, as one JSON object {language: {summary, label, keywords}}.\n\n"), F.coalesce(text, F.lit("")))
+def label_prompt(text: Column, languages: tuple[str, ...] = ("EN", "DE")) -> Column:
+    """The prompt that asks for a summary, a label and keywords in every language, with the object wanted."""
+    return F.concat(F.lit(f"Summarise the text, give it a short label and keywords, in {' and '.join(languages)}, as one JSON object {{language: {{summary, label, keywords}}}}.\n\n"), F.coalesce(text, F.lit("")))
 
 
 BLOCK = "map<string,struct<summary:string,label:string,keywords:array<string>>>"
 
 
-def label_tree(nodes: DataFrame, leaf_texts: DataFrame, factory: Callable[[], Client] = MockClient) -> DataFrame:
-    """Labels of all nodes, children before parents: cluster_id, multilang, source_language, label, status.
+def label_tree(nodes: DataFrame, leaf_texts: DataFrame, factory: Callable[[], Client] = MockClient, cache: DataFrame | None = None, languages: tuple[str, ...] = ("EN", "DE")) -> DataFrame:
+    """Labels of all nodes, children before parents: cluster_id, multilang, source_language, summary, label, status.
+
+    Nodes of ``cache`` (the same columns, from an earlier run) whose label and summary
+    are filled are taken as they are (status cached); only the others are asked for.
 
     A leaf is described by its chunk texts, an inner node by the summaries of its
     children in their source language.  One pass per level from the deepest up; each is
@@ -147,24 +201,32 @@ def label_tree(nodes: DataFrame, leaf_texts: DataFrame, factory: Callable[[], Cl
     """
     levels = nodes.select(level_of(F.col("cluster_id")).alias("l")).distinct().orderBy(F.desc("l")).collect()  # as many rows as the tree is deep
     done: DataFrame | None = None
+    below: DataFrame | None = None  # the level below, the only one the next level reads
     for (level,) in levels:
         here = nodes.where(level_of(F.col("cluster_id")) == level)
+        kept = None
+        if cache is not None:
+            good = cache.where((F.trim("label") != "") & (F.trim("summary") != "")).dropDuplicates(["cluster_id"])
+            kept = here.join(good, "cluster_id").select("cluster_id", "multilang", "source_language", "summary", "label", F.lit("cached").alias("status"))
+            here = here.join(good, "cluster_id", "left_anti")
         text = here.join(leaf_texts, "cluster_id", "left")
-        if done is not None:
-            kids = done.groupBy(parent_id(F.col("cluster_id")).alias("cluster_id")).agg(
+        if below is not None:
+            kids = below.groupBy(parent_id(F.col("cluster_id")).alias("cluster_id")).agg(
                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cluster_id", "summary"))), lambda x: x["summary"]), "\n\n").alias("below"),
                 F.max_by("source_language", F.struct(F.length("summary"), F.col("source_language"))).alias("kid_language"), F.min_by("label", "cluster_id").alias("kid_label"),
             )
             text = text.join(kids, "cluster_id", "left")
         else:
             text = text.select("*", *[F.lit(None).cast("string").alias(c) for c in ("below", "kid_language", "kid_label")])
-        asked = complete(text.select("cluster_id", "kid_language", "kid_label", label_prompt(F.coalesce("text", "below")).alias("prompt")), factory)
+        asked = complete(text.select("cluster_id", "kid_language", "kid_label", label_prompt(F.coalesce("text", "below"), languages).alias("prompt")), factory)
         block = F.from_json("payload", BLOCK)
         longest = F.array_max(F.transform(F.map_entries(block), lambda e: F.struct(F.length(e["value"]["summary"]).alias("n"), e["key"].alias("k"))))["k"]
         lang = F.coalesce("kid_language", longest, F.lit("EN"))
         mine = asked.select("cluster_id", "kid_label", block.alias("multilang"), lang.alias("source_language"), "status")
         own = F.try_element_at("multilang", F.col("source_language"))
-        level_done = cut(mine.select("cluster_id", "multilang", "source_language", own["summary"].alias("summary"), label_fallback(own["label"], F.col("kid_label"), F.col("cluster_id")).alias("label"), "status"))
+        fresh = mine.select("cluster_id", "multilang", "source_language", own["summary"].alias("summary"), label_fallback(own["label"], F.col("kid_label"), F.col("cluster_id")).alias("label"), "status")
+        level_done = cut(fresh if kept is None else fresh.unionByName(kept))
+        below = level_done
         done = level_done if done is None else done.unionByName(level_done)
     return done
 

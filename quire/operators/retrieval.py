@@ -250,6 +250,20 @@ def two_stage(queries: DataFrame, clusters: DataFrame, vectors: DataFrame, top_c
     return filtered_topk(queries, vectors, allowed, k)
 
 
+def retrieved_for_clusters(clusters: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
+    """The chunks found for every cluster: cluster_id, label, keywords (sorted, each once), retrieved_count, chunks (id and score, best first).
+
+    All clusters (cluster_id, label, keywords, embedding) are queries of one batch; a
+    cluster without a usable vector has no chunks.
+    """
+    hits = dense_topk(clusters.select(F.col("cluster_id").alias("query_id"), "embedding"), vectors, k)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "id", "similarity"))), lambda x: F.struct(x["id"].alias("id"), x["similarity"].alias("score")))
+    per = hits.groupBy(F.col("query_id").alias("cluster_id")).agg(F.count("*").alias("retrieved_count"), listed.alias("chunks"))
+    keys = F.array_sort(F.array_distinct(F.coalesce("keywords", F.array().cast("array<string>"))))
+    none = F.array().cast(per.schema["chunks"].dataType)
+    return clusters.select("cluster_id", "label", keys.alias("keywords")).join(per, "cluster_id", "left").select("cluster_id", "label", "keywords", F.coalesce("retrieved_count", F.lit(0)).cast("long").alias("retrieved_count"), F.coalesce("chunks", none).alias("chunks"))
+
+
 def merge_clusters(semantic: DataFrame, lexical: DataFrame) -> DataFrame:
     """Clusters of both searches, each once per query: semantic ones first, then lexical ones, in their order."""
     both = semantic.select("query_id", "id", F.lit(0).alias("source"), "rank").unionByName(lexical.select("query_id", "id", F.lit(1).alias("source"), "rank"))

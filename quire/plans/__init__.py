@@ -1 +1,3 @@
 """quire.plans"""
+
+from quire.plans import catalog, knowledge  # noqa: E402, F401

@@ -498,10 +498,16 @@ def heading_top5(spark, d):
     return drift.heading_top(pairs)
 
 
-@query(f"WITH {NODES}, {_LINEAGE} SELECT cluster_id, array_to_string(list_filter([coalesce(label, ''), coalesce(summary, ''), coalesce(array_to_string(keywords, ', '), ''), coalesce(lineage, '')], lambda x: x <> ''), chr(10)) AS embedding_text FROM nodes LEFT JOIN lin USING (cluster_id)")
+_TOP5 = ORACLES["heading_top5"].split("SELECT * FROM (SELECT cluster_id, heading, n, row_number()")[0].removeprefix(f"WITH {CHUNKS}, {LEAF}, ")
+
+
+@query(f"WITH {CHUNKS}, {LEAF}, {_TOP5}, hd AS (SELECT cluster_id, string_agg(heading, ' | ' ORDER BY r) AS headings FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, heading) AS r FROM c) WHERE r <= 5 GROUP BY cluster_id), {_LINEAGE} SELECT cluster_id, array_to_string(list_filter([coalesce(label, ''), coalesce(summary, ''), coalesce(array_to_string(keywords, ', '), ''), coalesce(lineage, ''), coalesce(headings, '')], lambda x: x <> ''), chr(10)) AS embedding_text FROM nodes LEFT JOIN lin USING (cluster_id) LEFT JOIN hd USING (cluster_id)")
 def embed_text(spark, d):
     n = nodes_view(spark, d)
-    return n.join(drift.lineage(n.select("cluster_id", "label")), "cluster_id").select("cluster_id", drift.embedding_text(F.col("label"), F.col("summary"), F.col("keywords"), F.col("lineage"), F.array().cast("array<string>")).alias("embedding_text"))
+    pairs = drift.subtree_chunks(leaf_view(spark, d)).join(chunks_view(spark, d).select("chunk_id", "heading_path"), "chunk_id")
+    heads = drift.heading_top(pairs).groupBy("cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "heading"))), lambda x: x["heading"]).alias("headings"))
+    r = n.join(drift.lineage(n.select("cluster_id", "label")), "cluster_id").join(heads, "cluster_id", "left")
+    return r.select("cluster_id", drift.embedding_text(F.col("label"), F.col("summary"), F.col("keywords"), F.col("lineage"), F.col("headings")).alias("embedding_text"))
 
 
 def _cluster_drift(spark, d):
@@ -638,11 +644,13 @@ def sanitize_xml(spark, d):
     return table(spark, d, "documents").select("doc_id", T.xml_safe(F.col("text")).alias("safe"))
 
 
-@query("SELECT pair_id, pair_id % 2 = 0 AS has_object FROM qa_pairs")
+@query("SELECT pair_id, CASE WHEN pair_id % 2 = 0 THEN pair_id::VARCHAR END AS n, CASE WHEN pair_id % 2 = 0 THEN 'true' END AS ok, CASE WHEN pair_id % 2 = 0 THEN coalesce(info_type, '') END AS kind, pair_id % 2 = 0 AS has_object FROM qa_pairs")
 def json_repair(spark, d):
-    damaged = F.concat(F.lit("Answer: {\"n\": "), F.col("pair_id").cast("string"), F.lit(", \"ok\": True, \"x\": None,} // done\n"))
+    damaged = F.concat(F.lit("Answer: {\"n\": "), F.col("pair_id").cast("string"), F.lit(", \"ok\": True, \"x\": None, \"kind\": \""), F.coalesce("info_type", F.lit("")), F.lit("\",} // done\n"))
     broken = F.when(F.col("pair_id") % 2 == 0, damaged).otherwise(F.lit("no object here"))
-    return table(spark, d, "qa_pairs").select("pair_id", F.coalesce(F.get_json_object(T.repaired_json(broken), "$.n") == F.col("pair_id").cast("string"), F.lit(False)).alias("has_object"))
+    got = T.repaired_json(broken)
+    keys = [F.get_json_object(got, f"$.{k}").alias(k) for k in ("n", "ok", "kind")]
+    return table(spark, d, "qa_pairs").select("pair_id", *keys, F.coalesce(F.get_json_object(got, "$.n") == F.col("pair_id").cast("string"), F.lit(False)).alias("has_object"))
 
 
 @query("SELECT pair_id, regexp_replace(replace(coalesce(question, ''), '::', '__'), '[ /\\\\><]', '_', 'g') AS safe FROM qa_pairs")
@@ -681,20 +689,26 @@ def chunks_csv(spark, d):
     return documents.chunk_rows(leaf_view(spark, d), chunks_view(spark, d))
 
 
+_LINES = "SELECT cluster_id, string_agg(printf('%s (%.1f%%)', name, CASE WHEN total > 0 THEN tokens / total * 100 ELSE 0.0 END), chr(10) ORDER BY name) AS shares FROM ({}) GROUP BY cluster_id"
 _FLAGS = ORACLES["node_flags"].split("SELECT cluster_id, is_leaf, lk > 0", 1)
 
 
 @query(f"""{_FLAGS[0].replace(f"WITH {NODES}", f"WITH {CHUNKS}, {LEAF}, {_UP}")}, fl AS (SELECT cluster_id, is_leaf, lk > 0{_FLAGS[1]}), roll AS (SELECT cluster_id, count(*) AS size, sum(coalesce(token_count, 0))::BIGINT AS token_count FROM up LEFT JOIN chunks USING (chunk_id) GROUP BY cluster_id),
-kid AS (SELECT {PARENT} AS cluster_id, count(*) AS children FROM nodes WHERE contains(cluster_id, '.') GROUP BY 1) SELECT padded AS cluster_id, coalesce(size, 0) AS size, coalesce(children, 0) AS children, summary, label, coalesce(token_count, 0) AS token_count, document_cluster, fl.is_leaf, all_child_leaf, all_child_internal, has_leaf_sibling, has_internal_sibling,
-CASE WHEN contains(padded, '.') THEN regexp_replace(padded, '\\.[^.]*$', '') END AS parent, level FROM fl JOIN nodes USING (cluster_id) LEFT JOIN roll USING (cluster_id) LEFT JOIN kid USING (cluster_id)""")
+kid AS (SELECT {PARENT} AS cluster_id, count(*) AS children FROM nodes WHERE contains(cluster_id, '.') GROUP BY 1), sd AS ({_LINES.format(_share_sql('document_name'))}), tc AS ({_LINES.format(_share_sql('chunk_text_class'))}) SELECT padded AS cluster_id, coalesce(size, 0) AS size, coalesce(children, 0) AS children, summary, label, coalesce(token_count, 0) AS token_count, document_cluster, fl.is_leaf, all_child_leaf, all_child_internal, has_leaf_sibling, has_internal_sibling,
+CASE WHEN contains(padded, '.') THEN regexp_replace(padded, '\\.[^.]*$', '') END AS parent, level, sd.shares AS source_documents, tc.shares AS text_class FROM fl JOIN nodes USING (cluster_id) LEFT JOIN roll USING (cluster_id) LEFT JOIN kid USING (cluster_id) LEFT JOIN sd USING (cluster_id) LEFT JOIN tc USING (cluster_id)""")
 def clusters_csv(spark, d):
-    return documents.cluster_rows(nodes_view(spark, d), leaf_view(spark, d), chunks_view(spark, d)).drop("source_documents", "text_class")
+    return documents.cluster_rows(nodes_view(spark, d), leaf_view(spark, d), chunks_view(spark, d))
 
 
-@query()
+_SHARE4 = "SELECT cluster_id, string_agg(printf('%s=%.4f', name, share), '|' ORDER BY name) AS s FROM ({}) GROUP BY cluster_id"
+
+
+@query(f"""{_FLAGS[0].replace(f"WITH {NODES}", f"WITH {CHUNKS}, {LEAF}, {_UP}")}, fl AS (SELECT cluster_id, is_leaf, lk > 0{_FLAGS[1]}), sd AS ({_SHARE4.format(_share_sql('document_name'))}), tc AS ({_SHARE4.format(_share_sql('chunk_text_class'))})
+SELECT cluster_id, label, summary, array_to_string(keywords, '|') AS keywords, document_cluster AS is_document_cluster, sd.s AS source_documents, tc.s AS text_class FROM nodes JOIN fl USING (cluster_id) LEFT JOIN sd USING (cluster_id) LEFT JOIN tc USING (cluster_id)""")
 def category_records(spark, d):
     c = documents.category_records(nodes_view(spark, d), leaf_view(spark, d), chunks_view(spark, d))
-    return c.select("cluster_id", "label", "is_document_cluster", F.to_json("source_documents").alias("source_documents"), F.to_json("text_class").alias("text_class"))
+    listed = lambda col, name: F.array_join(F.transform(col, lambda x: F.format_string("%s=%.4f", x[name], x["tokens_percentage"])), "|").alias(col)
+    return c.select("cluster_id", "label", "summary", F.array_join("keywords", "|").alias("keywords"), "is_document_cluster", listed("source_documents", "document_name"), listed("text_class", "class"))
 
 
 @query()
@@ -715,11 +729,11 @@ def answered_questions(spark, d):
     return serving.answer(_questions(spark, d).withColumnRenamed("query_id", "request_id"), groups, chunks).select("request_id", "language", "status", F.length("context").alias("context_length"))
 
 
-@query(f"WITH {NODES}, q AS (SELECT cluster_id, info_type, count(*) AS n FROM qa_pairs WHERE question IS NOT NULL GROUP BY ALL) SELECT cluster_id, label, count(q.info_type) AS kinds, coalesce(sum(n), 0)::BIGINT AS questions FROM nodes LEFT JOIN q USING (cluster_id) GROUP BY cluster_id, label")
+@query(f"WITH {NODES}, q AS (SELECT cluster_id, coalesce(info_type, '') AS kind, string_agg(coalesce(item_no::VARCHAR, '') || ':' || question || ' => ' || coalesce(answer, ''), chr(10) ORDER BY item_no NULLS FIRST, question, answer NULLS FIRST) AS body FROM qa_pairs WHERE question IS NOT NULL GROUP BY ALL), k AS (SELECT cluster_id, count(*) AS kinds, md5(string_agg('[' || kind || ']' || chr(10) || regexp_replace(body, '(^|\\n)\\d*:', '\\1', 'g'), chr(10) ORDER BY kind)) AS body_md5 FROM q GROUP BY cluster_id) SELECT cluster_id, label, summary, array_to_string(keywords, '|') AS keywords, coalesce(kinds, 0) AS kinds, body_md5 FROM nodes LEFT JOIN k USING (cluster_id)")
 def outlines(spark, d):
     o = documents.outline(nodes_view(spark, d).select("cluster_id", "label", "summary", "keywords"), table(spark, d, "qa_pairs"))
-    n = F.aggregate(F.transform("qa", lambda x: F.size(x["elements"])), F.lit(0), lambda s, x: s + x)
-    return o.select("cluster_id", F.col("header.label").alias("label"), F.coalesce(F.size("qa"), F.lit(0)).cast("long").alias("kinds"), F.coalesce(n, F.lit(0)).cast("long").alias("questions"))
+    body = F.array_join(F.transform("qa", lambda x: F.concat(F.lit("["), F.coalesce(x["info_type"], F.lit("")), F.lit("]\n"), F.array_join(F.transform(x["elements"], lambda e: F.regexp_replace(F.concat(e["question"], F.lit(" => "), F.coalesce(e["answer"], F.lit(""))), r"(^|\n)\d*:", "$1")), "\n"))), "\n")
+    return o.select("cluster_id", F.col("header.label").alias("label"), F.col("header.summary").alias("summary"), F.array_join("header.keywords", "|").alias("keywords"), F.coalesce(F.size("qa"), F.lit(0)).cast("long").alias("kinds"), F.md5(body).alias("body_md5"))
 
 
 @query("SELECT doc, idx, page, CASE WHEN starts_with(lower(style), 'heading') THEN 'heading' ELSE 'body' END AS text_type FROM (SELECT document_name AS doc, chunk_row AS idx, text, chunk_type, coalesce(chunk_type, '') AS style, 1 + sum((coalesce(chunk_type, '') = 'table')::INT) OVER (PARTITION BY document_name ORDER BY chunk_row ROWS UNBOUNDED PRECEDING)::BIGINT AS page FROM structural_chunks WHERE document_name IS NOT NULL) WHERE coalesce(chunk_type, '') <> 'list_item' AND regexp_matches(text, '\\p{L}')")
