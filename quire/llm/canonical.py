@@ -82,7 +82,8 @@ def _unstable(cp: int) -> bool:
     cat = unicodedata.category(ch)
     if cat in ("Cs", "Co", "Cn"):
         return False
-    if unicodedata.combining(ch) or cat in ("Mn", "Mc", "Me"):
+    # Quick check "maybe": marks, and the vowels and finals of Hangul, may join what stands before them.
+    if unicodedata.combining(ch) or cat in ("Mn", "Mc", "Me") or 0x1161 <= cp <= 0x1175 or 0x11A8 <= cp <= 0x11C2:
         return True
     return unicodedata.normalize("NFC", _spread(ch)) != ch
 
@@ -131,16 +132,12 @@ def canonical_text(text: str | None) -> str | None:
     out, done = [], 0
     for m in _segments(bool(_ASTRAL.search(text))).finditer(text):
         at = m.start()
-        # A mark belongs to the starter before it; without one in this segment, take it along.
-        if at > done and unicodedata.combining(text[at]):
+        # A mark belongs to the starter before it, also over invisible characters, so the starter is taken along.
+        if at > done:
             at -= 1
         out += (text[done:at], _normal(text[at : m.end()]))
         done = m.end()
-    if not done:
-        return text
-    out = "".join(out) + text[done:]
-    # An invisible character may have stood between a starter and its mark.
-    return out if out.isascii() else unicodedata.normalize("NFC", out)
+    return "".join(out) + text[done:] if done else text
 
 
 @F.pandas_udf(T.StringType())

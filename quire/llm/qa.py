@@ -519,12 +519,12 @@ def find_defects(pairs: DataFrame, key: str, model: LanguageModel, field: ChainF
     split = cut(src.mapInArrow(open_ends, f"key {kind}, question string, answer string, k1 string, k2 string"))
     asked = split.where("k1 is not null").select(F.explode(F.array("k1", "k2")).alias("k")).distinct()
     counts = pairs.select("answer").where("answer is not null").mapInArrow(count, "k string, seen long, ended long").groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"))
-    known = cut(counts.join(asked, "k", "left_semi"))
+    known = cut(counts.hint("merge").join(asked.hint("merge"), "k", "left_semi"))
     one = known.select(F.col("k").alias("k1"), F.struct("seen", "ended").alias("e1"))
     two = known.select(F.col("k").alias("k2"), F.struct("seen", "ended").alias("e2"))
     null = F.lit(None).cast("struct<seen:bigint,ended:bigint>")
     columns = ["key", "question", "answer", "e1", "e2"]
-    ready = split.where("k1 is null").select("key", "question", "answer", null.alias("e1"), null.alias("e2")).unionAll(split.where("k1 is not null").join(one, "k1", "left").join(two, "k2", "left").select(*columns))
+    ready = split.where("k1 is null").select("key", "question", "answer", null.alias("e1"), null.alias("e2")).unionAll(split.where("k1 is not null").hint("merge").join(one.hint("merge"), "k1", "left").hint("merge").join(two.hint("merge"), "k2", "left").select(*columns))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -39,3 +39,10 @@ def test_pairs_against_brute_force(spark):
 def test_hot_look(spark):
     df = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then 'same' when id = 1 then 'sаme' else concat('t', id) end as text")
     assert C.equal_looking_pairs(df, "id", "text").count() == 1000
+
+
+def test_marks_join_over_invisible_characters():
+    for text in ("e\u200b\u0301", "\u1100\u00ad\u1161", "\uac00\ufeff\u11a8", "a\u200b\u200b\u0327\u0301x", "\u0301e", "\u00e9\u200b\u0304"):
+        got = C.canonical_text(text)
+        assert got == unicodedata.normalize("NFC", got) and "\u200b" not in got
+    assert C.canonical_text("e\u200b\u0301") == "\u00e9" and C.canonical_text("\u1100\u1161") == "\uac00"
