@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set one only where none is configured."""
+    """Return the session's checkpoint folder; set one only where none is configured, on a local master.
+
+    Raises RuntimeError on a cluster without a configured folder.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -55,7 +55,7 @@ def _blocks(df: DataFrame, kind: str, group: str | None = None) -> DataFrame:
     return df.mapInArrow(pack, f"b long, ids array<{kind}>, dim int, data binary" + (f", grp {group}" if group else ""))
 
 
-def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: bool = False, max_distance: float | None = None, within: str | None = None) -> DataFrame:
+def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: bool = False, max_distance: float | None = None, within: str | None = None, several: bool = False) -> DataFrame:
     """The ``k`` vectors most similar to each query by cosine: query_id, id, similarity, distance, rank.
 
     ``queries`` (query_id, embedding) and ``vectors`` (id, embedding) meet in blocks: a
@@ -64,7 +64,9 @@ def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: boo
     and all-zero vectors are never found and find nothing.  With ``max_distance`` the
     limit applies after the ``k`` best are taken.  With ``within``, a column of both
     sides, a query is compared only with vectors that have its value there (not null):
-    blocks are then of one value each, and only such of the same value meet.
+    blocks are then of one value each, and only such of the same value meet.  With
+    ``several``, a query or a vector may have rows of several values; what is found
+    more than once counts once.
     """
     vkind, qkind = (df.schema[c].dataType.simpleString() for df, c in ((vectors, "id"), (queries, "query_id")))
     usable = lambda c: (F.size(c) > 0) & F.forall(c, lambda x: x.isNotNull()) & F.exists(c, lambda x: x != 0)
@@ -100,6 +102,8 @@ def dense_topk(queries: DataFrame, vectors: DataFrame, k: int, exclude_same: boo
     if exclude_same:
         found = found.where("query_id <> id")
     found = found.withColumn("similarity", F.round("similarity", 6))
+    if several:
+        found = found.groupBy("query_id", "id").agg(F.max("similarity").alias("similarity"))
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
     out = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).withColumn("distance", F.round(1 - F.col("similarity"), 6))
     if max_distance is not None:
@@ -237,17 +241,23 @@ def dedupe_final(scored: DataFrame, k: int = 10) -> DataFrame:
     return once.withColumn("final_rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("final_rank") <= k)
 
 
-def two_stage(queries: DataFrame, clusters: DataFrame, vectors: DataFrame, top_clusters: int = 40, k: int = 40, lexical: DataFrame | None = None) -> DataFrame:
+def two_stage(queries: DataFrame, clusters: DataFrame, vectors: DataFrame, top_clusters: int = 40, k: int = 40, lexical: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
     """Cluster-routed retrieval: the best clusters of a query open their chunks, the best of which are taken.
 
-    ``clusters`` has id, embedding and chunks (array of chunk ids).  ``lexical``
-    (query_id, id) adds clusters found by words; a cluster found both ways counts once.
+    ``clusters`` has id and embedding, and chunks (array of chunk ids) unless ``members``
+    (cluster, id) has a row for each chunk of a cluster.  ``lexical`` (query_id, id) adds
+    clusters found by words; a cluster found both ways counts once, and so does a chunk
+    of several clusters.  Queries meet the vectors of their clusters in blocks, so there
+    is no frame of pairs.
     """
     found = dense_topk(queries, clusters, top_clusters).select("query_id", "id")
     if lexical is not None:
         found = found.unionByName(lexical.select("query_id", "id")).distinct()
-    allowed = found.join(clusters.select("id", "chunks"), "id").select("query_id", F.explode("chunks").alias("id"))
-    return filtered_topk(queries, vectors, allowed, k)
+    if members is None:
+        members = clusters.select(F.col("id").alias("cluster"), F.explode("chunks").alias("id"))
+    asking = found.withColumnRenamed("id", "cluster").join(queries.select("query_id", "embedding"), "query_id")
+    there = members.select("cluster", "id").distinct().join(vectors.select("id", "embedding"), "id")
+    return dense_topk(asking, there, k, within="cluster", several=True).select("query_id", "id", "similarity", "rank")
 
 
 def retrieved_for_clusters(clusters: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:

@@ -249,14 +249,15 @@ def rerank_budget(spark, d):
 
 def _label_clusters(spark, d):
     v = vectors_view(spark, d)
-    return v.groupBy(F.col("label").cast("long").alias("id")).agg(F.min_by("embedding", "id").alias("embedding"), F.collect_list("id").alias("chunks"))
+    return v.groupBy(F.col("label").cast("long").alias("id")).agg(F.min_by("embedding", "id").alias("embedding"))
 
 
 @query("""WITH c AS (SELECT label AS id, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label), q AS (SELECT vec_id AS query_id, embedding FROM embeddings WHERE vec_id % 20 = 0),
 top AS (SELECT query_id, id FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS r FROM (SELECT query_id, id, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS s FROM q, c)) WHERE r <= 3)
 SELECT query_id, id, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM (SELECT q.query_id, v.vec_id AS id, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS similarity FROM top JOIN q USING (query_id) JOIN embeddings v ON v.label = top.id)) WHERE rank <= 20""")
 def two_stage(spark, d):
-    return retrieval.two_stage(_asking(spark, d), _label_clusters(spark, d), vectors_view(spark, d), 3, 20)
+    members = vectors_view(spark, d).select(F.col("label").cast("long").alias("cluster"), "id")
+    return retrieval.two_stage(_asking(spark, d), _label_clusters(spark, d), vectors_view(spark, d), 3, 20, members=members)
 
 
 @query(f"WITH r AS ({_DENSE.format('', 10)}) SELECT request_id, chunk_id, query_ord, rank FROM (SELECT query_id % 100 AS request_id, id AS chunk_id, query_id AS query_ord, rank, row_number() OVER (PARTITION BY query_id % 100, id ORDER BY query_id, rank) AS n FROM r) WHERE n = 1")
