@@ -5,15 +5,21 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quire.functions.text import words
 
+RUNS = 64  # so many runs under one heading are folded in one Python group
+
 
 def merge_small(chunks: DataFrame, least: int = 80) -> DataFrame:
     """Join consecutive chunks of a document under the same first heading while together they have fewer than ``least`` tokens.
 
     ``chunks``: document_name, chunk_id, heading_path, text.  Returns document_name,
     merged_id, merged_from, text.  A chunk without heading path has the key null.
+
+    A document is cut where the first heading changes, and some such runs go to one
+    Python group, so that the largest document is no single group.
     """
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -27,10 +33,16 @@ def merge_small(chunks: DataFrame, least: int = 80) -> DataFrame:
                 out[-1][3] += n
             else:
                 out.append([r.document_name, [r.chunk_id], r.text or "", n, top])
-        return pd.DataFrame([(x[0], i + 1, x[1], x[2]) for i, x in enumerate(out)], columns=["document_name", "merged_id", "merged_from", "text"])
+        return pd.DataFrame([(x[0], pdf["part"].iloc[0], i, x[1], x[2]) for i, x in enumerate(out)], columns=["document_name", "part", "n", "merged_from", "text"])
 
     src = chunks.select("document_name", "chunk_id", "heading_path", "text").where("document_name is not null")
-    return src.groupBy("document_name").applyInPandas(one, "document_name string, merged_id int, merged_from array<int>, text string")
+    order = Window.partitionBy("document_name").orderBy("chunk_id")
+    top = F.get("heading_path", F.lit(0))
+    fresh = src.withColumn("fresh", (~top.eqNullSafe(F.lag(top).over(order))).cast("int"))
+    parts = fresh.withColumn("part", F.floor(F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) / RUNS)).drop("fresh")
+    folded = parts.groupBy("document_name", "part").applyInPandas(one, "document_name string, part long, n int, merged_from array<int>, text string")
+    number = F.row_number().over(Window.partitionBy("document_name").orderBy("part", "n"))
+    return folded.select("document_name", number.alias("merged_id"), "merged_from", "text")
 
 
 def token_windows(chunks: DataFrame, key: str = "chunk_id", size: int = 384, overlap: int = 64) -> DataFrame:

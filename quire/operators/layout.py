@@ -26,6 +26,7 @@ CAPTION = r"^(Figure|Fig\.|Table)\s*\d+[:.\-]"
 NUMBER_PREFIX = r"^\s*(\d+(?:\.\d+)*)(?:[.)])?\s+"
 HEADING_WORDS, REPEATS, MARGIN, TOC_PAGES, TOC_SHARE = 50, 3, 0.08, 7, 0.20
 MAX_TOKENS, BREAK_LEVEL = 1500, 4
+RUNS = 64  # so many sections are folded in one Python group
 
 
 def is_bold(font: Column) -> Column:
@@ -194,14 +195,17 @@ _FOLD_IN = ["doc", "page_num", "block_no", "text", "kind", "heading_level", "y0"
 
 
 def merge_cross_page(blocks: DataFrame) -> DataFrame:
-    """Paragraphs that go on at the top of the next page become one block; a run goes one page on at most."""
-    stop = [re.compile(p) for p in (HEADING, LIST_ITEM, CAPTION)]
+    """Paragraphs that go on at the top of the next page become one block; a run goes one page on at most.
+
+    Only runs of blocks that may go on, which are short, are folded in Python, each by
+    itself; all other blocks pass as they are.
+    """
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[dict] = []
         for r in pdf.sort_values(["page_num", "block_no"]).to_dict("records"):
             p = out[-1] if out else None
-            if p and p["kind"] == r["kind"] == "paragraph" and r["page_num"] == p["page_num"] + 1 and r["y0"] < 100 and not any(s.match(r["text"]) for s in stop):
+            if p and r["page_num"] == p["page_num"] + 1:
                 p["text"] = f"{p['text']} {r['text']}"
                 p["image_paths"] = [*p["image_paths"], *r["image_paths"]]
             else:
@@ -209,7 +213,14 @@ def merge_cross_page(blocks: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=[*_FOLD_IN, "image_paths"])
 
     src = _fold_in(blocks)
-    return src.groupBy("doc").applyInPandas(one, src.schema)
+    order = Window.partitionBy("doc").orderBy("page_num", "block_no")
+    stop = F.col("text").rlike(HEADING) | F.col("text").rlike(LIST_ITEM) | F.col("text").rlike(CAPTION)
+    page = F.lag("page_num").over(order)
+    may = (F.col("kind") == "paragraph") & (F.lag("kind").over(order) == "paragraph") & F.col("page_num").isin(page, page + 1) & (F.col("y0") < 100) & ~stop
+    marked = src.withColumn("may", F.coalesce(may, F.lit(False)))
+    run = marked.withColumn("run", F.sum((~F.col("may")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    run = run.withColumn("alone", ~F.col("may") & ~F.coalesce(F.lead("may").over(order), F.lit(False)))
+    return run.where("alone").select(*src.columns).unionByName(run.where("not alone").select("run", *src.columns).groupBy("doc", "run").applyInPandas(one, src.schema))
 
 
 def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
@@ -218,6 +229,10 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFr
     A chunk ends before a heading (a numbered one of level 4 or less, or any other), at
     a new page, where the kind changes (paragraphs and list items go together), and
     before it would exceed ``max_tokens``.  Chunks of headings only are dropped.
+
+    A document is cut before headings of the first level, where nothing of what stands
+    above matters any more, and some such sections go to one Python group, so that the
+    largest document is no single group.
     """
     prefix = re.compile(NUMBER_PREFIX)
 
@@ -231,7 +246,7 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFr
             kinds = sorted({b["kind"] for b in now})
             if any(k != "heading" for k in kinds):
                 text = " ".join(" ".join(b["text"] for b in now).split())
-                chunks.append((pdf["doc"].iloc[0], len(chunks) + 1, sorted({int(b["page_num"]) for b in now}), list(path), text, len(text.split()), kinds[0] if len(kinds) == 1 else "mixed", " + ".join(kinds), [p for b in now for p in b["image_paths"]]))
+                chunks.append((pdf["doc"].iloc[0], pdf["part"].iloc[0], len(chunks) + 1, sorted({int(b["page_num"]) for b in now}), list(path), text, len(text.split()), kinds[0] if len(kinds) == 1 else "mixed", " + ".join(kinds), [p for b in now for p in b["image_paths"]]))
             now = []
 
         for b in pdf.sort_values(["page_num", "block_no"]).to_dict("records"):
@@ -252,10 +267,15 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFr
                 close()
             now.append(b)
         close()
-        return pd.DataFrame(chunks, columns=["doc", "chunk_id", "pages", "heading_path", "text", "token_count", "chunk_type", "mixed_combo", "image_paths"])
+        return pd.DataFrame(chunks, columns=["doc", "part", "n", *rest])
 
+    rest = ["pages", "heading_path", "text", "token_count", "chunk_type", "mixed_combo", "image_paths"]
     src = _fold_in(blocks)
-    return src.groupBy("doc").applyInPandas(one, "doc string, chunk_id int, pages array<int>, heading_path array<string>, text string, token_count int, chunk_type string, mixed_combo string, image_paths array<string>")
+    order = Window.partitionBy("doc").orderBy("page_num", "block_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opens = ((F.col("kind") == "heading") & (F.coalesce("heading_level", F.lit(1)) <= 1)).cast("int")
+    parts = src.withColumn("part", F.floor(F.sum(opens).over(order) / RUNS))
+    folded = parts.groupBy("doc", "part").applyInPandas(one, "doc string, part long, n int, pages array<int>, heading_path array<string>, text string, token_count int, chunk_type string, mixed_combo string, image_paths array<string>")
+    return folded.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("part", "n")).alias("chunk_id"), *rest)
 
 
 def parse_documents(spans: DataFrame, pages: DataFrame) -> DataFrame:
