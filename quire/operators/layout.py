@@ -24,6 +24,7 @@ LIST_ITEM = r"^(\s*[-*•]\s+|\s*[0-9]+\.\s+)"
 PROCESS_STEP = r"^\s*(Step\s*[0-9]+:|[0-9]+\.)\s+"
 CAPTION = r"^(Figure|Fig\.|Table)\s*\d+[:.\-]"
 NUMBER_PREFIX = r"^\s*(\d+(?:\.\d+)*)(?:[.)])?\s+"
+LEADER = r"\.\.\.|___|···|—|–|\.{5,}"
 HEADING_WORDS, REPEATS, MARGIN, TOC_PAGES, TOC_SHARE = 50, 3, 0.08, 7, 0.20
 MAX_TOKENS, BREAK_LEVEL = 1500, 4
 RUNS = 64  # so many sections are folded in one Python group
@@ -54,8 +55,7 @@ def drop_headers_footers(spans: DataFrame, pages: DataFrame) -> DataFrame:
 
 def toc_line(text: Column) -> Column:
     """A line of a table of contents: a leader, a figure at the end, and a letter or a number of several levels."""
-    leader = text.rlike(r"\.\.\.|___|···|—|–|\.{5,}")
-    return leader & text.rlike(r"\d\s*$") & (text.rlike(r"(?U)\p{L}") | text.rlike(r"\d+\.\d+"))
+    return text.rlike(LEADER) & text.rlike(r"\d\s*$") & (text.rlike(r"(?U)\p{L}") | text.rlike(r"\d+\.\d+"))
 
 
 def toc_pages(spans: DataFrame, pages: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def _blocks(df: DataFrame, kind: str, group: str | None = None) -> DataFrame:
                     part = batch.take(pa.array(rows[a : a + BLOCK])) if group else batch.slice(a, BLOCK)
                     flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                     ids = part.column(0).to_pylist()
-                    out = [pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids]), pa.array([len(flat) // part.num_rows], pa.int32()), pa.array([flat.tobytes()], pa.binary())]
+                    out = [pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids], pa.list_(part.column(0).type)), pa.array([len(flat) // part.num_rows], pa.int32()), pa.array([flat.tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays([*out, *([part.column(2).slice(0, 1)] if group else [])], names=["b", "ids", "dim", "data", *(["grp"] if group else [])])
 
     return df.mapInArrow(pack, f"b long, ids array<{kind}>, dim int, data binary" + (f", grp {group}" if group else ""))
@@ -160,7 +160,7 @@ def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b:
                 part = batch.slice(a, block)
                 ids = part.column(0).to_pylist()
                 sizes = [len(x) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids]), pa.array([sizes], pa.list_(pa.int32())), pa.array([part.column(1).flatten().to_pylist()], pa.list_(pa.string()))], names=["b", "ids", "sizes", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids], pa.list_(part.column(0).type)), pa.array([sizes], pa.list_(pa.int32())), pa.array([part.column(1).flatten().to_pylist()], pa.list_(pa.string()))], names=["b", "ids", "sizes", "tokens"])
 
     packed = tokens.mapInArrow(pack_chunks, f"b long, ids array<{ckind}>, sizes array<int>, tokens array<string>")
     # A block of queries is the queries of one value of a hash; their number follows from the queries.

@@ -111,6 +111,7 @@ ANC = "list_transform(range(1, len(string_split(cluster_id, '.')) + 1), lambda n
 PARENT = "CASE WHEN contains(cluster_id, '.') THEN regexp_replace(cluster_id, '\\.[^.]*$', '') END"
 LEVEL = "(len(string_split(cluster_id, '.')) - 1)"
 WORDS = "list_filter(regexp_split_to_array(coalesce({}, ''), '\\s+'), lambda x: x <> '')"
+_SPACE = "[\\s\\x{00a0}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}\\x{1680}\\x{2028}\\x{2029}\\x{0085}\\x0b\\x1c-\\x1f]+"
 SPANS = """spans0 AS (SELECT * FROM (SELECT document_name AS doc, coalesce(pages[1], 1) AS page_num, chunk_id AS block_no, text AS full_text, row_number() OVER (PARTITION BY document_name, chunk_id ORDER BY chunk_row) AS rn FROM structural_chunks WHERE document_name IS NOT NULL) WHERE rn = 1 AND full_text IS NOT NULL),
 spans1 AS (SELECT doc, page_num, block_no, unnest(range(0, len(string_split(full_text, '. ')))) AS line_no, unnest(string_split(full_text, '. ')) AS text FROM spans0),
 spans AS (SELECT doc, page_num, block_no, line_no, text, 8.0 + length(text) % 5 AS font_size, length(text) % 7 = 0 AS bold, (length(text) * 13 % 400)::DOUBLE AS x0, ((line_no * 31 + block_no * 7) % 780)::DOUBLE AS y0, (length(text) * 13 % 400)::DOUBLE + 100 AS x1, ((line_no * 31 + block_no * 7) % 780)::DOUBLE + 12 AS y1 FROM spans1 WHERE trim(text) <> '')"""
@@ -552,9 +553,15 @@ def token_windows(spark, d):
     return chunking.token_windows(table(spark, d, "structural_chunks").select("chunk_row", "text"), "chunk_row")
 
 
-@query()
+_MERGED = f"""c AS (SELECT document_name, chunk_id, heading_path[1] AS top, coalesce(text, '') AS text, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '')) AS n, row_number() OVER (PARTITION BY document_name ORDER BY chunk_id, chunk_row) AS i FROM structural_chunks WHERE document_name IS NOT NULL),
+r AS (SELECT document_name, i, 1 AS merged_id, n AS total, top FROM c WHERE i = 1 UNION ALL SELECT c.document_name, c.i, CASE WHEN c.top IS NOT DISTINCT FROM r.top AND r.total + c.n < 80 THEN r.merged_id ELSE r.merged_id + 1 END, CASE WHEN c.top IS NOT DISTINCT FROM r.top AND r.total + c.n < 80 THEN r.total + c.n ELSE c.n END, c.top FROM r JOIN c ON c.document_name = r.document_name AND c.i = r.i + 1),
+m AS (SELECT document_name, merged_id, string_agg(chunk_id, ',' ORDER BY i) AS merged_from, string_agg(text, chr(10) ORDER BY i) AS text FROM r JOIN c USING (document_name, i) GROUP BY ALL)"""
+
+
+@query(f"WITH RECURSIVE {_MERGED} SELECT document_name, merged_id, merged_from, text FROM m")
 def merge_small(spark, d):
-    return chunking.merge_small(table(spark, d, "structural_chunks"))
+    m = chunking.merge_small(table(spark, d, "structural_chunks"))
+    return m.select("document_name", "merged_id", F.array_join(F.transform("merged_from", lambda x: x.cast("string")), ",").alias("merged_from"), "text")
 
 
 @query()
@@ -600,9 +607,18 @@ def toc_lines(spark, d):
     return table(spark, d, "documents").where("text is not null").select("doc_id", layout.toc_line(F.col("text")).alias("toc"))
 
 
-@query()
+_TOC = f"""WITH {SPANS}, s AS (SELECT doc, page_num, x0, x1, y0, CASE WHEN block_no % 4 = 0 THEN text || ' ........ ' || line_no WHEN block_no % 4 = 1 AND line_no % 2 = 0 THEN (block_no + line_no)::VARCHAR ELSE text END AS text FROM spans WHERE page_num <= {layout.TOC_PAGES}),
+ln AS (SELECT doc, page_num, round(y0 / 3)::BIGINT AS line, string_agg(text, ' ' ORDER BY x0, text) AS text, min(y0) AS y, max(x1) AS edge FROM s GROUP BY ALL), lg AS (SELECT * FROM ln WHERE length(trim(text)) > 3),
+hit AS (SELECT *, (regexp_matches(text, '{layout.LEADER}') AND regexp_matches(text, '\\d\\s*$') AND (regexp_matches(text, '\\p{{L}}') OR regexp_matches(text, '\\d+\\.\\d+'))) OR (regexp_full_match(trim(text), '\\d+') AND edge > 0.65 * 595 AND y BETWEEN 40 AND 760 AND EXISTS (SELECT 1 FROM lg WHERE lg.doc = ln.doc AND lg.page_num = ln.page_num AND abs(lg.y - ln.y) < 3 AND lg.line <> ln.line AND abs(lg.line - ln.line) <= 1)) AS h FROM ln)
+SELECT doc, page_num, round(avg(h::INT), 6) AS share FROM hit GROUP BY ALL HAVING avg(h::INT) >= {layout.TOC_SHARE}"""
+
+
+@query(_TOC)
 def toc_pages(spark, d):
-    return layout.toc_pages(spans_view(spark, d), pages_view(spark, d))
+    """A quarter of the blocks is given leaders and a figure, half the lines of another quarter are bare numbers."""
+    s, n = spans_view(spark, d), F.col("block_no") % 4
+    text = F.when(n == 0, F.concat("text", F.lit(" ........ "), F.col("line_no").cast("string"))).when((n == 1) & (F.col("line_no") % 2 == 0), (F.col("block_no") + F.col("line_no")).cast("string")).otherwise(F.col("text"))
+    return layout.toc_pages(s.withColumn("text", text), pages_view(spark, d)).select("doc", "page_num", F.round("share", 6).alias("share"))
 
 
 @query(f"WITH {SPANS}, x AS (SELECT *, (x0 + x1) / 2 AS xc, coalesce(((x0 + x1) / 2 - lag((x0 + x1) / 2) OVER w >= 20)::INT, 0) AS jump FROM spans WINDOW w AS (PARTITION BY doc, page_num ORDER BY (x0 + x1) / 2, block_no, line_no)) SELECT doc, page_num, block_no, line_no, sum(jump) OVER (PARTITION BY doc, page_num ORDER BY xc, block_no, line_no ROWS UNBOUNDED PRECEDING)::BIGINT AS column_id FROM x")
@@ -619,7 +635,21 @@ def block_agg(spark, d):
     return layout.blocks_of(spans_view(spark, d)).select("doc", "page_num", "block_no", "lines", "all_bold", "max_font", "first_font", "spans", "columns", "body_font", F.round("avg_font", 6).alias("avg_font"))
 
 
-@query()
+_N = WORDS.format("{}")
+_ENDS = "(ends_with({0}, ':') OR NOT (ends_with({0}, '.') OR ends_with({0}, ';')))"
+_KINDS = f"""WITH {SPANS}, {_BODY.replace("'\\s+'", f"'{_SPACE}'").replace("arg_min(font_size, line_no) AS first_font", "arg_min(font_size, line_no) AS first_font, arg_min(x0, line_no) AS x0, arg_min(x1, line_no) AS x1")},
+a AS (SELECT *, trim(regexp_replace(text, '{layout.NUMBER_PREFIX}', '')) AS rest, regexp_matches(text, '{layout.NUMBER_PREFIX}') AS numbered, regexp_extract(text, '{layout.NUMBER_PREFIX}', 1) AS num, lines <= 2 AS few FROM blk JOIN body USING (doc) JOIN av USING (doc)),
+e AS (SELECT *, numbered AND few AND len({_N.format('rest')}) <= {layout.HEADING_WORDS} AND {_ENDS.format('rest')} AND (all_bold OR regexp_matches(rest, '{layout.HEADING}')) AS early, (regexp_matches(text, '{layout.HEADING}') OR all_bold OR max_font > 1.05 * body_font) AND len({_N.format('text')}) <= {layout.HEADING_WORDS} AND few AND {_ENDS.format('text')} AS general FROM a),
+t AS (SELECT doc, page_num, block_no, text, max_font, first_font, avg_font, x0, x1, num, NOT early AND regexp_matches(text, '{layout.PROCESS_STEP}') AS is_process_step, CASE WHEN spans > 5 AND columns >= 2 THEN 'table' WHEN early OR general THEN 'heading' WHEN regexp_matches(text, '{layout.LIST_ITEM}') THEN 'list_item' ELSE 'paragraph' END AS kind FROM e),
+im AS (SELECT doc, page_num, block_no FROM (SELECT document_name AS doc, coalesce(pages[1], 1) AS page_num, chunk_id AS block_no, unnest(image_paths) AS image_path FROM (SELECT *, row_number() OVER (PARTITION BY document_name, chunk_id ORDER BY chunk_row) AS rn FROM structural_chunks WHERE document_name IS NOT NULL) WHERE rn = 1) WHERE image_path IS NOT NULL),
+u AS (SELECT * FROM t UNION ALL SELECT doc, page_num, block_no, '', NULL, NULL, NULL, 150, 450, '', false, 'image' FROM im), w AS (SELECT *, CASE WHEN regexp_matches(text, '{layout.CAPTION}') AND first_font < avg_font THEN 'caption' ELSE kind END AS worded FROM u),
+c AS (SELECT *, CASE WHEN worded = 'paragraph' AND first_font < 0.9 * avg_font AND (coalesce(lag(worded) OVER o IN ('table', 'image'), false) OR coalesce(lead(kind) OVER o IN ('table', 'image'), false)) THEN 'caption' ELSE worded END AS kind2 FROM w WINDOW o AS (PARTITION BY doc ORDER BY page_num, block_no, kind = 'image')),
+p1 AS (SELECT DISTINCT doc, 595 AS width FROM (SELECT doc, page_num FROM spans UNION SELECT doc, page_num FROM im) WHERE page_num = 1), s AS (SELECT c.*, CASE WHEN kind2 NOT IN ('heading', 'image') AND coalesce(x1 - x0 < 0.4 * width AND (x0 < 50 OR x1 > width - 50), false) THEN 'sidebar' ELSE kind2 END AS kind3 FROM c LEFT JOIN p1 USING (doc)),
+hr AS (SELECT doc, max_font, dense_rank() OVER (PARTITION BY doc ORDER BY max_font DESC) AS fr FROM (SELECT DISTINCT doc, max_font FROM s WHERE kind3 = 'heading'))
+SELECT s.doc, page_num, block_no, kind3 AS kind, is_process_step, CASE WHEN kind3 = 'heading' THEN CASE WHEN num <> '' THEN length(num) - length(replace(num, '.', '')) + 1 ELSE coalesce(fr, 1) END END AS heading_level FROM s LEFT JOIN hr ON s.doc = hr.doc AND s.max_font = hr.max_font"""
+
+
+@query(_KINDS)
 def block_kinds(spark, d):
     b = layout.mark_sidebars(layout.mark_captions(layout.mark_tables(layout.blocks_of(illustrated_view(spark, d)))), illustrated_pages_view(spark, d))
     return layout.heading_levels(b).select("doc", "page_num", "block_no", "kind", "is_process_step", "heading_level")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.operators import docx, enrich, extraction, models, ontology, retrieval, store
-from quire.plans.catalog import CHUNKS, LEVEL, NODES, chunks_view, nodes_view, query, table, vectors_view
+from quire.plans.catalog import CHUNKS, LEAF, LEVEL, NODES, chunks_view, leaf_view, nodes_view, query, table, vectors_view
 
 
 @query("SELECT record_no, id, text, CASE WHEN len(metadata.heading_path) > 0 THEN array_to_string(metadata.heading_path, '|') END AS heading_path, CASE WHEN len(metadata.image_paths) > 0 THEN array_to_string(metadata.image_paths, '|') END AS image_paths, CASE WHEN len(metadata.pages) > 0 THEN array_to_string(metadata.pages, '|') END AS pages FROM vector_records")
@@ -76,6 +76,14 @@ def child_outputs(spark, d):
     return extraction.child_outputs(nodes_view(spark, d).select("cluster_id", F.lit("summary").alias("info_type"), F.col("summary").alias("payload")))
 
 
+@query(f"WITH {CHUNKS}, {LEAF}, tx AS (SELECT cluster_id, string_agg(text, chr(10) || chr(10) ORDER BY text) AS input FROM leaf JOIN chunks USING (chunk_id) WHERE text IS NOT NULL GROUP BY cluster_id) SELECT cluster_id, 'concept' AS info_type, md5(input) AS input_md5 FROM nodes JOIN tx USING (cluster_id) WHERE NOT ends_with(cluster_id, '1')")
+def extraction_inputs(spark, d):
+    texts = leaf_view(spark, d).join(chunks_view(spark, d).select("chunk_id", "text").where("text is not null"), "chunk_id").groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n\n").alias("text"))
+    n = nodes_view(spark, d).select("cluster_id")
+    done = n.where("cluster_id like '%1'").select("cluster_id", F.lit("concept").alias("info_type"), F.lit("{}").alias("payload"))
+    return models.extraction_inputs(n, texts, done, "concept").select("cluster_id", "info_type", F.md5("input").alias("input_md5"))
+
+
 def _matching(spark, d):
     rows = table(spark, d, "cluster_records").select("record_no", "cluster_id", "cluster_chunks")
     return store.latest(rows, "cluster_id", "record_no").select("cluster_id", F.posexplode("cluster_chunks").alias("p", "chunk_id")).select("cluster_id", (F.col("p") + 1).alias("rank"), "chunk_id")
