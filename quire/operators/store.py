@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,45 +32,95 @@ def upsert(existing: DataFrame, new: DataFrame, scope: Column | None = None, key
 
 
 class Collection:
-    """A collection in a folder.  Writes make a new version and switch to it, so readers keep a whole one."""
+    """A collection in a folder: immutable parts, and versions that list the parts they consist of.
+
+    A write adds parts and then a version, so readers keep a whole one.  Adding rows
+    writes those rows only; an upsert or a deletion rewrites the parts that hold rows
+    concerned, and no other.  A version's file is created only if it does not exist: of
+    two writers at the same time one gets an error and can try again.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+    def _path(self, *names: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *names]))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def versions(self) -> list[int]:
-        fs, path = self._fs()
-        if not fs.exists(path):
+        fs, path = self._path("versions")
+        return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(path)) if fs.exists(path) else []
+
+    def parts(self) -> list[str]:
+        """The parts of the newest version."""
+        have = self.versions()
+        if not have:
             return []
-        done = [s.getPath() for s in fs.listStatus(path)]
-        return sorted(int(p.getName()[1:]) for p in done if p.getName()[1:].isdigit() and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+        fs, path = self._path("versions", f"{have[-1]}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _read(self, parts: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.folder}/parts/{p}" for p in parts])
 
     def all(self) -> DataFrame:
         """Every row (a full scan; columns are pruned by the plan)."""
-        have = self.versions()
-        if not have:
+        parts = self.parts()
+        if not parts:
             raise FileNotFoundError(self.folder)
-        return self.spark.read.parquet(f"{self.folder}/v{have[-1]}")
-
-    def _write(self, df: DataFrame) -> None:
-        have = self.versions()
-        df.write.mode("overwrite").parquet(f"{self.folder}/v{(have[-1] if have else 0) + 1}")
+        return self._read(parts)
+
+    def _write(self, df: DataFrame) -> str:
+        part = uuid.uuid4().hex
+        df.write.parquet(f"{self.folder}/parts/{part}")
+        return part
+
+    def _commit(self, parts: list[str]) -> None:
+        fs, path = self._path("versions", f"{([0] + self.versions())[-1] + 1}.json")
+        stream = fs.create(path, False)  # fails if another writer was first
+        try:
+            stream.write(bytearray(json.dumps(parts).encode()))
+        finally:
+            stream.close()
+
+    def _touched(self, rows: DataFrame) -> list[str]:
+        """The parts that the rows (a selection of ``all``) come from: at most as many as there are parts."""
+        name = F.regexp_extract(F.input_file_name(), r"/parts/([0-9a-f]+)/", 1)
+        return [r[0] for r in rows.select(name.alias("part")).distinct().collect()]
 
     def add(self, rows: DataFrame) -> None:
-        self._write(self.all().unionByName(rows, allowMissingColumns=True) if self.versions() else rows)
-
-    def upsert(self, rows: DataFrame, scope: Column | None = None) -> None:
-        self._write(upsert(self.all(), rows, scope) if self.versions() else upsert(rows.limit(0), rows))
+        self._commit([*self.parts(), self._write(rows)])
+
+    def upsert(self, rows: DataFrame, scope: Column | None = None, key: str = "id") -> None:
+        """Replace the rows of ``scope``, and those with a key of ``rows``, by ``rows``."""
+        parts = self.parts()
+        if not parts:
+            self._commit([self._write(upsert(rows.limit(0), rows, key=key))])
+            return
+        name = F.regexp_extract(F.input_file_name(), r"/parts/([0-9a-f]+)/", 1)
+        marked = self.all().withColumn("its part", name).withColumn("in scope", F.coalesce(scope, F.lit(False)) if scope is not None else F.lit(False))
+        hit = marked.where("`in scope`").select("its part").union(marked.join(rows.select(key), key, "left_semi").select("its part"))
+        touched = {r[0] for r in hit.distinct().collect()}  # at most as many as there are parts
+        old = self._read([p for p in parts if p in touched]) if touched else self.all().limit(0)
+        self._commit([*(p for p in parts if p not in touched), self._write(upsert(old, rows, scope, key))])
+
+    def compact(self) -> None:
+        """One part of all rows, after many small writes."""
+        self._commit([self._write(self.all())])
 
     def delete(self, where: Column) -> int:
         """Remove rows for which ``where`` holds; returns how many."""
         hit = F.coalesce(where, F.lit(False))
-        n = self.all().where(hit).count()
-        if n:
-            self._write(self.all().where(~hit))
+        parts = self.parts()
+        touched = set(self._touched(self.all().where(hit)))
+        if not touched:
+            return 0
+        old = self._read([p for p in parts if p in touched])
+        n = old.where(hit).count()
+        self._commit([*(p for p in parts if p not in touched), self._write(old.where(~hit))])
         return n
 
     def count(self) -> int:
@@ -86,7 +139,7 @@ class Collection:
         return have.select("id", "embedding", *[F.col(k) if k in have.columns else F.lit(None).cast("string").alias(k) for k in keys])
 
     def drop(self) -> None:
-        fs, path = self._fs()
+        fs, path = self._path()
         fs.delete(path, True)
 
 

@@ -34,6 +34,29 @@ def test_collection(spark, tmp_path):
     assert not c.versions()
 
 
+def test_collection_rewrites_only_what_it_must(spark, tmp_path):
+    c = S.Collection(spark, str(tmp_path / "c"))
+    schema = "id string, document_name string, v int"
+    for i, name in enumerate("abc"):
+        c.add(spark.createDataFrame([(f"{name}{k}", name, i) for k in range(3)], schema))
+    first = c.parts()
+    c.upsert(spark.createDataFrame([("b1", "b", 9), ("n", "new", 9)], schema))
+    second = c.parts()
+    assert [p for p in first if p in second] == [first[0], first[2]] and len(second) == 3
+    assert {r.id: r.v for r in c.all().where("document_name IN ('b', 'new')").collect()} == {"b0": 1, "b1": 9, "b2": 1, "n": 9}
+    c.upsert(spark.createDataFrame([("z", "c", 5)], schema), F.col("document_name") == "c")
+    assert first[0] in c.parts() and {r.id for r in c.all().where("document_name = 'c'").collect()} == {"z"}
+    assert c.delete(F.col("v") == 100) == 0 and c.delete(F.col("id") == "z") == 1
+    c.add(spark.createDataFrame([("w", 7)], "id string, extra int"))
+    assert c.count() == 8 and c.all().where("extra = 7").count() == 1
+    c.compact()
+    assert len(c.parts()) == 1 and c.count() == 8 and c.versions() == list(range(1, 9))
+    fs, path = c._path("versions", "9.json")
+    fs.create(path, False).close()
+    with pytest.raises(Exception, match="exists|Exists"):
+        fs.create(path, False)
+
+
 def test_json_salvage(spark):
     cases = {'```json\n{"a": "}"}\n```': {"a": "}"}, 'text {"a": {"b": "\\"}"}} more': {"a": {"b": '"}'}}, "{'a': None,}": {"a": None}, '{"a": 1,} // end\n': {"a": 1}, "nothing": None, "": None, None: None, '{"a": "True"}': {"a": "True"}}
     for text, want in cases.items():
