@@ -167,17 +167,17 @@ def bm25_topk(spark, d):
 
 
 def _texts(spark, d):
-    """Documents that have a vector, as chunks; and every twentieth, cut to eight words, as queries."""
-    docs = table(spark, d, "documents").select("doc_id", "text").join(table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id").select(F.col("doc_id").alias("chunk_id"), "text", "embedding").where("text is not null")
-    asked = docs.where("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), F.array_join(F.slice(T.words(F.col("text")), 1, 8), " ").alias("text"), "embedding")
-    return docs, asked
+    """All documents that have a text, as chunks, with the stored vector of those that have one; and every twentieth, whole, as queries."""
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    docs = table(spark, d, "documents").select("doc_id", "text").where("text is not null").join(vectors, "doc_id", "left").select(F.col("doc_id").alias("chunk_id"), "text", "embedding")
+    return docs, docs.where("chunk_id % 20 = 0").withColumnRenamed("chunk_id", "query_id")
 
 
-_HYB = f"""WITH docs AS (SELECT doc_id AS chunk_id, text, embedding FROM documents JOIN embeddings ON vec_id = doc_id WHERE text IS NOT NULL),
-asked AS (SELECT chunk_id AS query_id, array_to_string(({WORDS.format('text')})[1:8], ' ') AS text, embedding FROM docs WHERE chunk_id % 20 = 0), {_bm25_sql('docs', 'asked')},
+_HYB = f"""WITH docs AS (SELECT doc_id AS chunk_id, text, embedding FROM documents LEFT JOIN embeddings ON vec_id = doc_id WHERE text IS NOT NULL),
+asked AS (SELECT chunk_id AS query_id, text, embedding FROM docs WHERE chunk_id % 20 = 0), {_bm25_sql('docs', 'asked')},
 sparse0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, chunk_id) AS rank FROM scored) WHERE rank <= 40),
 sparse AS (SELECT query_id, chunk_id, score / (sqrt(sum(score * score) OVER (PARTITION BY query_id)) + 1e-6) AS sparse FROM sparse0),
-dense AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dense DESC, chunk_id) AS rank FROM (SELECT q.query_id, v.chunk_id, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS dense FROM asked q, docs v)) WHERE rank <= 40),
+dense AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dense DESC, chunk_id) AS rank FROM (SELECT q.query_id, v.chunk_id, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS dense FROM asked q, docs v WHERE q.embedding IS NOT NULL AND v.embedding IS NOT NULL)) WHERE rank <= 40),
 both_ AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.chunk_id, b.chunk_id) AS chunk_id, coalesce(dense, 0) AS dense, coalesce(sparse, 0) AS sparse, sparse IS NOT NULL AS s FROM dense a FULL JOIN sparse b ON a.query_id = b.query_id AND a.chunk_id = b.chunk_id),
 hyb0 AS (SELECT query_id, chunk_id, dense, sparse, CASE WHEN bool_or(s) OVER (PARTITION BY query_id) THEN 0.5 * dense + 0.5 * sparse ELSE dense END AS hybrid FROM both_),
 hyb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(hybrid, 6) DESC, chunk_id) AS rank FROM hyb0) WHERE rank <= 40)"""
@@ -209,8 +209,8 @@ def dedupe_final(spark, d):
     return retrieval.dedupe_final(retrieval.rerank_keywords(ranked, asked, docs)).select("query_id", "chunk_id", "final_rank")
 
 
-# The three queries above are what their SQL says: documents that have a vector, asked with
-# eight words.  The three below ask with whole questions and search all documents.
+# The three queries above search all documents, those without a stored vector by their words
+# only.  The three below ask with whole questions and have a computed vector for every document.
 
 
 def _all_texts(spark, d):
