@@ -140,7 +140,7 @@ def term_weights(chunks: DataFrame, queries: DataFrame, epsilon: float = 0.25) -
     return asked.join(idf, "term").select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight"))
 
 
-def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, block: int = 512) -> DataFrame:
+def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, block: int = 256) -> DataFrame:
     """The ``k`` best chunks of each query by Okapi BM25: query_id, chunk_id, score, rank.
 
     Words are white-space tokens as written; repeated words of a query count each
@@ -150,7 +150,8 @@ def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b:
     grow with the product of the sides.
     """
     ckind, qkind = chunks.schema["chunk_id"].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
-    tokens = chunks.select("chunk_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    # Words travel as hashes of 64 bits.
+    tokens = chunks.select("chunk_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("w")).where(F.size("w") > 0)
     average = chunks.agg(F.avg(F.greatest(F.coalesce(F.size(words(F.col("text"))), F.lit(0)), F.lit(0))).alias("avgdl"))  # one row
     weights = term_weights(chunks, queries, epsilon)
 
@@ -160,31 +161,43 @@ def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b:
                 part = batch.slice(a, block)
                 ids = part.column(0).to_pylist()
                 sizes = [len(x) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids], pa.list_(part.column(0).type)), pa.array([sizes], pa.list_(pa.int32())), pa.array([part.column(1).flatten().to_pylist()], pa.list_(pa.string()))], names=["b", "ids", "sizes", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(str(ids[0]).encode())]), pa.array([ids], pa.list_(part.column(0).type)), pa.array([sizes], pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array([0, sum(sizes)], pa.int32()), part.column(1).flatten())], names=["b", "ids", "sizes", "tokens"])
 
-    packed = tokens.mapInArrow(pack_chunks, f"b long, ids array<{ckind}>, sizes array<int>, tokens array<string>")
+    packed = tokens.mapInArrow(pack_chunks, f"b long, ids array<{ckind}>, sizes array<int>, tokens array<long>")
     # A block of queries is the queries of one value of a hash; their number follows from the queries.
     asking = queries.select("query_id").distinct().count()
     spot = F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-asking // block))))
-    asks = weights.groupBy(spot.alias("qb")).agg(F.collect_list("query_id").alias("qids"), F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights"))
+    asks = weights.groupBy(spot.alias("qb")).agg(F.collect_list("query_id").alias("qids"), F.collect_list(F.xxhash64("term")).alias("terms"), F.collect_list("weight").alias("weights"))
     tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tasks - 1).cast("long")))
     pairs = packed.withColumn("task", F.pmod("b", F.lit(tasks))).join(asks.withColumn("task", spread), "task").join(F.broadcast(average))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                qids = list(dict.fromkeys(r["qids"]))
+            at = {name: i for i, name in enumerate(batch.schema.names)}
+            part = lambda name, r: batch.column(at[name])[r].values  # noqa: B023, E731
+            for r in range(batch.num_rows):
+                asks, ids = part("qids", r).to_pylist(), part("ids", r).to_pylist()
+                qids = list(dict.fromkeys(asks))
                 row = {q: i for i, q in enumerate(qids)}
-                at = {t: i for i, t in enumerate(dict.fromkeys(r["terms"]))}
-                w = np.zeros((len(at), len(qids)))
-                w[[at[t] for t in r["terms"]], [row[q] for q in r["qids"]]] = r["weights"]
-                sizes = np.array(r["sizes"])
-                f = np.zeros((len(sizes), len(at)))
-                term = np.array([at.get(t, -1) for t in r["tokens"]])
-                np.add.at(f, (np.repeat(np.arange(len(sizes)), sizes)[term >= 0], term[term >= 0]), 1)
-                sums = (f * (k1 + 1) / (f + k1 * (1 - b + b * sizes / (r["avgdl"] or 1))[:, None])) @ w
-                shares = ((f > 0).astype(np.float32) @ (w != 0).astype(np.float32)) > 0 if (w < 0).any() or not w.any() else sums > 0
+                terms, weight, sizes = (part(c, r).to_numpy() for c in ("terms", "weights", "sizes"))
+                found = part("tokens", r).to_numpy()
+                # Only the words that stand on both sides have a column.
+                both, term = np.unique(found[np.isin(found, terms)], return_inverse=True)
+                if not both.size:
+                    continue
+                f = np.zeros((len(sizes), len(both)))
+                np.add.at(f, (np.repeat(np.arange(len(sizes)), sizes)[np.isin(found, terms)], term), 1)
+                here = np.isin(terms, both)
+                w = np.zeros((len(both), len(qids)))
+                w[np.searchsorted(both, terms[here]), np.array([row[q] for q in asks])[here]] = weight[here]
+                mean = batch.column(at["avgdl"])[r].as_py() or 1
+                sums = (f * (k1 + 1) / (f + k1 * (1 - b + b * sizes / mean)[:, None])) @ w
+                shares = sums > 0
+                if (weight <= 0).any():
+                    has = np.zeros(w.shape, np.float32)
+                    has[np.searchsorted(both, terms[here]), np.array([row[q] for q in asks])[here]] = 1
+                    shares = (f > 0).astype(np.float32) @ has > 0
                 out = ([], [], [])
                 for i, q in enumerate(qids):
                     near = np.flatnonzero(shares[:, i])
@@ -193,7 +206,7 @@ def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b:
                         low = np.round(np.partition(s, len(s) - k)[len(s) - k], 6) - 1e-6  # all that may tie with the last one
                         near, s = near[s >= low], s[s >= low]
                     out[0].extend([q] * len(near))
-                    out[1].extend(r["ids"][j] for j in near)
+                    out[1].extend(ids[j] for j in near)
                     out[2].extend(s.tolist())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (batch.schema.field("qids").type.value_type, batch.schema.field("ids").type.value_type, pa.float64()))], names=["query_id", "chunk_id", "score"])
 
