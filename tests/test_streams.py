@@ -84,3 +84,26 @@ def test_embedding_is_a_signed_count_of_words():
     texts = ["A a b", "", None, "x y z x", "ü   ü"]
     assert np.allclose(HashedWords().embed(texts), [one(t or "") for t in texts])
     assert HashedWords().embed([]).shape == (0, 64)
+
+
+def test_terms_and_clusters_meet_without_a_join(spark):
+    clusters = spark.createDataFrame([("0.1", "freight table"), ("0.2", "humidity"), ("0.1", "humidity too"), ("0.3", None)], "id string, text string")
+    terms = spark.createDataFrame([(1, ["freigth", "humidity"]), (2, ["table"]), (3, [])], "query_id int, terms array<string>")
+    df = R.lexical_clusters(terms, clusters)
+    assert "Join" not in plan(df)
+    assert sorted((r.query_id, r.id) for r in df.collect()) == [(1, "0.1"), (1, "0.2"), (2, "0.1")]
+
+
+def test_long_terms_and_texts_are_compared_like_short_ones():
+    rng = np.random.default_rng(2)
+    base = "".join(rng.choice(list("abcdefgh "), 400))
+    texts = [base[i : i + n] for i, n in ((0, 90), (40, 150), (200, 200), (0, 400), (90, 64))]
+    terms = []
+    for i in range(60):
+        a, n = int(rng.integers(0, 300)), int(rng.integers(3, 140))
+        t = list(base[a : a + n])
+        for _ in range(int(n * rng.random() * 0.35)):
+            t[int(rng.integers(0, len(t)))] = str(rng.choice(list("abcdefgh")))
+        terms.append("".join(t))
+    want = [sorted(t for t in terms if R.partial_ratio(t, x, 80.0)) for x in texts]
+    assert [sorted(x) for x in R.matching_terms(texts, terms, 80.0)] == want and any(want)
