@@ -38,3 +38,11 @@ def test_inner_clusters_and_retrieved_chunks_take_part(spark):
     for r in spark.read.parquet("/root/testdata/sf0.001/cluster_records.parquet").orderBy("record_no").collect():
         last[r.cluster_id] = set(r.cluster_chunks or []) | set(r.leaf_chunks or [])
     assert got == last and any(not r for r in last.values()) is any(not g for g in got.values())
+
+
+def test_every_question_is_answered(spark):
+    folder = "/root/testdata/sf0.001"
+    want = {r.pair_id for r in spark.read.parquet(f"{folder}/qa_pairs.parquet").where("question is not null").collect()}
+    assert {r.query_id for r in catalog._all_questions(spark, folder).collect()} == want
+    got = catalog.QUERIES["answered_questions"](spark, folder).select("request_id").collect()
+    assert sorted(r.request_id for r in got) == sorted(want)
