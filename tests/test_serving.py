@@ -46,3 +46,17 @@ def test_every_question_is_answered(spark):
     assert {r.query_id for r in catalog._all_questions(spark, folder).collect()} == want
     got = catalog.QUERIES["answered_questions"](spark, folder).select("request_id").collect()
     assert sorted(r.request_id for r in got) == sorted(want)
+
+
+def test_no_frame_of_queries_and_clusters(spark, monkeypatch):
+    """Every query finds every cluster by a word; what is shuffled has no row for each pair."""
+    monkeypatch.setattr(serving.retrieval, "two_stage", None)
+    asked = spark.createDataFrame([(i, f"freight number {i % 5} at the gate") for i in range(40)], "request_id long, text string")
+    chunks = spark.createDataFrame([("a", "Freight is weighed at the gate", 6)], "chunk_id string, text string, token_count int").withColumn("embedding", embed(F.col("text")))
+    terms = []
+    lexical = serving.retrieval.lexical_clusters
+    monkeypatch.setattr(serving.retrieval, "lexical_clusters", lambda t, *more: terms.append(t.count()) or lexical(t, *more))
+    got = serving.answer(asked, clusters(spark, [(f"0.{i}", "freight", ["a"]) for i in range(30)]), chunks).collect()
+    assert len(got) == 40 and all("Freight" in r.context for r in got)
+    # Different terms only: 40 questions in three ways are 120 queries.
+    assert len(terms) == 1 and terms[0] < 100

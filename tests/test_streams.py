@@ -71,6 +71,21 @@ def test_best_of_blocks_with_ties():
         assert sorted(item[query == q], key=lambda i: (-scores[i, q], i))[:7] == want
 
 
+def test_routed_search_is_two_stage_with_lexical_clusters(spark):
+    rng = np.random.default_rng(11)
+    vector = lambda: [float(x) for x in rng.standard_normal(6)]
+    words = [f"{a}{b}" for a in ("frei", "humid", "cut", "plat") for b in ("ght", "ity", "ting", "ework")]
+    chunks = spark.createDataFrame([(f"c{i}", vector()) for i in range(120)] + [("zero", [0.0] * 6), ("none", None)], "id string, embedding array<float>")
+    groups = [(f"0.{i}", " ".join(rng.choice(words, 2)), vector(), [f"c{j}" for j in rng.integers(0, 125, 6)] + ["zero"]) for i in range(60)]
+    clusters = spark.createDataFrame([*groups, ("0.60", None, None, ["c1", "c1"]), ("0.61", "cutting", vector(), None)], "id string, text string, embedding array<float>, chunks array<string>")
+    asked = [(i, vector(), [str(t) for t in rng.choice(words, i % 3)]) for i in range(40)] + [(40, [0.0] * 6, ["freight"]), (41, vector(), None)]
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<float>, terms array<string>")
+    want = R.two_stage(queries, clusters, chunks, 3, 7, R.lexical_clusters(queries, clusters))
+    got = R.routed_topk(queries, clusters, chunks, 3, 7)
+    rows = lambda df: sorted((r.query_id, r.id, r.similarity, r["rank"]) for r in df.collect())
+    assert rows(got) == rows(want) and len(rows(got)) > 40
+
+
 def test_embedding_is_a_signed_count_of_words():
     import zlib
 
