@@ -71,6 +71,30 @@ def test_best_of_blocks_with_ties():
         assert sorted(item[query == q], key=lambda i: (-scores[i, q], i))[:7] == want
 
 
+def test_few_more_than_the_best_are_held():
+    # Every block is better than the one before.
+    best = R._Best(1000, 50)
+    for a in range(0, 1500, 60):
+        best.add(np.arange(a, a + 60)[:, None] + np.zeros(1000), a)
+        assert best.held <= 1.25 * 50 * 1000 + (1 << 18) + 60 * 1000
+    query, item, _ = best.best()
+    assert (query.dtype, item.dtype) == (np.int32, np.int32)
+    assert set(item[query == 7]) == set(range(1450, 1500))
+
+
+def test_chunks_are_read_three_times(spark, sides):
+    _, chunks, _, queries = sides
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    R.bm25_topk(chunks.mapInArrow(count, chunks.schema), queries, 5).collect()
+    assert read.value <= 3 * 1500
+
+
 def test_routed_search_is_two_stage_with_lexical_clusters(spark):
     rng = np.random.default_rng(11)
     vector = lambda: [float(x) for x in rng.standard_normal(6)]
