@@ -82,6 +82,17 @@ def test_few_more_than_the_best_are_held():
     assert set(item[query == 7]) == set(range(1450, 1500))
 
 
+@pytest.mark.parametrize("weights", [[1.0, 2.0, 3.0], [1.0, -2.0, 3.0]])
+def test_what_shares_no_term_stays_under_the_least_score(weights):
+    post = R._Postings(np.array([2, 1]), np.array([5, 7, 9]), np.array(weights))
+    [(_, scores)] = post.scores(np.array([2, 1, 1]), np.array([5, 7, 9, 4]), lambda f, size: f)
+    assert (scores >= post.least).tolist() == [[True, False], [False, True], [False, False]]
+    best = R._Best(2, 3, post.least)
+    best.add(scores, 0)
+    query, item, score = best.best()
+    assert (query.tolist(), item.tolist(), score.tolist()) == ([0, 1], [0, 1], [weights[0] + weights[1], weights[2]])
+
+
 def test_chunks_are_read_three_times(spark, sides):
     _, chunks, _, queries = sides
     read = spark.sparkContext.accumulator(0)
