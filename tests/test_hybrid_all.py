@@ -82,3 +82,11 @@ def test_final_ranks(spark, folder):
                 seen.add(texts[j])
                 order.append(j)
         assert got[qid] == order[:10]
+
+
+def test_texts_are_not_shuffled_to_meet_their_vectors(spark, folder):
+    d, texts, _ = folder
+    docs, asked, vectors, asking = catalog._texts(spark, d)
+    assert not any("Join" in f._jdf.queryExecution().optimizedPlan().toString() for f in (docs, asked))
+    assert sorted(r.chunk_id for r in docs.collect()) == list(range(80)) and sorted(r.query_id for r in asked.collect()) == [0, 20, 40, 60]
+    assert sorted(r.id for r in vectors.collect()) == list(range(10)) and [r.query_id for r in asking.collect()] == [0]
