@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions.text import keyword_score
 from quire.operators import retrieval as R
 from quire.operators.embed import HashedWords
 from quire.plans import catalog
@@ -121,6 +122,31 @@ def test_routed_search_is_two_stage_with_lexical_clusters(spark):
     assert rows(got) == rows(want) and len(rows(got)) > 40
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_keyword_scores_are_counted_without_a_join(spark, parts, monkeypatch):
+    rng = np.random.default_rng(9)
+    odd = ["A\u00a0b  B", "a\x1cb", "", "  \n", "\u0130stanbul \u03a3\u03a3", "\u3000x\x85Y"]
+    texts = odd + [" ".join(f"W{int(k)}" if k % 3 else f"w{int(k)}" for k in rng.zipf(1.3, 3 + i % 30) % 90) for i in range(90)]
+    chunks = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string")
+    queries = chunks.withColumnRenamed("chunk_id", "query_id").where("query_id % 2 = 0")
+    # Text 7 is found by every query, 95 by one; what has no text or is no query is left out.
+    pairs = [(q, c, q / 100 + c) for q in range(0, 96, 2) for c in {7, *range(q % 6, 95, 11)}] + [(2, 95, 0.5), (1, 7, 0.5), (2, 500, 0.5)]
+    ranked = spark.createDataFrame(pairs, "query_id long, chunk_id long, hybrid double")
+    meet = R._streams
+    monkeypatch.setattr(R, "_streams", lambda q, i, a, b, n, pairs: meet(q, i, a, b, parts, pairs=pairs))
+    got = R.rerank_keywords(ranked, queries, chunks)
+    assert "Join" not in plan(got)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    try:
+        rows = sorted((r.query_id, r.chunk_id, r.keyword_score, r.final) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    joined = ranked.join(queries.withColumnRenamed("text", "asked"), "query_id").join(chunks, "chunk_id").withColumn("n", keyword_score(F.col("asked"), F.col("text")))
+    assert rows == sorted((r.query_id, r.chunk_id, r.n, r.hybrid + 0.2 * r.n) for r in joined.collect())
+    assert len(rows) == len(pairs) - 2
+
+
 def test_embedding_is_a_signed_count_of_words():
     import zlib
 
