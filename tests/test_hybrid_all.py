@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -90,3 +91,23 @@ def test_texts_are_not_shuffled_to_meet_their_vectors(spark, folder):
     assert not any("Join" in f._jdf.queryExecution().optimizedPlan().toString() for f in (docs, asked))
     assert sorted(r.chunk_id for r in docs.collect()) == list(range(80)) and sorted(r.query_id for r in asked.collect()) == [0, 20, 40, 60]
     assert sorted(r.id for r in vectors.collect()) == list(range(10)) and [r.query_id for r in asking.collect()] == [0]
+
+
+def unnamed(spark, folder, path, count):
+    """The tables of ``folder`` with ``count`` more documents that have the text of document 20 and no id."""
+    d, texts, _ = folder
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    docs.unionByName(spark.createDataFrame([(None, texts[20])] * count, docs.schema)).write.parquet(f"{path}/documents.parquet")
+    for t in ("embeddings", "qa_pairs"):
+        spark.read.parquet(f"{d}/{t}.parquet").write.parquet(f"{path}/{t}.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("count", [1, 3])
+def test_documents_without_an_id_end_keyword_rerank_as_its_sql(spark, folder, tmp_path, count):
+    d = unnamed(spark, folder, tmp_path, count)
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
+    got = sorted(map(tuple, catalog.QUERIES["keyword_rerank"](spark, d).collect()))
+    assert got == sorted(con.execute(catalog.ORACLES["keyword_rerank"]).fetchall()) and {r[0] for r in got} == {0, 20, 40, 60}

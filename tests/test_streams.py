@@ -147,6 +147,13 @@ def test_keyword_scores_are_counted_without_a_join(spark, parts, monkeypatch):
     assert len(rows) == len(pairs) - 2
 
 
+def test_pairs_of_null_ids_have_no_keyword_score(spark):
+    chunks = spark.createDataFrame([(None, "a b"), (None, "a"), (1, "a b c"), (2, "c")], "chunk_id long, text string")
+    queries = spark.createDataFrame([(None, "c"), (5, "a c")], "query_id long, text string")
+    ranked = spark.createDataFrame([(q, c, 0.5) for q in (None, 5) for c in (None, 1, 2)], "query_id long, chunk_id long, hybrid double")
+    assert sorted((r.query_id, r.chunk_id, r.keyword_score) for r in R.rerank_keywords(ranked, queries, chunks).collect()) == [(5, 1, 2), (5, 2, 1)]
+
+
 def test_embedding_is_a_signed_count_of_words():
     import zlib
 
