@@ -111,3 +111,18 @@ def test_documents_without_an_id_end_keyword_rerank_as_its_sql(spark, folder, tm
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
     got = sorted(map(tuple, catalog.QUERIES["keyword_rerank"](spark, d).collect()))
     assert got == sorted(con.execute(catalog.ORACLES["keyword_rerank"]).fetchall()) and {r[0] for r in got} == {0, 20, 40, 60}
+
+
+def test_documents_without_an_id_take_no_place_of_keyword_rerank_all(spark, folder, tmp_path, monkeypatch):
+    _, texts, questions = folder
+    d, every = unnamed(spark, folder, tmp_path, 1), bm25
+    # The document counts for the weights of words.
+    monkeypatch.setitem(globals(), "bm25", lambda texts, asked: {i: s for i, s in every([*texts, texts[20]], asked).items() if i < 80})
+    got = {}
+    for r in catalog.QUERIES["keyword_rerank_all"](spark, d).collect():
+        got.setdefault(r.query_id, {})[r.chunk_id] = (r.keyword_score, r.final)
+    for qid, asked, vector in queries_of(questions):
+        shared = {j: len(set(asked.split()) & set(texts[j].split())) for j in range(80)}
+        want = {j: (shared[j], pytest.approx(s + 0.2 * shared[j], abs=2e-5)) for j, s in hybrid(texts, asked, vector).items()}
+        assert got.pop(qid) == want
+    assert not got
