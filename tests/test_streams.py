@@ -107,6 +107,16 @@ def test_chunks_are_read_three_times(spark, sides):
     assert read.value <= 3 * 1500
 
 
+def test_words_of_a_text_are_made_once_a_pass(spark, sides, monkeypatch):
+    texts, chunks, _, queries = sides
+    chunks = spark.createDataFrame([*enumerate(texts), (5000, " "), (5001, ""), (5002, None)], chunks.schema)
+    cuts, meets, cut, meet = [], [], R.cut, R._streams
+    monkeypatch.setattr(R, "cut", lambda df: cuts.append(plan(df)) or cut(df))
+    monkeypatch.setattr(R, "_streams", lambda q, i, *a: meets.append(plan(i)) or meet(q, i, *a))
+    assert {r.chunk_id for r in R.bm25_topk(chunks, queries, 5).collect()} <= set(range(1500))
+    assert cuts[0].count("split(") == meets[0].count("split(") == 1
+
+
 def test_routed_search_is_two_stage_with_lexical_clusters(spark):
     rng = np.random.default_rng(11)
     vector = lambda: [float(x) for x in rng.standard_normal(6)]
